@@ -6,9 +6,9 @@ import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from voltstream.functions.measures import precise_sum
 from voltstream.schemas import DEVICE_STATS, ddl
@@ -63,13 +63,21 @@ def map_rows(
     """Apply a user's row function to whole rows; ``schema`` names its result.
 
     The escape hatch for logic that columns cannot express. Rows travel as Arrow
-    batches. The function runs once per row, even when the caller filters on its
-    result; ``drop_none`` leaves out the rows for which it returned None.
+    batches and the function runs once per row, whatever the caller filters on
+    later. It may return None for "no row" if ``drop_none`` is set.
     """
-    mapped = F.udf(function, T.StructType.fromDDL(schema), useArrow=True)
-    result = frame.select(
-        mapped.asNondeterministic()(F.struct("*")).alias("_r")
-    )
-    if drop_none:
-        result = result.where(F.col("_r").isNotNull())
-    return result.select("_r.*")
+    make_row = Row(*frame.columns)
+    no_rows = frame.sparkSession.createDataFrame([], schema)
+    result = no_rows.toArrow().schema
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(column.to_pylist() for column in batch.columns))
+            mapped = (function(make_row(*row)) for row in rows)
+            kept = [row for row in mapped if not (drop_none and row is None)]
+            columns = zip(*kept) if kept else ((),) * len(result)
+            yield pa.record_batch(
+                [pa.array(c, f.type) for c, f in zip(columns, result)], schema=result
+            )
+
+    return frame.mapInArrow(apply, schema)
