@@ -103,12 +103,20 @@ TOPICS = {
     "plant_messages": "FV",
     "plant_alerts": "FV_alerts",
     "plant_readings": "fv_plantas",
+    "plant_window": "fv_table",
     "device_readings": "sensor.readings",
     "device_charge": "device.charge",
     "irradiance": "FV_Pavasal_Cheste_EMI",
     "inverter": "FV_Pavasal_Cheste_Inv",
     "joined": "FV_Pavasal_Cheste_Final",
 }
+GROUPS = {
+    "plant_messages": "iot-sensors",
+    "plant_readings": "fv_group",
+    "device_readings": "device.tumbling.w.sql",
+    "irradiance": "test-group",
+    "inverter": "test-group",
+}
 TABLES = {
     "raw": "raw_fv_data",
     "alerts": "alert_fv_data",

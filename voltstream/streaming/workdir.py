@@ -18,8 +18,16 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     single-machine session may go without the setting; it gets one temporary
     root of its own. Elsewhere the executors would not see such a folder.
     """
-    root = spark.conf.get(SETTING, None) or _local_root(spark)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def job_dir(spark: SparkSession, job: str) -> str:
+    """The same folder name for a job at every start, so that it resumes."""
+    return f"{_root(spark)}/jobs/{job}"
+
+
+def _root(spark: SparkSession) -> str:
+    return (spark.conf.get(SETTING, None) or _local_root(spark)).rstrip("/")
 
 
 def _local_root(spark: SparkSession) -> str:
