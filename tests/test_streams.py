@@ -1,0 +1,223 @@
+import os
+import shutil
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from voltstream.functions.measures import total
+from voltstream.operators.windows import bounds, tumble
+from voltstream.plans.windowed import joined_means, joined_means_sql
+from voltstream.queries import EVENTS, events, feed, type_means
+from voltstream.session import PROVIDER
+from voltstream.sinks.base import fan_out
+from voltstream.sinks.files import csv_sink, parquet_sink
+from voltstream.sources.files import parquet_table
+from voltstream.streaming.attributes import with_event_time, with_processing_time
+from voltstream.streaming.run import latest, run_to_end, start
+
+
+def counted(stream, size="10 minutes"):
+    return bounds(tumble(watched(stream), "ts", size, {"n": F.count("event_id")}))
+
+
+class Inbox:
+    """A folder that files arrive in, one micro-batch each."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.arrived = spark, str(folder), 0
+        os.makedirs(self.folder)
+
+    def add(self, *files):
+        for file in files:
+            target = f"{self.folder}/{self.arrived}.parquet"
+            shutil.copy(file, target)
+            os.utime(target, (1_700_000_000 + self.arrived,) * 2)
+            self.arrived += 1
+        return self
+
+    def stream(self, per_trigger="1"):
+        return parquet_table(
+            self.spark, self.folder, EVENTS, stream=True, maxFilesPerTrigger=per_trigger
+        )
+
+
+@pytest.fixture
+def inbox(spark, tmp_path):
+    return Inbox(spark, tmp_path / "inbox")
+
+
+def drain(frame, tmp_path, mode="append", sink=None):
+    """Run what is there with a lasting checkpoint; return the finished query."""
+    sink = sink or parquet_sink(str(tmp_path / "out"))
+    query = start(frame, sink, str(tmp_path / "checkpoint"), mode=mode, to_end=True)
+    query.awaitTermination()
+    return query
+
+
+def rows(frame):
+    return sorted(map(tuple, frame.collect()))
+
+
+def closed(windows, *sides):
+    """The windows whose end is a minute behind the newest row of every side."""
+    newest = min(s.agg(F.max("ts")).first()[0] for s in sides)
+    limit = F.date_trunc("millisecond", F.lit(newest)) - F.expr("INTERVAL 1 MINUTE")
+    return windows.where(F.col("window_end") <= limit)
+
+
+def watched(frame):
+    return with_event_time(frame, F.col("ts"), "ts")
+
+
+def test_stream_equals_table_on_closed_windows(spark, tables, inbox, event_quarters):
+    emitted = run_to_end(type_means(watched(inbox.add(*event_quarters).stream())))
+    table = events(spark, tables)
+    expected = rows(closed(type_means(table), table))
+    assert rows(emitted) == expected
+    assert 0 < len(expected) < type_means(table).count()
+
+
+@pytest.mark.parametrize("join", [joined_means, joined_means_sql])
+def test_stream_join_equals_table_join(spark, tables, inbox, event_quarters, join):
+    def pair(frame):
+        sides = (feed(frame, "click", "Radiacion"), feed(frame, "view", "PA_Inv"))
+        return [with_event_time(side, F.col("ts_ltz")) for side in sides]
+
+    emitted = run_to_end(join(*pair(inbox.add(*event_quarters).stream("2"))))
+    table = events(spark, tables)
+    sides = [table.where(F.col("event_type") == kind) for kind in ("click", "view")]
+    expected = rows(closed(join(*pair(table)), *sides))
+    assert rows(emitted) == expected and expected
+
+
+def test_join_state_is_dropped_once_windows_close(inbox, event_quarters, tmp_path):
+    stream = inbox.add(*event_quarters).stream()
+    sun, power = (
+        with_event_time(feed(stream, kind, name), F.col("ts_ltz"))
+        for kind, name in (("click", "Radiacion"), ("view", "PA_Inv"))
+    )
+    query = drain(joined_means(sun, power), tmp_path)
+    joins = [
+        operator.numRowsTotal
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+        if operator.operatorName == "symmetricHashJoin"
+    ]
+    assert len(joins) >= 4 and set(joins) == {0}
+
+
+@pytest.mark.parametrize("order, lost", [((0, 2, 1, 3), 0), ((0, 3, 2, 1), 250)])
+def test_rows_behind_the_watermark_are_dropped(
+    spark, inbox, event_quarters, tmp_path, order, lost
+):
+    """A batch is judged by the watermark of the batch before the last."""
+    stream = inbox.add(*(event_quarters[n] for n in order)).stream()
+    query = drain(counted(stream), tmp_path)
+    emitted = spark.read.parquet(str(tmp_path / "out")).agg(F.sum("n")).first()[0]
+    dropped = sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
+    # The newest window is open; in this data it holds one row.
+    assert emitted == 1000 - lost - 1
+    assert (dropped > 0) == (lost > 0)
+
+
+def test_restart_resumes_without_loss_or_copies(
+    spark, tables, inbox, event_quarters, tmp_path
+):
+    inbox.add(*event_quarters[:2])
+    drain(type_means(watched(inbox.stream())), tmp_path)
+    first = spark.read.parquet(str(tmp_path / "out")).count()
+    inbox.add(*event_quarters[2:])
+    drain(type_means(watched(inbox.stream())), tmp_path)
+    table = events(spark, tables)
+    result = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(result) == rows(closed(type_means(table), table))
+    assert 0 < first < result.count()
+
+
+def test_state_lives_in_rocksdb(spark, inbox, event_quarters, tmp_path):
+    own = spark.conf.get(PROVIDER)
+    spark.conf.unset(PROVIDER)
+    try:
+        query = drain(type_means(watched(inbox.add(event_quarters[0]).stream())), tmp_path)
+        assert spark.conf.get(PROVIDER, None) is None
+    finally:
+        spark.conf.set(PROVIDER, own)
+    metrics = query.recentProgress[0].stateOperators[0].customMetrics
+    assert any(name.startswith("rocksdb") for name in metrics)
+
+
+def test_session_keeps_its_own_provider(spark, inbox, event_quarters, tmp_path):
+    own = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, own.replace("RocksDB", "HDFSBacked"))
+    try:
+        query = drain(counted(inbox.add(event_quarters[0]).stream(), "1 day"), tmp_path)
+    finally:
+        spark.conf.set(PROVIDER, own)
+    metrics = query.recentProgress[0].stateOperators[0].customMetrics
+    assert not any(name.startswith("rocksdb") for name in metrics)
+
+
+def test_clock_windows_close_when_a_later_batch_arrives(
+    spark, inbox, event_quarters, tmp_path
+):
+    def windows():
+        source = with_processing_time(inbox.stream())
+        return bounds(tumble(source, "proctime", "1 second", {"n": F.count("ts")}))
+
+    inbox.add(event_quarters[0])
+    drain(windows(), tmp_path)
+    time.sleep(1.5)
+    inbox.add(event_quarters[1])
+    drain(windows(), tmp_path)
+    emitted = spark.read.parquet(str(tmp_path / "out"))
+    assert emitted.agg(F.sum("n")).first()[0] == 250
+
+
+def test_update_mode_keeps_the_last_state(spark, tables, inbox, event_quarters):
+    measures = {"sum": total("value", scale=2)}
+    windowed = tumble(watched(inbox.add(*event_quarters).stream()), "ts", "30 days", measures)
+    emitted = run_to_end(bounds(windowed), mode="update")
+    last = latest(emitted, ("window_start", "window_end"))
+    assert emitted.count() > last.count()
+    table = bounds(tumble(events(spark, tables), "ts", "30 days", measures))
+    assert rows(last) == rows(table)
+
+
+def test_fan_out_of_a_stream_writes_every_batch_to_every_sink(
+    spark, tables, inbox, event_quarters, tmp_path
+):
+    stream = inbox.add(*event_quarters).stream().select("event_id", "value")
+    both = fan_out(parquet_sink(str(tmp_path / "a")), csv_sink(str(tmp_path / "b")))
+    drain(stream, tmp_path, sink=both)
+    expected = rows(events(spark, tables).select("event_id", "value"))
+    nested = spark.read.schema("event_id BIGINT, value DOUBLE").option(
+        "recursiveFileLookup", "true"
+    )
+    assert rows(nested.parquet(str(tmp_path / "a"))) == expected
+    assert rows(nested.csv(str(tmp_path / "b"))) == expected
+
+
+def test_stream_of_a_single_file(spark, tables):
+    source = events(spark, tables, stream=True)
+    assert source.isStreaming
+    assert run_to_end(source.select("event_id")).count() == 1000
+
+
+def test_interval_trigger_and_name(inbox, event_quarters, tmp_path):
+    query = start(
+        inbox.add(event_quarters[0]).stream(),
+        parquet_sink(str(tmp_path / "out")),
+        str(tmp_path / "checkpoint"),
+        name="ingest",
+        every="1 second",
+    )
+    try:
+        assert query.name == "ingest" and query.isActive
+        query.processAllAvailable()
+    finally:
+        query.stop()
