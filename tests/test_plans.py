@@ -29,7 +29,8 @@ BATCH = [
     "q01_select_where_string", "q03_distinct", "q04_topk_string", "q06_alert_rows",
     "q07_alert_json", "q08_raw_normalise", "q09_tumble60_keyed_avg",
     "q09_plant_json_means", "q10_tumble30_sum_sql", "q11_tumble30_sum_df",
-    "q11_device_json_charge", "q12_window_join", "q12_window_join_json_sql",
+    "q11_device_json_charge", "q12_window_join", "q12_window_join_one_scan",
+    "q12_window_join_json_sql",
     "q13_row_function", "q13_row_function_batches", "q13_row_function_rows",
     "q14_tumble10_keyed_avg", "q20_kafka_record_roundtrip",
 ]
@@ -43,6 +44,7 @@ EXCHANGES = {
     # One per side, each split by the window; the join itself adds none.
     "q12_window_join": 2,
     "q12_window_join_json_sql": 2,
+    "q12_window_join_one_scan": 1,
     "q14_tumble10_keyed_avg": 1,
     "q20_kafka_record_roundtrip": 1,
 }

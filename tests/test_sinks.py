@@ -74,7 +74,8 @@ def test_jdbc_options_and_columns(raw_row):
     assert frame.dtypes == list(RAW_TABLE.items())
     assert tuple(frame.first()) == ("m", "7", "{}", "2024-05-01 10:01:02.000345")
     assert options["batchsize"] == "200" and options["dbtable"] == "raw_fv_data"
-    assert options["numPartitions"] == "16"
+    plan = frame._jdf.queryExecution().logical().toString()
+    assert "Repartition 16, true" in plan
     assert options["driver"] == "org.postgresql.Driver"
 
 
@@ -99,10 +100,9 @@ def test_postgres_login_comes_from_the_environment(monkeypatch):
         postgres_sink("t", RAW_TABLE, "db:5432")
     for name, value in (("DB", "plants"), ("USER", "u"), ("PASSWORD", "secret")):
         monkeypatch.setenv(f"POSTGRES_{name}", value)
-    options = postgres_sink("t", RAW_TABLE, "db:5432", connections=4).options
+    options = postgres_sink("t", RAW_TABLE, "db:5432").options
     assert options["url"] == "jdbc:postgresql://db:5432/plants"
     assert (options["user"], options["password"]) == ("u", "secret")
-    assert options["numPartitions"] == "4"
 
 
 def test_kafka_record(window_row):

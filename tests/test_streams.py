@@ -178,6 +178,31 @@ def test_clock_windows_close_when_a_later_batch_arrives(
     assert emitted.agg(F.sum("n")).first()[0] == 250
 
 
+@pytest.mark.parametrize("heartbeat", [True, False])
+def test_heartbeat_closes_clock_windows_of_a_silent_source(
+    spark, inbox, event_quarters, tmp_path, heartbeat
+):
+    source = with_processing_time(inbox.add(event_quarters[0]).stream(), heartbeat=heartbeat)
+    measures = {"n": F.count("ts"), "sum": total("value", scale=2)}
+    windowed = bounds(tumble(source, "proctime", "2 seconds", measures, keys=("event_type",)))
+    out = parquet_sink(str(tmp_path / "out"))
+    query = start(windowed, out, str(tmp_path / "checkpoint"), every="1 second")
+
+    def emitted():
+        schema = "event_type STRING, n BIGINT, sum DOUBLE"
+        return spark.read.schema(schema).parquet(str(tmp_path / "out"))
+
+    try:
+        deadline = time.time() + (60 if heartbeat else 12)
+        while time.time() < deadline and not emitted().count():
+            time.sleep(1)
+    finally:
+        query.stop()
+    expected = spark.read.schema(EVENTS).parquet(event_quarters[0]).groupBy("event_type")
+    expected = expected.agg(F.count("ts"), total("value", scale=2))
+    assert rows(emitted()) == (rows(expected) if heartbeat else [])
+
+
 def test_update_mode_keeps_the_last_state(spark, tables, inbox, event_quarters):
     measures = {"sum": total("value", scale=2)}
     windowed = tumble(watched(inbox.add(*event_quarters).stream()), "ts", "30 days", measures)

@@ -92,7 +92,7 @@ def feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, Dat
 def _means(sink: Callable[[argparse.Namespace], Sink]) -> Job:
     def job(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         readings = records(spark, args, "plant_readings", PLANT_READING)
-        means = plant_means(with_processing_time(readings))
+        means = plant_means(with_processing_time(readings, heartbeat=True))
         describe(readings)
         describe(means)
         return start(means, sink(args), args.checkpoint, args.job, **run(args))
@@ -100,10 +100,10 @@ def _means(sink: Callable[[argparse.Namespace], Sink]) -> Job:
     return job
 
 
-def _charge(transform: Callable[[DataFrame], DataFrame]) -> Job:
+def _charge(transform: Callable[[DataFrame], DataFrame], heartbeat: bool) -> Job:
     def job(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         readings = records(spark, args, "device_readings", DEVICE_READING)
-        charge = transform(with_processing_time(readings))
+        charge = transform(with_processing_time(readings, heartbeat=heartbeat))
         sink = json_sink(args.servers, TOPICS["device_charge"], DEVICE_CHARGE)
         return start(charge, sink, args.checkpoint, args.job, **run(args))
 
@@ -174,8 +174,8 @@ JOBS: dict[str, Job] = {
     "means-mongo": _means(
         lambda a: mongo_sink(mongo_uri(a.mongo), **MONGO_TARGET, target=PLANT_WINDOW)
     ),
-    "charge-kafka": _charge(device_charge),
-    "charge-kafka-sql": _charge(device_charge_sql),
+    "charge-kafka": _charge(device_charge, heartbeat=True),
+    "charge-kafka-sql": _charge(device_charge_sql, heartbeat=False),
     "joined-kafka": _joined_topic,
     "joined-postgres": _joined_table,
     "csv-filter": _csv_filter,

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = "w"
+HEARTBEAT = "_heartbeat"
 
 
 def tumble(
@@ -27,9 +28,12 @@ def tumble(
     the very end. Measures take their final names here, because an output may
     differ from an input by case only.
     """
-    return frame.groupBy(*keys, F.window(time, size).alias(WINDOW)).agg(
-        *(measure.alias(name) for name, measure in measures.items())
-    )
+    grouped = frame.groupBy(*keys, F.window(time, size).alias(WINDOW))
+    named = [measure.alias(name) for name, measure in measures.items()]
+    if HEARTBEAT not in frame.columns:
+        return grouped.agg(*named)
+    rows = F.count_if(~F.col(HEARTBEAT)).alias("_rows")
+    return grouped.agg(*named, rows).where("_rows > 0").drop("_rows")
 
 
 def bounds(windowed: DataFrame) -> DataFrame:

@@ -121,6 +121,7 @@ ORACLE: dict[str, str] = {
     "q11_tumble30_sum_df": CHARGE,
     "q11_device_json_charge": CHARGE,
     "q12_window_join": JOINED,
+    "q12_window_join_one_scan": JOINED,
     "q12_window_join_json_sql": _joined("avg(CAST(CAST(value AS FLOAT) AS DOUBLE))"),
     "q13_row_function": STATS,
     "q13_row_function_batches": STATS,

@@ -6,7 +6,7 @@ Every function is a transform of frames that already have a time attribute (see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from voltstream.functions.measures import mean, total
 from voltstream.functions.records import conform
@@ -68,6 +68,25 @@ def joined_means(
     return conform(bounds(join_windows(left, right)), JOINED_WINDOW)
 
 
+def paired_means(
+    readings: DataFrame,
+    irradiance: Column,
+    power: Column,
+    size: str = "10 minutes",
+    scale: int | None = None,
+) -> DataFrame:
+    """``joined_means`` for two feeds that lie in one table or topic.
+
+    ``irradiance`` and ``power`` give a row's value, or null where the row belongs to
+    the other feed. One scan and one shuffle do for both, and a stream keeps no join
+    state; a window comes out if it has rows of both, as in the join.
+    """
+    sides = {"Radiacion": irradiance, "PA": power}
+    measures = {name: mean(value, 1, scale) for name, value in sides.items()}
+    windowed = tumble(readings, "ts_ltz", size, measures)
+    return conform(bounds(windowed.dropna(subset=list(sides))), JOINED_WINDOW)
+
+
 def joined_means_sql(
     irradiance: DataFrame, inverter: DataFrame, views: tuple[str, str] | None = None
 ) -> DataFrame:

@@ -45,6 +45,7 @@ from voltstream.plans.windowed import (
     device_charge_sql,
     joined_means,
     joined_means_sql,
+    paired_means,
     plant_means,
 )
 from voltstream.schemas import (
@@ -309,6 +310,15 @@ def window_join(spark, sf_dir):
     )
 
 
+def window_join_one_scan(spark, sf_dir):
+    frame = events(spark, sf_dir).withColumnRenamed("ts", "ts_ltz")
+    sides = (
+        F.when(F.col("event_type") == kind, F.col("value")) for kind in ("click", "view")
+    )
+    wanted = frame.where(F.col("event_type").isin("click", "view"))
+    return paired_means(wanted, *sides, scale=SCALE)
+
+
 def window_join_json_sql(spark, sf_dir):
     frame = events(spark, sf_dir)
     sun = read_record(feed_values(frame, "click", "Radiacion"), IRRADIANCE)
@@ -424,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "q11_tumble30_sum_df": tumble30_sum_df,
     "q11_device_json_charge": device_json_charge,
     "q12_window_join": window_join,
+    "q12_window_join_one_scan": window_join_one_scan,
     "q12_window_join_json_sql": window_join_json_sql,
     "q13_row_function": row_function,
     "q13_row_function_batches": row_function_batches,

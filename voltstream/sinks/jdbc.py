@@ -28,8 +28,10 @@ def jdbc_sink(
 ) -> Sink:
     """Parametrised inserts into an existing table.
 
-    ``connections`` bounds how many tasks write at the same time, whatever the
-    size of the cluster: the database, not Spark, is the narrow side. Delivery is
+    ``connections`` is how many tasks write at the same time, whatever the size of
+    the cluster: the database, not Spark, is the narrow side. The finished rows are
+    dealt out evenly to those tasks, so the work before keeps its full width and one
+    full topic partition does not end up on one connection. Delivery is
     at least once. ``batch_column`` names an extra BIGINT column of the table that
     receives the micro-batch number, so that a replay can be told apart.
     """
@@ -40,12 +42,12 @@ def jdbc_sink(
         "password": password,
         "driver": driver,
         "batchsize": str(BATCH_SIZE),
-        "numPartitions": str(connections),
     }
 
     def insert(frame: DataFrame, batch_id: int | None) -> None:
         if batch_column is not None:
             frame = frame.withColumn(batch_column, F.lit(batch_id).cast("bigint"))
+        frame = frame.repartition(connections)
         frame.write.format("jdbc").options(**options).mode("append").save()
 
     return Sink(

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from voltstream.functions.times import event_time, processing_time
+from voltstream.operators.windows import HEARTBEAT
 
 
 def with_event_time(
@@ -22,12 +24,26 @@ def with_event_time(
     return frame.withColumn(name, value).withWatermark(name, delay)
 
 
-def with_processing_time(frame: DataFrame, name: str = "proctime") -> DataFrame:
+def with_processing_time(
+    frame: DataFrame, name: str = "proctime", heartbeat: bool = False
+) -> DataFrame:
     """Add the wall clock as a time attribute.
 
-    All rows of a micro-batch share one value, and a window closes when a later
-    batch arrives: keep the trigger interval well below the window size. A replay
-    after a failure lands in later windows; where that matters, run the window on
-    event time or on the broker's arrival time instead.
+    All rows of a micro-batch share one value, so keep the trigger interval well
+    below the window size. A window closes when a batch arrives after its end; with
+    ``heartbeat`` an extra row per second sees to that even if the source falls
+    silent, and ``tumble`` leaves those rows out of its result. A replay after a
+    failure lands in later windows: where that matters, run the window on event
+    time or on the broker's arrival time instead.
     """
+    if heartbeat and frame.isStreaming:
+        frame = _with_beats(frame)
     return frame.withColumn(name, processing_time()).withWatermark(name, "0 seconds")
+
+
+def _with_beats(frame: DataFrame) -> DataFrame:
+    clock = frame.sparkSession.readStream.format("rate")
+    beats = clock.options(rowsPerSecond=1, numPartitions=1).load()
+    return frame.withColumn(HEARTBEAT, F.lit(False)).unionByName(
+        beats.select(F.lit(True).alias(HEARTBEAT)), allowMissingColumns=True
+    )
