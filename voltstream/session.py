@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORE = {
     # Window state lives in RocksDB on the executors' disks, not on their heap.
@@ -27,9 +29,9 @@ STATE_STORE = {
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Coalesce shuffle output to the advisory size rather than to "as many
-    # tasks as cores": on a big cluster the latter leaves thousands of crumbs.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # Half as many scan tasks as by default; small tables are still split over
+    # all cores.
+    "spark.sql.files.maxPartitionBytes": "256m",
 }
 
 
@@ -44,9 +46,10 @@ def get_spark(
     ``static_conf`` takes settings that must exist before the JVM starts; write
     ``spark_driver_memory="8g"`` for ``spark.driver.memory``.
 
-    ``shuffle_partitions`` is best set to two or three times the cluster's
-    cores. A stream keeps the number it first started with for the life of its
-    checkpoint, because the window state is split by it.
+    ``shuffle_partitions`` defaults to twice the cluster's cores. A stream keeps
+    the number it first started with for the life of its checkpoint, because the
+    window state is split by it. A batch shuffle starts with four times as many,
+    and adaptive execution joins the small ones.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -60,14 +63,19 @@ def get_spark(
     for key, value in settings.items():
         if not given.contains(key):
             spark.conf.set(key, value)
-    if shuffle_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    elif not given.contains("spark.sql.shuffle.partitions"):
-        cores = spark.sparkContext.defaultParallelism
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(8, 2 * cores)))
+    if shuffle_partitions or not given.contains(PARTITIONS):
+        number = shuffle_partitions or sized_partitions(spark)
+        spark.conf.set(PARTITIONS, str(number))
+        if not given.contains(INITIAL_PARTITIONS):
+            spark.conf.set(INITIAL_PARTITIONS, str(4 * number))
     return use_utc(spark)
 
 
+def sized_partitions(spark: SparkSession) -> int:
+    """Shuffle partitions for the cores at hand."""
+    return max(8, 2 * spark.sparkContext.defaultParallelism)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session zone to UTC, the zone of every timestamp in this package."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from voltstream.session import PROVIDER, STATE_STORE
+from voltstream.session import PARTITIONS, PROVIDER, STATE_STORE, sized_partitions
 from voltstream.sinks.base import Sink
 from voltstream.sinks.files import BATCH_ID, parquet_sink
 from voltstream.streaming.workdir import fresh_dir
@@ -39,7 +39,7 @@ def start(
         writer = writer.trigger(availableNow=True)
     elif every:
         writer = writer.trigger(processingTime=every)
-    with _state_store(frame.sparkSession):
+    with _stream_settings(frame.sparkSession):
         return writer.start()
 
 
@@ -69,14 +69,15 @@ def latest(emitted: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 @contextmanager
-def _state_store(spark: SparkSession) -> Iterator[None]:
-    # A stream copies the session's settings when it starts, so they need to hold
-    # for that moment only. A session that names a provider keeps it.
-    if spark.conf.get(PROVIDER, None):
-        yield
-        return
-    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
-    for key, value in STATE_STORE.items():
+def _stream_settings(spark: SparkSession) -> Iterator[None]:
+    # A stream copies the session's settings when it starts, so ours need to hold
+    # for that moment only. What the session sets itself stays: a state store
+    # provider, or a number of partitions.
+    settings = {} if spark.conf.get(PROVIDER, None) else dict(STATE_STORE)
+    if not spark.conf.get(PARTITIONS, None):
+        settings[PARTITIONS] = str(sized_partitions(spark))
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         yield
