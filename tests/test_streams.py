@@ -7,8 +7,22 @@ from pyspark.sql import functions as F
 
 from voltstream.functions.measures import total
 from voltstream.operators.windows import bounds, tumble
-from voltstream.plans.windowed import joined_means, joined_means_sql
-from voltstream.queries import EVENTS, events, feed, type_means
+from voltstream.plans.windowed import (
+    device_charge,
+    device_charge_sql,
+    joined_means,
+    joined_means_sql,
+    paired_means,
+    plant_means,
+)
+from voltstream.queries import (
+    EVENTS,
+    device_readings,
+    events,
+    feed,
+    plant_readings,
+    type_means,
+)
 from voltstream.session import PROVIDER
 from voltstream.sinks.base import fan_out
 from voltstream.sinks.files import csv_sink, parquet_sink
@@ -78,6 +92,33 @@ def test_stream_equals_table_on_closed_windows(spark, tables, inbox, event_quart
     assert 0 < len(expected) < type_means(table).count()
 
 
+@pytest.mark.parametrize("transform", [plant_means, device_charge, device_charge_sql])
+def test_keyed_window_jobs_as_streams(spark, tables, inbox, event_quarters, transform):
+    def job(frame):
+        if transform is plant_means:
+            readings = plant_readings(frame).withColumnRenamed("ts", "proctime")
+        else:
+            readings = device_readings(frame)
+        return transform(readings.withWatermark("proctime", "1 minute"))
+
+    emitted = run_to_end(job(inbox.add(*event_quarters).stream("2")))
+    table = events(spark, tables)
+    assert rows(emitted) == rows(closed(job(table), table))
+
+
+def test_feeds_of_one_table_as_a_stream(spark, tables, inbox, event_quarters):
+    def job(frame):
+        sides = (
+            F.when(F.col("event_type") == kind, F.col("value")) for kind in ("click", "view")
+        )
+        return paired_means(with_event_time(frame, F.col("ts")), *sides)
+
+    emitted = run_to_end(job(inbox.add(*event_quarters).stream("2")))
+    table = events(spark, tables)
+    expected = rows(closed(job(table), table))
+    assert rows(emitted) == expected and expected
+
+
 @pytest.mark.parametrize("join", [joined_means, joined_means_sql])
 def test_stream_join_equals_table_join(spark, tables, inbox, event_quarters, join):
     def pair(frame):
@@ -227,6 +268,13 @@ def test_fan_out_of_a_stream_writes_every_batch_to_every_sink(
     assert rows(nested.csv(str(tmp_path / "b"))) == expected
 
 
+@pytest.mark.parametrize("form", ["{}", "{}/", "{}/*", "{}/*.parquet"])
+def test_stream_of_a_folder_or_pattern(spark, inbox, event_quarters, form):
+    path = form.format(inbox.add(*event_quarters).folder)
+    stream = parquet_table(spark, path, EVENTS, stream=True)
+    assert run_to_end(stream.select("event_id")).count() == 1000
+
+
 def test_stream_of_a_single_file(spark, tables):
     source = events(spark, tables, stream=True)
     assert source.isStreaming

@@ -30,7 +30,8 @@ def parquet_table(
     the order of event time, leave ``maxFilesPerTrigger`` unset: one batch then
     holds all files present, and no row of theirs can be late.
     """
-    if stream:
+    path = path.rstrip("/")
+    if stream and not set(path) & set("*?[{"):
         # A stream wants a folder or a pattern, and this also matches one file.
         path = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream if stream else spark.read
