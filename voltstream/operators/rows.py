@@ -70,9 +70,16 @@ def map_rows(
     no_rows = frame.sparkSession.createDataFrame([], schema)
     result = no_rows.toArrow().schema
 
+    def values(column: pa.Array) -> list:
+        plain = pa.types.is_integer(column.type) or pa.types.is_floating(column.type)
+        if plain and not column.null_count:
+            return column.to_numpy().tolist()  # far quicker than value by value
+        return column.to_pylist()
+
+    # Nested functions travel to the executors whole, without this module.
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*map(_python_values, batch.columns))
+            rows = zip(*map(values, batch.columns))
             mapped = (function(make_row(*row)) for row in rows)
             kept = [row for row in mapped if not (drop_none and row is None)]
             columns = zip(*kept) if kept else ((),) * len(result)
@@ -81,11 +88,3 @@ def map_rows(
             )
 
     return frame.mapInArrow(apply, schema)
-
-
-def _python_values(column: pa.Array) -> list:
-    kind = column.type
-    plain = pa.types.is_integer(kind) or pa.types.is_floating(kind)
-    if plain and not column.null_count:
-        return column.to_numpy().tolist()  # far quicker than value by value
-    return column.to_pylist()

@@ -89,8 +89,8 @@ def ship_package(spark: SparkSession) -> SparkSession:
     job was submitted with ``--py-files`` or the package is installed.
     """
     context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parent
+    package = Path(__file__).resolve().parent
+    if package.is_dir() and context.applicationId not in _shipped:
         archive = shutil.make_archive(
             f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name
         )
