@@ -3,6 +3,7 @@ import shutil
 import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from voltstream.functions.measures import total
@@ -24,7 +25,7 @@ from voltstream.queries import (
     type_means,
 )
 from voltstream.session import PROVIDER
-from voltstream.sinks.base import fan_out
+from voltstream.sinks.base import Sink, fan_out
 from voltstream.sinks.files import csv_sink, parquet_sink
 from voltstream.sources.files import parquet_table
 from voltstream.streaming.attributes import with_event_time, with_processing_time
@@ -180,6 +181,33 @@ def test_restart_resumes_without_loss_or_copies(
     assert 0 < first < result.count()
 
 
+def test_crash_between_two_sinks_is_made_good_at_the_restart(
+    spark, tables, inbox, event_quarters, tmp_path
+):
+    """The first sink has the batch already when the second one fails."""
+    crashes = [2, 3]
+
+    def flaky(frame, batch_id):
+        if batch_id in crashes:
+            crashes.remove(batch_id)
+            raise RuntimeError("sink is down")
+        second.write(frame, batch_id)
+
+    first, second = (parquet_sink(str(tmp_path / name)) for name in ("a", "b"))
+    both = fan_out(first, Sink("flaky", native=False, custom_write=flaky))
+    inbox.add(*event_quarters)
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException, match="sink is down"):
+            drain(type_means(watched(inbox.stream())), tmp_path, sink=both)
+    drain(type_means(watched(inbox.stream())), tmp_path, sink=both)
+
+    table = events(spark, tables)
+    expected = rows(closed(type_means(table), table))
+    for name in ("a", "b"):
+        written = spark.read.parquet(str(tmp_path / name)).drop("batch_id")
+        assert rows(written) == expected
+
+
 def test_state_lives_in_rocksdb(spark, inbox, event_quarters, tmp_path):
     own = spark.conf.get(PROVIDER)
     spark.conf.unset(PROVIDER)

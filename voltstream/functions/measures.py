@@ -5,8 +5,9 @@
 the order in which partitions are merged. With ``scale=n`` the reading is a
 fixed-point number of ``n`` decimals: the sum runs on whole units in a BIGINT, is
 exact, and comes out the same whatever the partitioning or task retries. It is
-also the cheaper of the two, as one long per group is merged in place. A sum
-too big for a BIGINT is an error under ANSI mode, not a wrong number.
+also the cheaper of the two, as one long per group is merged in place. Under ANSI
+mode, the default, a sum too big for a BIGINT or a reading that is not a number is
+an error, not a wrong result.
 """
 
 from __future__ import annotations

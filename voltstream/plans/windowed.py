@@ -79,7 +79,7 @@ def paired_means(
 
     ``irradiance`` and ``power`` give a row's value, or null where the row belongs to
     the other feed. One scan and one shuffle do for both, and a stream keeps no join
-    state; a window comes out if it has rows of both, as in the join.
+    state; a window comes out if it has values of both.
     """
     sides = {"Radiacion": irradiance, "PA": power}
     measures = {name: mean(value, 1, scale) for name, value in sides.items()}
