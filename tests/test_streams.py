@@ -296,6 +296,12 @@ def test_fan_out_of_a_stream_writes_every_batch_to_every_sink(
     assert rows(nested.csv(str(tmp_path / "b"))) == expected
 
 
+@pytest.mark.parametrize("mode", ["append", "update"])
+def test_stream_of_an_empty_folder(inbox, mode):
+    emitted = run_to_end(type_means(watched(inbox.stream())), mode=mode)
+    assert emitted.count() == 0
+
+
 @pytest.mark.parametrize("form", ["{}", "{}/", "{}/*", "{}/*.parquet"])
 def test_stream_of_a_folder_or_pattern(spark, inbox, event_quarters, form):
     path = form.format(inbox.add(*event_quarters).folder)

@@ -57,6 +57,8 @@ def run_to_end(frame: DataFrame, mode: str = "append") -> DataFrame:
     query.awaitTermination()
     schema = frame.schema
     if mode != "append":
+        # So that the table exists even if the stream had no batch.
+        sink.write(spark.createDataFrame([], schema), batch_id=-1)
         schema = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
     return spark.read.schema(schema).parquet(out)
 
