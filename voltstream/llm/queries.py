@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltstream.llm.common import prepared
+from voltstream.llm.fingerprints import PARAGRAPH, PHRASE, SECTION, compare_with_edit
 from voltstream.llm.packing import pack
 from voltstream.llm.tokens import count_tokens
+from voltstream.llm.warc import capture_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edit(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return pack(documents, public_tokenizers.path(TOKENIZER))
@@ -31,9 +37,76 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents, public_tokenizers.path(TOKENIZER))
 
 
+def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = capture_index(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_document_fingerprints": op1_document_fingerprints,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op7_token_counts": op7_token_counts,
+    "op8_warc_captures": op8_warc_captures,
 }
 
-ORACLE: dict[str, str] = {}
+
+
+def _merkle_sql(text: str) -> str:
+    """Fingerprint of a text column, as SQL."""
+    tree = (
+        f"list_transform(regexp_extract_all({text}, '{SECTION}'), lambda s: "
+        f"list_transform(regexp_extract_all(s, '{PARAGRAPH}'), lambda p: "
+        f"list_transform(regexp_extract_all(p, '{PHRASE}'), lambda x: sha256(x))))"
+    )
+    root = (
+        f"sha256(concat_ws('', array_to_string(list_transform({tree}, lambda s: sha256(concat_ws('', "
+        "array_to_string(list_transform(s, lambda p: sha256(array_to_string(p, ''))), '')))), '')))"
+    )
+    short = (
+        f"array_to_string(list_transform({tree}, lambda s: array_to_string(list_transform(s, lambda p: "
+        "array_to_string(list_transform(p, lambda x: substr(x, 1, 6)), '')), '.')), '/')"
+    )
+    return f"{root} || ':' || coalesce({short}, '')"
+
+
+def _likeness_sql(left: str, right: str) -> str:
+    a, b = (
+        f"list_distinct(regexp_extract_all(split_part({c}, ':', 2), '[0-9a-f]{{6}}'))"
+        for c in (left, right)
+    )
+    shared = f"2.0::DOUBLE * len(list_intersect({a}, {b})) / nullif(len({a}) + len({b}), 0)"
+    return f"CASE WHEN {left} = {right} THEN 1.0::DOUBLE ELSE coalesce({shared}, 0.0::DOUBLE) END"
+
+
+ORACLE: dict[str, str] = {
+    "op1_document_fingerprints": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        n AS (
+            SELECT doc_id, text, coalesce(
+                lead(text) OVER (ORDER BY doc_id DESC), first_value(text) OVER (ORDER BY doc_id DESC)
+            ) AS next FROM d),
+        e AS (
+            SELECT *, substr(text, 1, length(text) - length(text) // 3)
+                || substr(next, 1, length(text) // 3) AS edited FROM n),
+        f AS (
+            SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
+                {_merkle_sql("text")} AS fingerprint, {_merkle_sql("edited")} AS edited_fingerprint,
+                {_merkle_sql("next")} AS next_fingerprint FROM e)
+        SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+            {_likeness_sql("fingerprint", "edited_fingerprint")} AS near_edited,
+            {_likeness_sql("fingerprint", "next_fingerprint")} AS near_next
+        FROM f
+    """,
+    "op8_warc_captures": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100
+                THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM f
+    """,
+}
