@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from voltstream.llm.common import prepared
 from voltstream.llm.fingerprints import PARAGRAPH, PHRASE, SECTION, compare_with_edit
 from voltstream.llm.packing import pack
+from voltstream.llm.quality import quality
 from voltstream.llm.tokens import count_tokens
+from voltstream.llm.toxicity import toxicity
 from voltstream.llm.warc import capture_index
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,11 +44,26 @@ def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    spans = F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return scored.select(
+        "doc_id", "held_out", "score", "predicted", F.array_join(spans, ",").alias("toxic_spans")
+    )
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op7_token_counts": op7_token_counts,
     "op8_warc_captures": op8_warc_captures,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 
