@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voltstream.llm.common import prepared
 from voltstream.llm.fingerprints import PARAGRAPH, PHRASE, SECTION, compare_with_edit
+from voltstream.llm.jaccard import jaccard_join
 from voltstream.llm.packing import pack
 from voltstream.llm.quality import quality
 from voltstream.llm.tokens import count_tokens
@@ -34,6 +35,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents, public_tokenizers.path(TOKENIZER))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return count_tokens(documents, public_tokenizers.path(TOKENIZER))
@@ -60,6 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_token_counts": op7_token_counts,
     "op8_warc_captures": op8_warc_captures,
     "op9_toxicity": op9_toxicity,
@@ -114,6 +120,25 @@ ORACLE: dict[str, str] = {
             {_likeness_sql("fingerprint", "next_fingerprint")} AS near_next
         FROM f
     """,
+    "op5_ngram_jaccard_join": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^ \\t-\\r]+') AS w FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS s
+            FROM w),
+        x AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+        linked AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reached(doc_id, node) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT r.doc_id, l.b FROM reached r JOIN linked l ON r.node = l.a)
+        SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id
+        FROM s JOIN (SELECT doc_id, min(node) AS component_id FROM reached GROUP BY doc_id) c USING (doc_id)
+    """,
     "op8_warc_captures": """
         WITH p AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
