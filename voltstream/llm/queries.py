@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltstream.llm.common import prepared
+from voltstream.llm.embeddings import near_duplicates
 from voltstream.llm.fingerprints import PARAGRAPH, PHRASE, SECTION, compare_with_edit
 from voltstream.llm.jaccard import jaccard_join
 from voltstream.llm.packing import pack
@@ -30,6 +31,10 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edit(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return pack(documents, public_tokenizers.path(TOKENIZER))
@@ -64,6 +69,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_document_fingerprints": op1_document_fingerprints,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_token_counts": op7_token_counts,
