@@ -136,7 +136,7 @@ def compare_with_edit(frame: DataFrame, key: str = "doc_id", text: str = "text")
         "edited",
         F.concat(
             F.col("text").substr(F.lit(1), F.length("text") - third),
-            F.col("next.text").substr(F.lit(1), third),
+            F.col("next_text").substr(F.lit(1), third),
         ),
     ).withColumn("tree", merkle_tree("edited"))
     done = edited.select(
@@ -145,7 +145,7 @@ def compare_with_edit(frame: DataFrame, key: str = "doc_id", text: str = "text")
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         "fingerprint",
         fingerprint_of(F.col("tree")).alias("edited_fingerprint"),
-        F.col("next.fingerprint").alias("_next"),
+        "next_fingerprint",
     )
     return done.select(
         key,
@@ -154,7 +154,7 @@ def compare_with_edit(frame: DataFrame, key: str = "doc_id", text: str = "text")
         "fingerprint",
         "edited_fingerprint",
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        likeness("fingerprint", "_next").alias("near_next"),
+        likeness("fingerprint", "next_fingerprint").alias("near_next"),
     )
 
 
@@ -179,7 +179,7 @@ def _phrases(fingerprint: Column) -> Column:
 
 
 def _with_next(rows: DataFrame) -> DataFrame:
-    """Add ``next``: text and fingerprint of the row with the next lower id.
+    """Add text and fingerprint of the row with the next lower id.
 
     Ids are cut into blocks of equal width. Inside a block the next row is the one
     before; the lowest row of a block takes the highest of the block below, found on
@@ -188,22 +188,28 @@ def _with_next(rows: DataFrame) -> DataFrame:
     span = rows.agg(F.min("id"), F.max("id"), F.count("*")).first()
     low, high, count = span[0] or 0, span[1] or 0, span[2] or 1
     width = max(1, (high - low + 1) * BLOCK // count)
-    place = F.coalesce(F.floor((F.col("id") - F.lit(low)) / width), F.lit(-1)).cast("bigint")
+    block = F.coalesce(F.expr(f"id div {width}L"), F.lit(low // width - 1))
 
-    placed = rows.withColumn("block", place)
+    # The three uses below read the same four columns, so that Spark shuffles them once.
+    placed = rows.withColumn("block", block.cast("bigint"))
     order = Window.partitionBy("block").orderBy(F.asc_nulls_first("id"), "text")
-    content = F.struct("text", "fingerprint")
-    linked = placed.withColumn("next", F.lag(content).over(order)).withColumn(
-        "last", F.lead(F.lit(1)).over(order).isNull()
+    columns = ("id", "text", "fingerprint", "next_text", "next_fingerprint")
+    linked = placed.withColumns(
+        {
+            "next_text": F.lag("text").over(order),
+            "next_fingerprint": F.lag("fingerprint").over(order),
+            "last": F.lead("text").over(order).isNull(),
+        }
     )
-    inner = linked.where(F.col("next").isNotNull()).select("id", "text", "fingerprint", "next")
-    lowest = linked.where(F.col("next").isNull()).select("id", "text", "fingerprint", "block")
-    highest = linked.where("last").select(F.col("block").alias("below"), content.alias("next"))
-    outer = (
-        lowest.join(_blocks_below(placed.select("block")), "block")
-        .join(highest, "below")
-        .select("id", "text", "fingerprint", "next")
+    inner = linked.where(F.col("next_text").isNotNull()).select(*columns)
+    lowest = linked.where(F.col("next_text").isNull()).select(*columns[:3], "block")
+    highest = linked.where("last").select(
+        F.col("block").alias("below"),
+        F.col("text").alias("next_text"),
+        F.col("fingerprint").alias("next_fingerprint"),
     )
+    below = _blocks_below(placed.select("block"))
+    outer = lowest.join(below, "block").join(highest, "below").select(*columns)
     return inner.unionByName(outer)
 
 

@@ -12,6 +12,8 @@ from voltstream.llm.common import prepared
 from voltstream.llm.embeddings import near_duplicates
 from voltstream.llm.fingerprints import PARAGRAPH, PHRASE, SECTION, compare_with_edit
 from voltstream.llm.jaccard import jaccard_join
+from voltstream.llm.licenses import scan_licenses
+from voltstream.llm.mixing import mix
 from voltstream.llm.packing import pack
 from voltstream.llm.quality import quality
 from voltstream.llm.tokens import count_tokens
@@ -40,6 +42,19 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents, public_tokenizers.path(TOKENIZER))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = scan_licenses(table(spark, sf_dir, "documents"))
+    spans = F.transform(
+        "notices", lambda n: F.concat_ws(":", n["label"], F.concat_ws("-", n["start"], n["end"]), n["edits"])
+    )
+    return scanned.withColumn("notices", F.array_join(spans, ","))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "copy", "position")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -71,7 +86,9 @@ QUERIES: dict[str, Query] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_license_scan": op4_license_scan,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_source_mixing": op6_source_mixing,
     "op7_token_counts": op7_token_counts,
     "op8_warc_captures": op8_warc_captures,
     "op9_toxicity": op9_toxicity,
@@ -145,6 +162,31 @@ ORACLE: dict[str, str] = {
         SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id
         FROM s JOIN (SELECT doc_id, min(node) AS component_id FROM reached GROUP BY doc_id) c USING (doc_id)
     """,
+    "op6_source_mixing": """
+        WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+        r AS (
+            SELECT source, sqrt(n) * ((SELECT sum(n) FROM c) / (SELECT sum(sqrt(n)) FROM c)) / n AS rate FROM c),
+        m AS (SELECT source, ceil(rate / 8)::INT AS draws, rate / ceil(rate / 8) AS mean FROM r),
+        p AS (
+            SELECT source, k, exp(k * ln(mean) - mean - lgamma(k + 1)) AS p
+            FROM m, (SELECT unnest(range(0, 65)) AS k)),
+        d AS (
+            SELECT source, list(c ORDER BY k) AS cdf FROM (
+                SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM p) GROUP BY source),
+        x AS (
+            SELECT doc_id, m.source, cdf, unnest(range(1, draws + 1)) AS draw
+            FROM documents JOIN m ON documents.source IS NOT DISTINCT FROM m.source
+            JOIN d ON m.source IS NOT DISTINCT FROM d.source),
+        u AS (
+            SELECT doc_id, source, sum(len(list_filter(cdf, lambda c: c <= number))) AS copies FROM (
+                SELECT *, ('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, 'null') || '|' || draw), 1, 13))::BIGINT
+                    / 4503599627370496.0::DOUBLE AS number FROM x)
+            GROUP BY doc_id, source),
+        e AS (SELECT doc_id, source, unnest(range(0, copies::BIGINT)) AS copy FROM u)
+        SELECT doc_id, source, copy, ('0x' || substr(
+            md5('mix|place|' || coalesce(doc_id::VARCHAR, 'null') || '|' || copy), 1, 15))::BIGINT AS position
+        FROM e
+    """,
     "op8_warc_captures": """
         WITH p AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
