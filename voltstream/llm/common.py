@@ -41,9 +41,34 @@ def text_or_empty(text: str | Column = "text") -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-def identified(frame: DataFrame, key: str, text: str) -> DataFrame:
-    """Only the id and the text, as ``id`` and ``text``, whatever else is there."""
-    return frame.select(F.col(f"`{key}`").alias("id"), text_or_empty(F.col(f"`{text}`")).alias("text"))
+def identified(frame: DataFrame, key: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Only the id and the text, as ``id`` and ``text``, whatever else is there.
+
+    Columns to keep follow as ``keep0``, ``keep1``, ... so that no names clash.
+    """
+    kept = (F.col(f"`{name}`").alias(f"keep{n}") for n, name in enumerate(keep))
+    return frame.select(
+        F.col(f"`{key}`").cast("bigint").alias("id"), text_or_empty(F.col(f"`{text}`")).alias("text"), *kept
+    )
+
+
+def kept_ddl(frame: DataFrame, keep: tuple[str, ...]) -> str:
+    """The kept columns in a schema, each with a comma after it."""
+    return "".join(f"keep{n} {frame.schema[name].dataType.simpleString()}, " for n, name in enumerate(keep))
+
+
+def with_kept(batch: pa.RecordBatch, keep: tuple[str, ...], found: pa.RecordBatch) -> pa.RecordBatch:
+    """The kept columns of a batch before the columns found for it."""
+    names = [f"keep{n}" for n in range(len(keep))]
+    return pa.record_batch(
+        [*(batch.column(n) for n in names), *found.columns], names=[*names, *found.schema.names]
+    )
+
+
+def named(found: DataFrame, keep: tuple[str, ...], result: dict[str, object]) -> DataFrame:
+    """The kept columns by their own names, then the results, which win over them."""
+    kept = (F.col(f"keep{n}").alias(name) for n, name in enumerate(keep) if name not in result)
+    return found.select(*kept, *(value.alias(name) for name, value in result.items()))
 
 
 def record_batch(columns: dict[str, object], types: dict[str, pa.DataType]) -> pa.RecordBatch:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import identified, record_batch
+from voltstream.llm.common import identified, kept_ddl, named, record_batch, with_kept
 from voltstream.llm.learning import Scores, in_fold, labelled_sample, logistic, word_hash
 
 BITS, RANK = 16, 8
@@ -27,6 +27,8 @@ FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
 BUCKETS = 10
 EPOCHS, BATCH, RATE, RIDGE = 4, 400, 0.08, 2e-4
+# A small sample is gone through more often, until so many batches are done.
+LEAST_BATCHES = 80
 
 # Kinds of bytes.
 _UPPER = np.zeros(256, bool)
@@ -124,7 +126,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11) -> Machine | Non
     )
     hashed = Scores(lambda w: word_hash(w) & (1 << BITS) - 1)
     squares = [1e-6, np.full(size, 1e-6), np.full((size, RANK), 1e-6)]
-    for _ in range(EPOCHS):
+    batches = -(-len(found) // BATCH)
+    for _ in range(max(EPOCHS, -(-LEAST_BATCHES // batches))):
         order = rng.permutation(len(found))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
@@ -153,10 +156,16 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11) -> Machine | Non
 
 
 def score_documents(
-    documents: DataFrame, machine: Machine | None, key: str = "doc_id", text: str = "text"
+    documents: DataFrame,
+    machine: Machine | None,
+    key: str = "doc_id",
+    text: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """key, score and predicted of every whole text.
 
+    ``keep`` names columns to carry along; one named like a result gives way to it.
+
     No shuffle. Null text is empty; the empty text is scored by its structure; a null
     key and repeated rows stay; other columns are ignored. Without a machine every
     score is 1.
@@ -172,12 +181,17 @@ def score_documents(
             scores = [1.0] * batch.num_rows
             if found:
                 scores = logistic(evaluate(machine, *encode(machine, found, hashed))[0])
-            yield record_batch({"id": batch.column("id"), "score": scores}, types)
-
-    scored = identified(documents, key, text).mapInArrow(score, "id BIGINT, score DOUBLE")
-    return scored.select(
-        F.col("id").alias(key), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
-    )
+            found = record_batch({"id": batch.column("id"), "score": scores}, types)
+            yield with_kept(batch, keep, found)
+
+    ddl = f"{kept_ddl(documents, keep)}id BIGINT, score DOUBLE"
+    scored = identified(documents, key, text, keep).mapInArrow(score, ddl)
+    result = {
+        key: F.col("id"),
+        "score": F.col("score"),
+        "predicted": (F.col("score") >= THRESHOLD).cast("int"),
+    }
+    return named(scored, keep, result)
 
 
 def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:

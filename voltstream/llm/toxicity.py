@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import identified, record_batch
+from voltstream.llm.common import identified, kept_ddl, named, record_batch, with_kept
 from voltstream.llm.learning import Scores, fit_logistic, in_fold, labelled_sample, logistic, word_hash
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -31,6 +31,8 @@ THRESHOLD = 0.5
 # A word is labelled toxic if it is in so many toxic documents of the sample, and so
 # many times as frequent there as in clean ones.
 LEAST_DOCUMENTS, LEAST_RATIO = 8, 40.0
+# In a small sample a share of its toxic documents will do.
+LEAST_SHARE = 0.05
 WINDOW, STEPS, RATE, RIDGE = 48, 50, 0.5, 1e-4
 CLEAN_WINDOWS = 6000
 # Long texts are tagged in segments of so many words, see ``marginals``.
@@ -140,10 +142,16 @@ def _in_step(values: list[np.ndarray], transition: np.ndarray) -> list[np.ndarra
 
 
 def score_documents(
-    documents: DataFrame, field: Field | None, key: str = "doc_id", text: str = "text"
+    documents: DataFrame,
+    field: Field | None,
+    key: str = "doc_id",
+    text: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """key, score, predicted, toxic_words and spans of every whole text.
 
+    ``keep`` names columns to carry along; one named like a result gives way to it.
+
     ``spans`` holds (start, end, probability), offsets in characters, of each run of
     words that are more likely toxic than not. No shuffle. Null text is empty; the empty
     text is scored like any other and has no spans; a null key and repeated rows
@@ -157,7 +165,7 @@ def score_documents(
         "spans": pa.list_(span),
     }
     ddl = (
-        "id BIGINT, score DOUBLE, toxic_words BIGINT, "
+        f"{kept_ddl(documents, keep)}id BIGINT, score DOUBLE, toxic_words BIGINT, "
         "spans ARRAY<STRUCT<start: BIGINT, end: BIGINT, probability: DOUBLE>>"
     )
     sent = documents.sparkSession.sparkContext.broadcast(field)
@@ -182,16 +190,18 @@ def score_documents(
                 scores = logistic(summary @ field.curve[:-1] + field.curve[-1])
                 found = [_spans(t, o) for t, o in zip(texts, odds)]
                 columns = (scores, [int((o > 0).sum()) for o in odds], found)
-            yield record_batch(dict(zip(types, (batch.column("id"), *columns))), types)
-
-    scored = identified(documents, key, text).mapInArrow(score, ddl)
-    return scored.select(
-        F.col("id").alias(key),
-        "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-        "toxic_words",
-        "spans",
-    )
+            found = record_batch(dict(zip(types, (batch.column("id"), *columns))), types)
+            yield with_kept(batch, keep, found)
+
+    scored = identified(documents, key, text, keep).mapInArrow(score, ddl)
+    result = {
+        key: F.col("id"),
+        "score": F.col("score"),
+        "predicted": (F.col("score") >= THRESHOLD).cast("int"),
+        "toxic_words": F.col("toxic_words"),
+        "spans": F.col("spans"),
+    }
+    return named(scored, keep, result)
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -210,11 +220,12 @@ def _labelled_features(documents: list[list[str]], labels: np.ndarray) -> set[st
     for words, label in zip(documents, labels):
         seen = {f for w in set(words) for f in features(w)}
         (toxic if label else clean).update(seen)
+    least = min(LEAST_DOCUMENTS, max(2, LEAST_SHARE * labels.sum()))
     many, few = labels.sum() + 1, len(labels) - labels.sum() + 1
     return {
         f
         for f, n in toxic.items()
-        if n >= LEAST_DOCUMENTS and (n / many) / ((clean[f] + 0.5) / few) >= LEAST_RATIO
+        if n >= least and (n / many) / ((clean[f] + 0.5) / few) >= LEAST_RATIO
     }
 
 
