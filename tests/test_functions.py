@@ -46,6 +46,20 @@ def test_iso_time_with_and_without_fraction(spark, text, micros):
     assert one(frame) == (datetime(2024, 5, 1, 10, 1, 2, micros),)
 
 
+@pytest.mark.parametrize("text", ["2024", "10:30", "2024-05-01", "2024-05-01T10:01:02", "soon"])
+def test_iso_time_takes_nothing_less(spark, text):
+    frame = spark.createDataFrame([(text,)], "t string").select(iso_time("t"))
+    assert one(frame) == (None,)
+
+
+@pytest.mark.parametrize("scale, reading", [(2, 0.004), (2, math.nan), (None, math.nan), (None, math.inf)])
+def test_a_reading_that_does_not_fit_fails(spark, scale, reading):
+    frame = spark.createDataFrame([(1.0,), (reading,)], "x double")
+    for measure in (total("x", scale), mean("x", 1, scale)):
+        with pytest.raises(PySparkException, match="does not fit its scale"):
+            frame.agg(measure).collect()
+
+
 def test_millis_time(spark):
     frame = spark.createDataFrame([(1714557662345,)], "ts bigint")
     assert one(frame.select(millis_time("ts"))) == (

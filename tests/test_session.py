@@ -22,6 +22,25 @@ def test_static_settings_reach_the_context(spark):
     spark.conf.set(INITIAL_PARTITIONS, "16")
 
 
+def test_partitions_never_fall_below_sparks_default(spark):
+    class Context:
+        defaultParallelism = 2
+
+    class Session:
+        sparkContext = Context()
+
+    assert sized_partitions(Session()) == 200
+    Context.defaultParallelism = 4000
+    assert sized_partitions(Session()) == 8000
+
+
+def test_a_stream_takes_its_own_number_of_partitions(spark):
+    before = spark.conf.get(PARTITIONS)
+    with _stream_settings(spark, 17):
+        assert spark.conf.get(PARTITIONS) == "17"
+    assert spark.conf.get(PARTITIONS) == before
+
+
 def test_stream_settings_fill_gaps_and_leave_no_trace(spark):
     own = {key: spark.conf.get(key) for key in (PARTITIONS, PROVIDER)}
     try:

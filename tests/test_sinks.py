@@ -9,7 +9,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from voltstream.schemas import DEVICE_CHARGE, MONGO_TARGET, PLANT_WINDOW, RAW_TABLE
 from voltstream.sinks.base import Sink, fan_out
-from voltstream.sinks.console import console_sink, describe
+from voltstream.sinks.console import console_sink, describe, preview_sink
 from voltstream.sinks.files import csv_sink, parquet_sink
 from voltstream.sinks.jdbc import jdbc_sink, postgres_sink
 from voltstream.sinks.kafka import json_sink, record_frame, text_sink
@@ -28,7 +28,7 @@ class Recorder:
     """Stands in for ``DataFrameWriter.save``; fails the first ``failures`` times."""
 
     def __init__(self, failures=0):
-        self.failures, self.frames, self.options = failures, [], []
+        self.failures, self.frames, self.options, self.statements = failures, [], [], []
 
     def __enter__(self):
         set_option = DataFrameWriter.options
@@ -40,6 +40,7 @@ class Recorder:
                 lambda writer, **o: (self.options.append(o), set_option(writer, **o))[1],
             ),
             patch("voltstream.sinks.base.time.sleep"),
+            patch("voltstream.sinks.jdbc.execute", lambda s, o, sql: self.statements.append(sql)),
         ]
         for p in self.patches:
             p.start()
@@ -71,9 +72,11 @@ def test_jdbc_options_and_columns(raw_row):
     with Recorder() as seen:
         jdbc().write(raw_row, 3)
     (frame,), (options,) = seen.frames, seen.options
-    assert frame.dtypes == list(RAW_TABLE.items())
-    assert tuple(frame.first()) == ("m", "7", "{}", "2024-05-01 10:01:02.000345")
-    assert options["batchsize"] == "200" and options["dbtable"] == "raw_fv_data"
+    assert frame.dtypes[:-1] == list(RAW_TABLE.items())
+    assert tuple(frame.first()) == ("m", "7", "{}", "2024-05-01 10:01:02.000345", 1)
+    assert options["batchsize"] == "200" and options["dbtable"] == "raw_fv_data_staging"
+    ((merge,),) = seen.statements
+    assert merge.startswith('INSERT INTO raw_fv_data ("message_id", "planta_id"')
     plan = frame._jdf.queryExecution().logical().toString()
     assert "Repartition 16, true" in plan
     assert options["driver"] == "org.postgresql.Driver"
@@ -82,8 +85,9 @@ def test_jdbc_options_and_columns(raw_row):
 def test_jdbc_batch_column(raw_row):
     with Recorder() as seen:
         jdbc(batch_column="batch_id").write(raw_row, 3)
-    assert seen.frames[0].dtypes[-1] == ("batch_id", "bigint")
+    assert seen.frames[0].dtypes[-2] == ("batch_id", "bigint")
     assert seen.frames[0].first().batch_id == 3
+    assert seen.statements[0][0] == 'DELETE FROM raw_fv_data WHERE "batch_id" = 3'
 
 
 def test_jdbc_retries_five_times(raw_row):
@@ -95,6 +99,65 @@ def test_jdbc_retries_five_times(raw_row):
     assert len(seen.frames) == 6
 
 
+def test_jdbc_does_not_repeat_what_no_retry_mends(raw_row):
+    with Recorder(failures=9) as seen, pytest.raises(RuntimeError):
+        with patch.object(Recorder, "save", lambda self, writer: self.fail(writer)):
+            Recorder.fail = lambda self, writer: (self.frames.append(1), _raise("no such column"))
+            jdbc().write(raw_row)
+    assert len(seen.frames) == 1
+
+
+def _raise(text):
+    raise RuntimeError(text)
+
+
+class Database:
+    """Stands in for a database: a staging table and a table, filled as the sink asks.
+
+    The first ``failures`` writes commit half of the rows and lose the connection; the
+    last one has a task run twice.
+    """
+
+    def __init__(self, failures):
+        self.failures, self.staging, self.table = failures, [], []
+
+    def save(self, writer):
+        rows = [tuple(r) for r in writer._df.collect()]
+        self.staging = rows[: len(rows) // 2]
+        if self.failures:
+            self.failures -= 1
+            raise RuntimeError("connection lost")
+        self.staging = rows + rows[:3]
+
+    def execute(self, session, options, statements):
+        for statement in statements:
+            if statement.startswith("DELETE"):
+                number = int(statement.rsplit(" ", 1)[1])
+                self.table = [r for r in self.table if r[-1] != number]
+            else:
+                self.table += [r[:-1] for r in set(self.staging)]
+
+
+@pytest.mark.parametrize("failures", [0, 1, 5])
+def test_jdbc_leaves_each_row_once(spark, failures):
+    database = Database(failures)
+    rows = spark.range(20).selectExpr(
+        "string(id % 15) AS message_id", "1 AS planta_id", "'{}' AS message", "NULL AS timestamp"
+    )
+    sink = jdbc(batch_column="batch_id")
+    with (
+        patch.object(DataFrameWriter, "save", lambda writer, *a, **k: database.save(writer)),
+        patch("voltstream.sinks.jdbc.execute", database.execute),
+        patch("voltstream.sinks.base.time.sleep"),
+    ):
+        sink.write(rows, 1)
+        sink.write(rows, 1)  # a replay after the driver was lost
+        sink.write(rows, 2)
+    for batch in (1, 2):
+        ids = sorted(int(r[0]) for r in database.table if r[-1] == batch)
+        assert ids == sorted(n % 15 for n in range(20))
+
+
 def test_postgres_login_comes_from_the_environment(monkeypatch):
     with pytest.raises(KeyError):
         postgres_sink("t", RAW_TABLE, "db:5432")
@@ -228,7 +291,8 @@ def test_fan_out_frees_the_batch_when_a_sink_fails(spark):
 
 
 def test_console(spark, capfd):
-    console_sink(rows=2).write(spark.range(5), 0)
+    preview_sink(rows=2).write(spark.range(5), 0)
+    console_sink(preview=1).write(spark.range(5), 0)
     describe(spark.range(2))
     out = capfd.readouterr().out
     assert "only showing top 2 rows" in out and "|-- id: long" in out
@@ -238,9 +302,8 @@ def test_native_sink_streams_natively(spark, tmp_path):
     stream = spark.readStream.schema("id BIGINT").parquet(str(tmp_path))
     with patch("pyspark.sql.streaming.readwriter.DataStreamWriter.format") as chosen:
         json_sink("h:9092", "t", {"id": "bigint"}).attach(stream)
-        console_sink().attach(stream)
-    assert [c.args[0] for c in chosen.call_args_list] == ["kafka", "console"]
-    batchwise = replace(console_sink(), native=False)
+    assert [c.args[0] for c in chosen.call_args_list] == ["kafka"]
+    batchwise = replace(json_sink("h:9092", "t", {"id": "bigint"}), native=False)
     with patch("pyspark.sql.streaming.readwriter.DataStreamWriter.foreachBatch") as chosen:
         batchwise.attach(stream)
     chosen.assert_called_once_with(batchwise.write)

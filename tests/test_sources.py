@@ -2,7 +2,7 @@ import pytest
 
 from voltstream.schemas import DEVICE_READING
 from voltstream.sources.kafka import kafka_table, kafka_values
-from voltstream.streaming.workdir import fresh_dir, job_dir
+from voltstream.streaming.workdir import fresh_dir, job_dir, remove_made
 
 
 class FakeReader:
@@ -60,6 +60,19 @@ def test_batch_read_has_no_latest_start(spark):
     assert "startingOffsets" not in session.read.asked
 
 
+def test_a_callers_start_is_kept(spark):
+    session = FakeSession(spark)
+    kafka_values(session, "h:9092", "FV", startingOffsets='{"FV":{"0":5}}')
+    assert session.readStream.asked["startingOffsets"] == '{"FV":{"0":5}}'
+
+
+def test_json_table_parses_the_named_fields_only(spark):
+    table = kafka_table(FakeSession(spark), "h:9092", "t", DEVICE_READING, fields=("ts",))
+    assert table.columns == ["ts"] and table.first().ts == 5
+    plan = table._jdf.queryExecution().analyzed().toString()
+    assert "from_json(StructField(ts,LongType,true), " in plan
+
+
 def test_json_table_reads_from_the_start(spark):
     session = FakeSession(spark)
     table = kafka_table(session, "h:9092", "sensor.readings", DEVICE_READING)
@@ -92,5 +105,20 @@ def test_cluster_without_the_setting_is_refused():
         fresh_dir(FakeCluster(), "x")
 
 
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "spark://h:7077"])
+def test_only_a_single_machine_goes_without(monkeypatch, master):
+    monkeypatch.setattr(FakeContext, "master", master)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        fresh_dir(FakeCluster(), "x")
+
+
+def test_made_folders_can_be_removed(spark):
+    folder = fresh_dir(spark, "x")
+    spark.range(3).write.parquet(folder)
+    assert remove_made(spark) >= 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)
+
+
 def test_local_session_gets_one_root(spark):
     assert fresh_dir(spark, "x").rsplit("/", 1)[0] == fresh_dir(spark, "y").rsplit("/", 1)[0]

@@ -1,6 +1,7 @@
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from voltstream.functions.measures import mean, total
@@ -13,7 +14,7 @@ from voltstream.plans.windowed import (
     plant_means,
 )
 from voltstream.queries import device_readings, events, feed
-from voltstream.streaming.attributes import with_event_time
+from voltstream.streaming.attributes import split_event_time, with_event_time
 
 
 def rows(frame):
@@ -91,7 +92,7 @@ def test_hot_key_stays_whole(spark):
 def test_joined_windows_hand_case(spark):
     emi = spark.createDataFrame(
         [("2024-05-01 10:01:00", 100.0), ("2024-05-01 10:09:00", 101.0),
-         ("2024-05-01 10:12:00", 5.0), ("never", 9.0)],
+         ("2024-05-01 10:12:00", 5.0)],
         "Fecha string, Radiacion float",
     )
     inv = spark.createDataFrame(
@@ -105,6 +106,18 @@ def test_joined_windows_hand_case(spark):
         assert [kind for _, kind in joined.dtypes] == ["timestamp"] * 2 + ["float"] * 2
 
 
+def test_unreadable_event_times_fail_or_leave(spark):
+    frame = spark.createDataFrame(
+        [("2024-05-01 10:01:00", 1.0), ("T10:01:00", 2.0), (None, 3.0)], "Fecha string, Radiacion float"
+    )
+    with pytest.raises(Exception, match="unreadable event time"):
+        with_event_time(frame).collect()
+    good, bad = split_event_time(frame)
+    assert [r.Radiacion for r in with_event_time(good).collect()] == [1.0]
+    assert sorted(r.Radiacion for r in bad.collect()) == [2.0, 3.0]
+    assert with_event_time(frame, strict=False).where("ts_ltz IS NULL").count() == 2
+
+
 def test_join_publishes_its_views(spark, tables):
     frame = events(spark, tables)
     pair = feed(frame, "click", "Radiacion"), feed(frame, "view", "PA_Inv")

@@ -50,9 +50,9 @@ from voltstream.schemas import (
     TOPICS,
 )
 from voltstream.session import get_spark, ship_package
-from voltstream.sinks.base import Sink
-from voltstream.sinks.console import console_sink, describe
-from voltstream.sinks.files import csv_sink
+from voltstream.sinks.base import Sink, fan_out
+from voltstream.sinks.console import console_sink, describe, preview_sink
+from voltstream.sinks.files import csv_sink, json_folder
 from voltstream.sinks.jdbc import postgres_sink
 from voltstream.sinks.kafka import json_sink, text_sink
 from voltstream.sinks.mongo import mongo_sink, mongo_uri
@@ -65,21 +65,60 @@ from voltstream.streaming.workdir import job_dir
 Job = Callable[[SparkSession, argparse.Namespace], StreamingQuery | None]
 
 
-def run(args: argparse.Namespace) -> dict[str, bool]:
-    return {"to_end": args.to_end}
+def run(args: argparse.Namespace) -> dict[str, object]:
+    return {"to_end": args.to_end, "partitions": args.partitions}
+
+
+def windows(args: argparse.Namespace) -> dict[str, object]:
+    """As ``run``, for clock windows. A run to the end emits those still open too, so a
+    window may come again with a later run, then with more rows."""
+    return {**run(args), "mode": "update" if args.to_end else "append"}
+
+
+def limits(args: argparse.Namespace) -> dict[str, str]:
+    """Bounds on a micro-batch and the split of full topic partitions."""
+    given = {"maxOffsetsPerTrigger": args.max_offsets, "minPartitions": args.min_partitions}
+    return {name: str(value) for name, value in given.items() if value}
+
+
+def rejects(args: argparse.Namespace) -> Sink | None:
+    return json_folder(args.rejects, native=False) if args.rejects else None
+
+
+def kept(args: argparse.Namespace) -> Sink:
+    """All rows into the output folder, a preview on the console."""
+    return fan_out(json_folder(args.output, native=False), preview_sink())
 
 
 def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     topic = "plant_messages"
     return kafka_values(
-        spark, args.servers, TOPICS[topic], earliest=args.earliest, group=GROUPS[topic]
+        spark,
+        args.servers,
+        TOPICS[topic],
+        earliest=args.earliest,
+        group=GROUPS[topic],
+        **limits(args),
     )
 
 
 def records(
-    spark: SparkSession, args: argparse.Namespace, topic: str, schema: str
+    spark: SparkSession,
+    args: argparse.Namespace,
+    topic: str,
+    schema: str,
+    fields: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    return kafka_table(spark, args.servers, TOPICS[topic], schema, group=GROUPS[topic])
+    return kafka_table(
+        spark,
+        args.servers,
+        TOPICS[topic],
+        schema,
+        group=GROUPS[topic],
+        fields=fields,
+        strict=True,
+        **limits(args),
+    )
 
 
 def feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, DataFrame]:
@@ -91,21 +130,25 @@ def feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, Dat
 
 def _means(sink: Callable[[argparse.Namespace], Sink]) -> Job:
     def job(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
-        readings = records(spark, args, "plant_readings", PLANT_READING)
-        means = plant_means(with_processing_time(readings, heartbeat=True))
+        fields = ("planta_id", "potencia", "radiacion")
+        readings = records(spark, args, "plant_readings", PLANT_READING, fields)
+        clocked = with_processing_time(readings, heartbeat=True)
+        means = plant_means(clocked, scale=args.scale)
         describe(readings)
         describe(means)
-        return start(means, sink(args), args.checkpoint, args.job, **run(args))
+        return start(means, sink(args), args.checkpoint, args.job, **windows(args))
 
     return job
 
 
-def _charge(transform: Callable[[DataFrame], DataFrame], heartbeat: bool) -> Job:
+def _charge(transform: Callable[..., DataFrame]) -> Job:
     def job(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
-        readings = records(spark, args, "device_readings", DEVICE_READING)
-        charge = transform(with_processing_time(readings, heartbeat=heartbeat))
+        fields = ("device_id", "ampere_hour")
+        readings = records(spark, args, "device_readings", DEVICE_READING, fields)
+        clocked = with_processing_time(readings, heartbeat=True)
+        charge = transform(clocked, args.scale)
         sink = json_sink(args.servers, TOPICS["device_charge"], DEVICE_CHARGE)
-        return start(charge, sink, args.checkpoint, args.job, **run(args))
+        return start(charge, sink, args.checkpoint, args.job, **windows(args))
 
     return job
 
@@ -124,15 +167,16 @@ def _csv_filter(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery
     telemetry = csv_table(spark, args.input, TELEMETRY, stream=True)
     describe(telemetry)
     warm = warm_readings(telemetry)
-    return start(warm, console_sink(), args.checkpoint, args.job, to_end=True)
+    return start(warm, kept(args), args.checkpoint, args.job, to_end=True)
 
 
 def _csv_report(spark: SparkSession, args: argparse.Namespace) -> None:
     telemetry = csv_table(spark, args.input, TELEMETRY)
-    describe(some_readings(telemetry))
-    describe(devices(telemetry))
     warmest = warmest_readings(telemetry)
-    describe(warmest)
+    parts = {"some": some_readings(telemetry), "devices": devices(telemetry), "warmest": warmest}
+    for name, frame in parts.items():
+        json_folder(f"{args.output}/{name}").write(frame)
+        describe(frame)
     warmest.explain("formatted")
 
 
@@ -144,27 +188,34 @@ def _csv_stats(spark: SparkSession, args: argparse.Namespace) -> None:
 
 JOBS: dict[str, Job] = {
     "alerts-console": lambda spark, a: alerts_to_console(
-        messages(spark, a), a.checkpoint, **run(a)
+        messages(spark, a),
+        fan_out(console_sink(), json_folder(a.output, native=False)),
+        a.checkpoint,
+        rejects=rejects(a),
+        **run(a),
     ),
     "alerts-kafka": lambda spark, a: alerts_to_topic(
         messages(spark, a),
         text_sink(a.servers, TOPICS["plant_alerts"]),
         a.checkpoint,
+        rejects=rejects(a),
         **run(a),
     ),
     "alerts-postgres": lambda spark, a: alerts_to_table(
         messages(spark, a),
         postgres_sink(TABLES["alerts"], ALERT_TABLE, a.postgres),
         a.checkpoint,
+        rejects=rejects(a),
         **run(a),
     ),
     "raw-postgres": lambda spark, a: raw_to_table(
         messages(spark, a),
         postgres_sink(TABLES["raw"], RAW_TABLE, a.postgres),
         a.checkpoint,
+        rejects=rejects(a),
         **run(a),
     ),
-    "means-console": _means(lambda a: console_sink()),
+    "means-console": _means(kept),
     "means-kafka": _means(
         lambda a: json_sink(a.servers, TOPICS["plant_window"], PLANT_WINDOW)
     ),
@@ -174,8 +225,8 @@ JOBS: dict[str, Job] = {
     "means-mongo": _means(
         lambda a: mongo_sink(mongo_uri(a.mongo), **MONGO_TARGET, target=PLANT_WINDOW)
     ),
-    "charge-kafka": _charge(device_charge, heartbeat=True),
-    "charge-kafka-sql": _charge(device_charge_sql, heartbeat=False),
+    "charge-kafka": _charge(lambda frame, scale: device_charge(frame, scale=scale)),
+    "charge-kafka-sql": _charge(device_charge_sql),
     "joined-kafka": _joined_topic,
     "joined-postgres": _joined_table,
     "csv-filter": _csv_filter,
@@ -184,6 +235,10 @@ JOBS: dict[str, Job] = {
 }
 
 
+def _scale(text: str) -> int | None:
+    return None if text == "none" else int(text)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("job", choices=JOBS)
@@ -191,7 +246,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--postgres", help="host:port of Postgres")
     parser.add_argument("--mongo", help="host:port of MongoDB")
     parser.add_argument("--input", help="CSV file or folder")
-    parser.add_argument("--output", help="CSV folder to write")
+    parser.add_argument("--output", help="folder for the whole result of jobs that print")
+    parser.add_argument("--rejects", help="folder for messages that are not JSON")
+    parser.add_argument("--max-offsets", type=int, help="records per micro-batch")
+    parser.add_argument("--min-partitions", type=int, help="tasks that read a topic")
+    parser.add_argument("--partitions", type=int, help="state partitions of a stream")
+    parser.add_argument(
+        "--scale", type=_scale, default=2, help="decimals of readings, or 'none'; default 2"
+    )
     parser.add_argument("--checkpoint", help="default: per job, in the shared folder")
     parser.add_argument("--earliest", action="store_true", help="start of the topic")
     parser.add_argument("--to-end", action="store_true", help="stop when caught up")
@@ -199,6 +261,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = ship_package(get_spark(args.job))
     args.checkpoint = args.checkpoint or job_dir(spark, args.job)
+    args.output = args.output or job_dir(spark, f"{args.job}-output")
     query = JOBS[args.job](spark, args)
     if query is not None:
         query.awaitTermination()

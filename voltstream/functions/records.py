@@ -10,15 +10,23 @@ CORRUPT = "_corrupt"
 
 
 def read_record(
-    values: DataFrame, schema: str, column: str = "value", strict: bool = False
+    values: DataFrame,
+    schema: str,
+    column: str = "value",
+    strict: bool = False,
+    fields: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Replace a JSON text column by the record's fields; keep the other columns.
 
+    ``fields`` names those of the schema that are wanted; the parser skips the rest.
     A field that is absent or of the wrong type is null. ``strict=True`` fails
     the job on text which is not JSON, for callers that prefer to stop.
     """
     options = {"mode": "FAILFAST"} if strict else {}
-    return _unpack(values, column, F.from_json(column, schema, options))
+    declared = T.StructType.fromDDL(schema)
+    if fields is not None:
+        declared = T.StructType([declared[name] for name in fields])
+    return _unpack(values, column, F.from_json(column, declared, options))
 
 
 def read_record_checked(

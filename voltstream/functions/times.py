@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the text form of event time on the joined feeds.
+# The text forms of event time on the joined feeds and of messages.
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
 
 
 def event_time(column: str | Column, fmt: str = EVENT_TIME_FORMAT) -> Column:
@@ -15,8 +16,11 @@ def event_time(column: str | Column, fmt: str = EVENT_TIME_FORMAT) -> Column:
 
 
 def iso_time(column: str | Column) -> Column:
-    """ISO-8601 text with an offset to TIMESTAMP, with or without a fraction."""
-    return F.try_to_timestamp(_col(column))
+    """ISO-8601 date, time and offset to TIMESTAMP, with or without a fraction.
+
+    Text of another shape gives null, also a date or a time alone.
+    """
+    return F.try_to_timestamp(_col(column), F.lit(ISO_FORMAT))
 
 
 def millis_time(column: str | Column) -> Column:

@@ -80,10 +80,19 @@ def normalise(values: DataFrame, strict: bool = False) -> DataFrame:
 
 def split_corrupt(values: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(normalised rows, text that is not JSON); every input row is in one of the two."""
-    checked = read_record_checked(values, RAW_MESSAGE)
-    good = checked.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = checked.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
-    return _raw_rows(good), bad
+    good, bad = split_values(values, RAW_MESSAGE)
+    return normalise(good), bad
+
+
+def split_values(
+    values: DataFrame, schema: str = PLANT_MESSAGE
+) -> tuple[DataFrame, DataFrame]:
+    """(text that is JSON of the schema, other text), both in ``value``; null text is bad."""
+    kept = values.withColumn("_text", F.col("value"))
+    checked = read_record_checked(kept, schema)
+    text = F.col("_text").alias("value")
+    bad = F.col(CORRUPT).isNotNull() | F.col("_text").isNull()
+    return checked.where(~bad).select(text), checked.where(bad).select(text)
 
 
 def json_values(frame: DataFrame) -> DataFrame:

@@ -101,6 +101,10 @@ ORACLE: dict[str, str] = {
         SELECT CAST(value AS VARCHAR) AS temp FROM events
         WHERE CAST(value AS VARCHAR) >= '20' ORDER BY temp DESC LIMIT 20""",
     "q05_csv_roundtrip": "SELECT * FROM events",
+    "q05_csv_text_roundtrip": r"""
+        SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN '' WHEN 1 THEN NULL
+            WHEN 2 THEN '  "\n\r' || text || '", ' ELSE text END AS text
+        FROM documents""",
     "q06_alert_rows": _alert_rows(),
     "q07_alert_json": f"""
         SELECT CAST(event_id AS VARCHAR) AS message_id,
@@ -115,6 +119,16 @@ ORACLE: dict[str, str] = {
                    || ',"Potencia":' || {K} || '.0}}' AS message,
                ts AS "timestamp"
         FROM events""",
+    "q08_raw_rejects": f"""
+        SELECT CASE WHEN event_id % 7 <> 0 THEN CAST(event_id AS VARCHAR) END AS message_id,
+               event_id % 7 <> 0 AS accepted,
+               CASE WHEN event_id % 7 = 0 THEN substr('{{"message_id":"' || event_id
+                   || '","planta_id":' || CAST(user_id AS INT) || ',"message":{{"Radiacion":', 1, 40)
+               END AS value
+        FROM events""",
+    "q08_bad_event_times": """
+        SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN date_trunc('second', ts) END AS ts_ltz
+        FROM events""",
     "q09_tumble60_keyed_avg": PLANT_MEANS,
     "q09_plant_json_means": PLANT_MEANS,
     "q10_tumble30_sum_sql": CHARGE,
@@ -123,6 +137,7 @@ ORACLE: dict[str, str] = {
     "q12_window_join": JOINED,
     "q12_window_join_one_scan": JOINED,
     "q12_window_join_json_sql": _joined("avg(CAST(CAST(value AS FLOAT) AS DOUBLE))"),
+    "q12_window_join_views": JOINED,
     "q13_row_function": STATS,
     "q13_row_function_batches": STATS,
     "q13_row_function_rows": STATS,
@@ -130,6 +145,9 @@ ORACLE: dict[str, str] = {
     "q13_hourly_csv": STATS,
     "q14_tumble10_keyed_avg": TYPE_MEANS,
     "q14_stream_tumble": f"SELECT * FROM ({TYPE_MEANS}) WHERE {_closed('true')}",
+    "q14_stream_tumble_batches": TYPE_MEANS,
+    "q14_stream_tumble_flushed": TYPE_MEANS,
+    "q15_stream_window_join_batches": JOINED,
     "q15_stream_window_join": f"""
         SELECT * FROM ({JOINED})
         WHERE {_closed("event_type = 'click'")} AND {_closed("event_type = 'view'")}""",
@@ -143,4 +161,9 @@ ORACLE: dict[str, str] = {
                CAST(value AS VARCHAR) AS temp
         FROM events WHERE CAST(value AS VARCHAR) >= '20'""",
     "q20_kafka_record_roundtrip": f"SELECT device_id AS key, * FROM ({CHARGE})",
+    "q21_csv_filter_job": """
+        SELECT CAST(event_id AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS device,
+               CAST(value AS VARCHAR) AS temp
+        FROM events WHERE CAST(value AS VARCHAR) >= '20'""",
+    "q22_named_devices": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS device FROM events",
 }

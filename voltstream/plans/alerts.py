@@ -1,10 +1,14 @@
 """Jobs on plant messages: alerts and raw ingest.
 
-Each takes a ``value`` text frame, from a topic or anything else.
+Each takes a ``value`` text frame, from a topic or anything else. Text that is not a
+message goes to ``rejects``, a sink of ``value`` rows; without one it fails the job, so
+none vanishes. Previews are printed on the driver beside the sink that takes all rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,42 +17,91 @@ from voltstream.operators.messages import (
     alert_rows,
     normalise,
     parse_message,
+    split_values,
 )
+from voltstream.schemas import PLANT_MESSAGE, RAW_MESSAGE
 from voltstream.sinks.base import Sink, fan_out
-from voltstream.sinks.console import console_sink
+from voltstream.sinks.console import preview_sink
 from voltstream.sinks.jdbc import FLUSH_EVERY
 from voltstream.streaming.run import start
 
 
 def alerts_to_console(
-    values: DataFrame, checkpoint: str, name: str = "alerts-console", **run
+    values: DataFrame,
+    console: Sink,
+    checkpoint: str,
+    name: str = "alerts-console",
+    rejects: Sink | None = None,
+    **run,
 ) -> StreamingQuery:
-    """Print the alert messages."""
-    alerts = alert_messages(parse_message(values))
-    return start(alerts, console_sink(), checkpoint, name, **run)
+    """Give all alert messages to a sink that prints or keeps every one of them."""
+    sink = _messages(_alert_messages, fan_out(console, preview_sink()), rejects, PLANT_MESSAGE)
+    return start(values, sink, checkpoint, name, **run)
 
 
 def alerts_to_topic(
-    values: DataFrame, topic: Sink, checkpoint: str, name: str = "alerts-topic", **run
+    values: DataFrame,
+    topic: Sink,
+    checkpoint: str,
+    name: str = "alerts-topic",
+    rejects: Sink | None = None,
+    **run,
 ) -> StreamingQuery:
-    """Send the alert messages to a text sink, and print them."""
-    alerts = alert_messages(parse_message(values))
-    return start(alerts, fan_out(topic, console_sink()), checkpoint, name, **run)
+    """Send the alert messages to a text sink."""
+    sink = _messages(_alert_messages, fan_out(topic, preview_sink()), rejects, PLANT_MESSAGE)
+    return start(values, sink, checkpoint, name, **run)
 
 
 def alerts_to_table(
-    values: DataFrame, table: Sink, checkpoint: str, name: str = "alerts-table", **run
+    values: DataFrame,
+    table: Sink,
+    checkpoint: str,
+    name: str = "alerts-table",
+    rejects: Sink | None = None,
+    **run,
 ) -> StreamingQuery:
-    """Insert the alerts as typed rows, and print them."""
-    alerts = alert_rows(parse_message(values))
+    """Insert the alerts as typed rows."""
     run.setdefault("every", FLUSH_EVERY)
-    return start(alerts, fan_out(table, console_sink()), checkpoint, name, **run)
+    sink = _messages(_alert_rows, fan_out(table, preview_sink()), rejects, PLANT_MESSAGE)
+    return start(values, sink, checkpoint, name, **run)
 
 
 def raw_to_table(
-    values: DataFrame, table: Sink, checkpoint: str, name: str = "raw-table", **run
+    values: DataFrame,
+    table: Sink,
+    checkpoint: str,
+    name: str = "raw-table",
+    rejects: Sink | None = None,
+    **run,
 ) -> StreamingQuery:
-    """Insert every message in its raw normal form, and print it."""
+    """Insert every message in its raw normal form."""
     run.setdefault("every", FLUSH_EVERY)
-    rows = normalise(values)
-    return start(rows, fan_out(table, console_sink()), checkpoint, name, **run)
+    sink = _messages(normalise, fan_out(table, preview_sink()), rejects, RAW_MESSAGE)
+    return start(values, sink, checkpoint, name, **run)
+
+
+def _alert_messages(values: DataFrame, strict: bool) -> DataFrame:
+    return alert_messages(parse_message(values, strict=strict))
+
+
+def _alert_rows(values: DataFrame, strict: bool) -> DataFrame:
+    return alert_rows(parse_message(values, strict=strict))
+
+
+def _messages(
+    transform: Callable[..., DataFrame], sink: Sink, rejects: Sink | None, schema: str
+) -> Sink:
+    """A sink of message texts: what they give to ``sink``, what is no message to ``rejects``."""
+
+    def write(frame: DataFrame, batch_id: int | None) -> None:
+        if rejects is None:
+            return sink.write(transform(frame, strict=True), batch_id)
+        frame.persist()
+        try:
+            good, bad = split_values(frame, schema)
+            sink.write(transform(good, strict=True), batch_id)
+            rejects.write(bad, batch_id)
+        finally:
+            frame.unpersist()
+
+    return Sink("messages", native=False, custom_write=write)

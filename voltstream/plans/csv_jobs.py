@@ -32,13 +32,16 @@ def warmest_readings(
     return warm_readings(telemetry).orderBy(F.desc("temp"), *ties).limit(rows)
 
 
-def warmest_readings_sql(telemetry: DataFrame) -> DataFrame:
+def warmest_readings_sql(
+    telemetry: DataFrame, rows: int = 20, least: str = WARM
+) -> DataFrame:
     """``warmest_readings`` in SQL."""
     return telemetry.sparkSession.sql(
         """
         SELECT ts, device, temp FROM {telemetry}
-        WHERE temp >= '20' ORDER BY temp DESC LIMIT 20
+        WHERE temp >= :least ORDER BY temp DESC LIMIT :rows
         """,
+        args={"least": least, "rows": rows},
         telemetry=telemetry,
     )
 

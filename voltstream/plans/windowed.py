@@ -7,10 +7,11 @@ Every function is a transform of frames that already have a time attribute (see
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from voltstream.functions.measures import mean, total
+from voltstream.functions.measures import checked, mean, total
 from voltstream.functions.records import conform
-from voltstream.operators.windows import bounds, join_windows, tumble
+from voltstream.operators.windows import HEARTBEAT, bounds, join_windows, tumble
 from voltstream.schemas import JOINED_WINDOW
 
 
@@ -39,16 +40,26 @@ def device_charge(
     return bounds(tumble(readings, time, size, measures, keys=("device_id",)))
 
 
-def device_charge_sql(readings: DataFrame) -> DataFrame:
-    """``device_charge`` on ``proctime``, in SQL."""
+def device_charge_sql(readings: DataFrame, scale: int | None = None) -> DataFrame:
+    """``device_charge`` on ``proctime``, in SQL. Heartbeats, if any, are left out.
+
+    With ``scale`` the readings are summed as decimals of so many places, exactly.
+    """
+    if scale is not None:
+        exact = checked(F.col("ampere_hour"), scale).cast(f"decimal(18, {scale})")
+        readings = readings.withColumn("ampere_hour", exact)
+    if HEARTBEAT not in readings.columns:
+        readings = readings.withColumn(HEARTBEAT, F.lit(False))
     return readings.sparkSession.sql(
         """
         SELECT device_id, window.start AS window_start, window.end AS window_end,
-               charge_consumed
+               CAST(charge_consumed AS DOUBLE) AS charge_consumed
         FROM (
-            SELECT device_id, window, sum(ampere_hour) AS charge_consumed
+            SELECT device_id, window, sum(ampere_hour) AS charge_consumed,
+                   count_if(NOT _heartbeat) AS n
             FROM {readings}
             GROUP BY device_id, window(proctime, '30 seconds'))
+        WHERE n > 0
         """,
         readings=readings,
     )

@@ -9,6 +9,7 @@ timestamps, and the name of a query is the key of its SQL in ``voltstream.oracle
 from __future__ import annotations
 
 import json
+from argparse import Namespace
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -24,6 +25,7 @@ from voltstream.operators.messages import (
     json_values,
     normalise,
     parse_message,
+    split_corrupt,
 )
 from voltstream.operators.rows import (
     device_stats,
@@ -56,6 +58,7 @@ from voltstream.schemas import (
     HOURLY,
     INVERTER,
     IRRADIANCE,
+    JOINED_WINDOW,
     PLANT_READING,
     TELEMETRY,
     ddl,
@@ -64,8 +67,12 @@ from voltstream.session import ship_package, use_utc
 from voltstream.sinks.base import fan_out
 from voltstream.sinks.files import csv_sink, parquet_sink
 from voltstream.sinks.kafka import record_frame
-from voltstream.sources.files import csv_table, parquet_table
-from voltstream.streaming.attributes import with_event_time, with_processing_time
+from voltstream.sources.files import csv_table, named_table, parquet_table
+from voltstream.streaming.attributes import (
+    split_event_time,
+    with_event_time,
+    with_processing_time,
+)
 from voltstream.streaming.run import latest, run_to_end, start
 from voltstream.streaming.workdir import fresh_dir
 
@@ -150,11 +157,11 @@ def message_values(frame: DataFrame) -> DataFrame:
 
 def typed_readings(frame: DataFrame) -> DataFrame:
     """Events with the columns of a parsed plant message."""
-    return frame.select(
+    return read_record(frame, "k INT", column="props").select(
         F.col("event_id").cast("string").alias("message_id"),
         F.col("user_id").cast("int").alias("planta_id"),
         F.col("value").alias("Radiacion"),
-        _k().cast("double").alias("Potencia"),
+        F.col("k").cast("double").alias("Potencia"),
         F.col("ts").alias("timestamp"),
     )
 
@@ -236,6 +243,38 @@ def csv_roundtrip(spark, sf_dir):
     return csv_table(spark, path, EVENTS)
 
 
+def csv_text_roundtrip(spark, sf_dir):
+    """Texts with line breaks, quotes and blanks at the ends, empty and missing ones."""
+    path = fresh_dir(spark, "texts-csv")
+    texts = parquet_table(spark, f"{sf_dir}/documents.parquet", "doc_id BIGINT, text STRING")
+    kind = F.col("doc_id") % 10
+    changed = F.when(kind == 0, F.lit("")).when(kind == 1, F.lit(None))
+    changed = changed.when(kind == 2, F.concat(F.lit(r'  "\n\r'), "text", F.lit('", ')))
+    frame = texts.withColumn("text", changed.otherwise(F.col("text")))
+    csv_sink(path, escape_breaks=True).write(frame)
+    return csv_table(spark, path, "doc_id BIGINT, text STRING", escape_breaks=True)
+
+
+def csv_filter_job(spark, sf_dir):
+    """The job ``csv-filter`` on a folder of CSV, and all it wrote."""
+    from voltstream.cli import JOBS
+
+    source, target = fresh_dir(spark, "telemetry-csv"), fresh_dir(spark, "warm")
+    csv_sink(source).write(event_telemetry(events(spark, sf_dir)))
+    args = Namespace(
+        job="csv-filter", input=source, output=target, checkpoint=fresh_dir(spark, "checkpoint")
+    )
+    JOBS["csv-filter"](spark, args).awaitTermination()
+    schema = "ts STRING, device STRING, temp STRING"
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(target)
+
+
+def named_devices(spark, sf_dir):
+    events(spark, sf_dir).createOrReplaceTempView("telemetry_events")
+    frame = named_table(spark, "telemetry_events")
+    return devices(frame.select(F.col("user_id").cast("string").alias("device")))
+
+
 # ---- Messages ---------------------------------------------------------------
 
 
@@ -252,6 +291,31 @@ def raw_normalise(spark, sf_dir):
     return normalise(message_values(events(spark, sf_dir)))
 
 
+def raw_rejects(spark, sf_dir):
+    """Messages of which every seventh is cut short: rows and rejects together."""
+    frame = events(spark, sf_dir)
+    cut = F.substring("value", 1, 40)
+    whole = message_values(frame).withColumn("value", F.col("value"))
+    broken = whole.where('get_json_object(value, "$.message_id") % 7 = 0').select(cut.alias("value"))
+    sound = whole.where('get_json_object(value, "$.message_id") % 7 <> 0')
+    good, bad = split_corrupt(sound.unionByName(broken))
+    return (
+        good.select("message_id", F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("value"))
+        .unionByName(bad.select(F.lit(None).cast("string").alias("message_id"), F.lit(False).alias("accepted"), "value"))
+    )
+
+
+def bad_event_times(spark, sf_dir):
+    """Event times of which every fifth is a text that is none: both parts together."""
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    frame = events(spark, sf_dir).select(
+        "event_id", F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("T"), stamp)).otherwise(stamp).alias("Fecha")
+    )
+    good, bad = split_event_time(frame)
+    timed = with_event_time(good).select("event_id", "ts_ltz")
+    return timed.unionByName(bad.select("event_id", F.lit(None).cast("timestamp").alias("ts_ltz")))
+
+
 def kafka_record_roundtrip(spark, sf_dir):
     charge = device_charge(device_readings(events(spark, sf_dir)), scale=SCALE)
     records = record_frame(conform(charge, DEVICE_CHARGE), key="device_id")
@@ -326,6 +390,15 @@ def window_join_json_sql(spark, sf_dir):
     return joined_means_sql(with_event_time(sun), with_event_time(power))
 
 
+def window_join_views(spark, sf_dir):
+    """The published sub-queries of the window join, read by name and joined anew."""
+    frame = events(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    sides = feed(frame, "click", "Radiacion"), feed(frame, "view", "PA_Inv")
+    joined_means_sql(*sides, views=("sun_means", "power_means"))
+    left, right = (named_table(spark, name) for name in ("sun_means", "power_means"))
+    return conform(bounds(left.join(right, "w")), JOINED_WINDOW)
+
+
 # ---- Row functions ------------------------------------------------------------
 
 
@@ -366,6 +439,50 @@ def stream_tumble(spark, sf_dir):
     return run_to_end(type_means(source))
 
 
+def in_batches(spark, sf_dir, parts: int = 4) -> DataFrame:
+    """Events as a stream of several batches in order of time, as many files in each.
+
+    A last file, an hour after the rest, has one event of each type: it closes every
+    window before it and stays open itself.
+    """
+    path, frame = fresh_dir(spark, "event-files"), events(spark, sf_dir)
+    second = F.col("ts").cast("double")
+    low, high = frame.agg(F.min(second), F.max(second)).first()
+    edges = [low + (high - low) * n / parts for n in range(1, parts)]
+    files = -(-frame.rdd.getNumPartitions() // parts)
+    for start, end in zip([None, *edges], [*edges, None]):
+        part = frame if start is None else frame.where(second >= start)
+        part = part if end is None else part.where(second < end)
+        part.repartition(files).write.mode("append").parquet(path)
+    hour = F.expr("max(ts) + INTERVAL 1 HOUR").alias("ts")
+    closing = frame.groupBy("event_type").agg(F.max("value").alias("value")).crossJoin(
+        F.broadcast(frame.agg(hour))  # one row
+    )
+    last = frame.where("false").unionByName(closing, allowMissingColumns=True)
+    last.coalesce(1).write.mode("append").parquet(path)
+    return parquet_table(spark, path, EVENTS, stream=True, maxFilesPerTrigger=str(files))
+
+
+def stream_tumble_batches(spark, sf_dir):
+    source = with_event_time(in_batches(spark, sf_dir), F.col("ts"), "ts")
+    return run_to_end(type_means(source))
+
+
+def stream_tumble_flushed(spark, sf_dir):
+    source = with_event_time(events(spark, sf_dir, stream=True), F.col("ts"), "ts")
+    keys = ("event_type", "window_start", "window_end")
+    return run_to_end(type_means(source), flush=keys)
+
+
+def stream_window_join_batches(spark, sf_dir):
+    source = in_batches(spark, sf_dir)
+    sun, power = (
+        with_event_time(feed(source, kind, measure), F.col("ts_ltz"))
+        for kind, measure in (("click", "Radiacion"), ("view", "PA_Inv"))
+    )
+    return run_to_end(joined_means(sun, power, scale=SCALE))
+
+
 def stream_window_join(spark, sf_dir):
     source = events(spark, sf_dir, stream=True)
     sun, power = (
@@ -425,9 +542,12 @@ QUERIES: dict[str, Query] = {
     "q04_topk_string": topk_string,
     "q04_topk_string_sql": topk_string_sql,
     "q05_csv_roundtrip": csv_roundtrip,
+    "q05_csv_text_roundtrip": csv_text_roundtrip,
     "q06_alert_rows": alert_rows_typed,
     "q07_alert_json": alert_json,
     "q08_raw_normalise": raw_normalise,
+    "q08_raw_rejects": raw_rejects,
+    "q08_bad_event_times": bad_event_times,
     "q09_tumble60_keyed_avg": tumble60_keyed_avg,
     "q09_plant_json_means": plant_json_means,
     "q10_tumble30_sum_sql": tumble30_sum_sql,
@@ -436,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "q12_window_join": window_join,
     "q12_window_join_one_scan": window_join_one_scan,
     "q12_window_join_json_sql": window_join_json_sql,
+    "q12_window_join_views": window_join_views,
     "q13_row_function": row_function,
     "q13_row_function_batches": row_function_batches,
     "q13_row_function_rows": row_function_rows,
@@ -443,12 +564,17 @@ QUERIES: dict[str, Query] = {
     "q13_hourly_csv": hourly_csv,
     "q14_tumble10_keyed_avg": tumble10_keyed_avg,
     "q14_stream_tumble": stream_tumble,
+    "q14_stream_tumble_batches": stream_tumble_batches,
+    "q14_stream_tumble_flushed": stream_tumble_flushed,
     "q15_stream_window_join": stream_window_join,
+    "q15_stream_window_join_batches": stream_window_join_batches,
     "q16_stream_alerts": stream_alerts,
     "q17_stream_fan_out": stream_fan_out,
     "q18_stream_clock_tumble": stream_clock_tumble,
     "q19_stream_csv_filter": stream_csv_filter,
     "q20_kafka_record_roundtrip": kafka_record_roundtrip,
+    "q21_csv_filter_job": csv_filter_job,
+    "q22_named_devices": named_devices,
 }
 
 

@@ -16,6 +16,8 @@ _shipped: set[str] = set()
 
 PARTITIONS = "spark.sql.shuffle.partitions"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Fixed value: Spark's own default.
+SPARK_PARTITIONS = 200
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORE = {
     # Window state lives in RocksDB on the executors' disks, not on their heap.
@@ -46,10 +48,10 @@ def get_spark(
     ``static_conf`` takes settings that must exist before the JVM starts; write
     ``spark_driver_memory="8g"`` for ``spark.driver.memory``.
 
-    ``shuffle_partitions`` defaults to twice the cluster's cores. A stream keeps
-    the number it first started with for the life of its checkpoint, because the
-    window state is split by it. A batch shuffle starts with four times as many,
-    and adaptive execution joins the small ones.
+    ``shuffle_partitions`` defaults to twice the cluster's cores, but never below
+    Spark's own default: executors may still be on their way when a session starts.
+    A batch shuffle starts with four times as many, and adaptive execution joins
+    the small ones. For streams see ``voltstream.streaming.run.start``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -72,8 +74,8 @@ def get_spark(
 
 
 def sized_partitions(spark: SparkSession) -> int:
-    """Shuffle partitions for the cores at hand."""
-    return max(8, 2 * spark.sparkContext.defaultParallelism)
+    """Shuffle partitions for the cores at hand, at least as many as Spark's default."""
+    return max(SPARK_PARTITIONS, 2 * spark.sparkContext.defaultParallelism)
 
 
 def use_utc(spark: SparkSession) -> SparkSession:

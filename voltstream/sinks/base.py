@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -15,6 +16,26 @@ log = logging.getLogger(__name__)
 Write = Callable[[DataFrame, int | None], None]
 
 
+# How lost or refused connections name themselves.
+CONNECTION_ERRORS = (
+    "SQLTransient",
+    "SQLNonTransientConnection",
+    "SQLRecoverable",
+    "SocketException",
+    "SocketTimeout",
+    "ConnectException",
+    "connection",
+)
+
+
+def lost_connection(error: Exception) -> bool:
+    """Whether an error speaks of a connection, so that another attempt may succeed."""
+    if isinstance(error, AnalysisException):
+        return False
+    said = f"{type(error).__name__} {error}".lower()
+    return any(name.lower() in said for name in CONNECTION_ERRORS)
+
+
 def unchanged(frame: DataFrame) -> DataFrame:
     return frame
 
@@ -25,8 +46,9 @@ class Sink:
 
     ``prepare`` shapes the frame for the target. A ``native`` format has its own
     streaming writer; any other is written batch by batch, with ``retries`` more
-    attempts if a write fails. A replayed batch is written again: delivery is
-    at least once, except to files, which are exactly once.
+    attempts if a write fails for a reason that ``passing`` takes for a passing one. A
+    replayed batch is written again: delivery is at least once, except to files and to
+    JDBC with a batch column, which are exactly once.
     """
 
     format: str
@@ -36,6 +58,7 @@ class Sink:
     retries: int = 0
     pause: float = 1.0
     custom_write: Write | None = None
+    passing: Callable[[Exception], bool] = lost_connection
 
     def write(self, frame: DataFrame, batch_id: int | None = None) -> None:
         """Append one bounded frame."""
@@ -43,7 +66,7 @@ class Sink:
             try:
                 return self._write_once(frame, batch_id)
             except Exception as error:
-                if attempt == self.retries:
+                if attempt == self.retries or not self.passing(error):
                     raise
                 log.warning("write %d to %s failed: %s", attempt + 1, self.format, error)
                 time.sleep(self.pause * (attempt + 1))

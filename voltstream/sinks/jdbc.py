@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltstream.functions.records import conform
@@ -16,6 +16,10 @@ FLUSH_EVERY = "1 second"
 RETRIES = 5
 
 
+# Name of the column that tells the rows of one batch apart in the staging table.
+ROW = "_row"
+
+
 def jdbc_sink(
     url: str,
     table: str,
@@ -26,18 +30,22 @@ def jdbc_sink(
     connections: int = 16,
     batch_column: str | None = None,
 ) -> Sink:
-    """Parametrised inserts into an existing table.
-
-    ``connections`` is how many tasks write at the same time, whatever the size of
-    the cluster: the database, not Spark, is the narrow side. The finished rows are
-    dealt out evenly to those tasks, so the work before keeps its full width and one
-    full topic partition does not end up on one connection. Delivery is
-    at least once. ``batch_column`` names an extra BIGINT column of the table that
-    receives the micro-batch number, so that a replay can be told apart.
+    """Rows of the target schema into an existing table, each once.
+
+    A batch first goes to ``<table>_staging``, overwriting it, and from there into the
+    table in one transaction. An attempt that fails half-way, or a task that runs
+    twice, so leaves its copies in the staging table, where rows carry a stable number
+    and are taken once. One stream or job may write to a table at a time.
+
+    ``batch_column`` names an extra BIGINT column of the table that receives the
+    micro-batch number; the transaction clears that batch first, so a batch replayed
+    after a loss of the driver is not doubled either. Without it delivery is at least
+    once in that one case. ``connections`` is how many tasks write at the same time,
+    whatever the size of the cluster: the database, not Spark, is the narrow side.
     """
     options = {
         "url": url,
-        "dbtable": table,
+        "dbtable": f"{table}_staging",
         "user": user,
         "password": password,
         "driver": driver,
@@ -47,8 +55,13 @@ def jdbc_sink(
     def insert(frame: DataFrame, batch_id: int | None) -> None:
         if batch_column is not None:
             frame = frame.withColumn(batch_column, F.lit(batch_id).cast("bigint"))
-        frame = frame.repartition(connections)
-        frame.write.format("jdbc").options(**options).mode("append").save()
+        columns = frame.columns
+        staged = numbered(frame).repartition(connections)
+        staged.write.format("jdbc").options(**options).mode("overwrite").save()
+        statements = [merge_statement(table, columns)]
+        if batch_column is not None and batch_id is not None:
+            statements.insert(0, f'DELETE FROM {table} WHERE "{batch_column}" = {int(batch_id)}')
+        execute(frame.sparkSession, options, statements)
 
     return Sink(
         "jdbc",
@@ -60,6 +73,41 @@ def jdbc_sink(
     )
 
 
+def numbered(frame: DataFrame) -> DataFrame:
+    """Add a number per row that a repeated task computes alike.
+
+    It counts rows that are equal in all columns, so that those stay apart; unequal
+    rows are apart anyway.
+    """
+    same = Window.partitionBy(*(F.col(f"`{c}`") for c in frame.columns)).orderBy(F.lit(0))
+    return frame.withColumn(ROW, F.row_number().over(same))
+
+
+def merge_statement(table: str, columns: list[str]) -> str:
+    """Take every distinct row of the staging table into the table."""
+    names = ", ".join(f'"{c}"' for c in columns)
+    staged = f'SELECT DISTINCT {names}, "{ROW}" FROM {table}_staging'
+    return f"INSERT INTO {table} ({names}) SELECT {names} FROM ({staged}) AS s"
+
+
+def execute(spark: SparkSession, options: dict[str, str], statements: list[str]) -> None:
+    """Run the statements in one transaction, from the driver, all or none."""
+    jvm = spark._jvm
+    jvm.java.lang.Class.forName(
+        options["driver"], True, jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    )
+    connection = jvm.java.sql.DriverManager.getConnection(
+        options["url"], options["user"], options["password"]
+    )
+    try:
+        connection.setAutoCommit(False)
+        for statement in statements:
+            connection.createStatement().executeUpdate(statement)
+        connection.commit()
+    finally:
+        connection.close()
+
+
 def postgres_sink(table: str, target: dict[str, str], host: str, **options) -> Sink:
     """``jdbc_sink`` with database and login from POSTGRES_DB, _USER and _PASSWORD."""
     return jdbc_sink(

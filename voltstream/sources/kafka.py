@@ -21,7 +21,7 @@ def kafka_values(
     """The values of a topic as text, in a ``value`` column; keys are dropped.
 
     ``earliest`` matters for the first start only, later ones follow the
-    checkpoint. ``arrival`` names a column for the broker's time of each record.
+    checkpoint; a ``startingOffsets`` option goes before it. ``arrival`` names a column for the broker's time of each record.
     ``stream=False`` reads what the topic holds now as a batch. Two of Spark's own
     options are worth passing at scale: ``minPartitions`` splits a topic partition
     that holds most of the data over several tasks, and ``maxOffsetsPerTrigger``
@@ -34,7 +34,7 @@ def kafka_values(
         **options,
     }
     if stream or earliest:
-        settings["startingOffsets"] = "earliest" if earliest else "latest"
+        settings.setdefault("startingOffsets", "earliest" if earliest else "latest")
     if group:
         settings["groupIdPrefix"] = group
     columns = [F.col("value").cast("string").alias("value")]
@@ -49,8 +49,10 @@ def kafka_table(
     topic: str,
     schema: str,
     earliest: bool = True,
+    fields: tuple[str, ...] | None = None,
+    strict: bool = False,
     **options,
 ) -> DataFrame:
-    """A topic of JSON records as a table with the declared columns."""
+    """A topic of JSON records as a table with the declared columns, or some of them."""
     values = kafka_values(spark, servers, topic, earliest=earliest, **options)
-    return read_record(values, schema)
+    return read_record(values, schema, strict=strict, fields=fields)

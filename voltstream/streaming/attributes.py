@@ -14,14 +14,37 @@ def with_event_time(
     source: str | Column = "Fecha",
     name: str = "ts_ltz",
     delay: str = "1 minute",
+    strict: bool = True,
 ) -> DataFrame:
     """Add event time from text and tolerate rows up to ``delay`` out of order.
 
-    Pass a Column for times that are not text. On a batch frame the watermark has
-    no effect, so the same call serves both.
+    Pass a Column for times that are not text. A row without a readable time belongs
+    to no window: it fails the job, or leaves with ``split_event_time`` before, or is
+    left out silently if ``strict`` is off. On a batch frame the watermark has no
+    effect, so the same call serves both.
     """
-    value = event_time(source) if isinstance(source, str) else source
-    return frame.withColumn(name, value).withWatermark(name, delay)
+    if not isinstance(source, str):
+        return frame.withColumn(name, source).withWatermark(name, delay)
+    value = event_time(source)
+    if strict:
+        shown = F.coalesce(F.col(source), F.lit("null"))
+        problem = F.raise_error(F.concat(F.lit("unreadable event time: "), shown))
+        value = F.coalesce(value, problem.cast("timestamp"))
+    return _behind_barrier(frame, name, value).withWatermark(name, delay)
+
+
+def split_event_time(
+    frame: DataFrame, source: str = "Fecha"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with a readable time, the others); every input row is in one of the two."""
+    readable = event_time(source).isNotNull()
+    return frame.where(readable), frame.where(~readable)
+
+
+def _behind_barrier(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    # A filter on the result stays above this generator, so the text is parsed once.
+    others = [F.col(f"`{c}`") for c in frame.columns if c != name]
+    return frame.select(*others, F.inline(F.array(F.struct(value.alias(name)))))
 
 
 def with_processing_time(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -15,6 +16,8 @@ from voltstream.sinks.base import Sink
 from voltstream.sinks.files import BATCH_ID, parquet_sink
 from voltstream.streaming.workdir import fresh_dir
 
+log = logging.getLogger(__name__)
+
 
 def start(
     frame: DataFrame,
@@ -24,12 +27,17 @@ def start(
     mode: str = "append",
     every: str | None = None,
     to_end: bool = False,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start one stream into one sink (see ``fan_out`` for several).
 
     ``every`` sets the trigger interval; ``to_end`` processes what is there and
     stops. ``checkpoint`` is required: with it a restart, or the loss of the
     driver, resumes at the offsets last committed.
+
+    ``partitions`` is the number of state partitions, which a checkpoint keeps for
+    its life. Without it the session's shuffle partitions hold, and if that is open
+    too, the cluster's cores decide, with a warning.
     """
     writer = sink.attach(frame).outputMode(mode)
     writer = writer.option("checkpointLocation", checkpoint)
@@ -39,17 +47,25 @@ def start(
         writer = writer.trigger(availableNow=True)
     elif every:
         writer = writer.trigger(processingTime=every)
-    with _stream_settings(frame.sparkSession):
+    with _stream_settings(frame.sparkSession, partitions):
         return writer.start()
 
 
-def run_to_end(frame: DataFrame, mode: str = "append") -> DataFrame:
+def run_to_end(
+    frame: DataFrame, mode: str = "append", flush: tuple[str, ...] | None = None
+) -> DataFrame:
     """Run a bounded stream to its end and return what it emitted, as a table.
 
+    In append mode the windows still open at the end are not emitted. ``flush`` names
+    the keys of a windowed aggregate, and all its windows come out, each once, as a
+    bounded input would close them.
+
     The output is a Parquet table in the shared folder; no row passes through the
     driver. In update mode a window may be emitted more than once: the table then
     has a ``batch_id`` column, and ``latest`` picks the last state.
     """
+    if flush is not None:
+        return latest(run_to_end(frame, mode="update"), flush)
     spark = frame.sparkSession
     out = fresh_dir(spark, "emitted")
     sink = parquet_sink(out, native=mode == "append")
@@ -71,13 +87,22 @@ def latest(emitted: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 @contextmanager
-def _stream_settings(spark: SparkSession) -> Iterator[None]:
+def _stream_settings(
+    spark: SparkSession, partitions: int | None = None
+) -> Iterator[None]:
     # A stream copies the session's settings when it starts, so ours need to hold
     # for that moment only. What the session sets itself stays: a state store
     # provider, or a number of partitions.
     settings = {} if spark.conf.get(PROVIDER, None) else dict(STATE_STORE)
-    if not spark.conf.get(PARTITIONS, None):
+    if partitions:
+        settings[PARTITIONS] = str(partitions)
+    elif not spark.conf.get(PARTITIONS, None):
         settings[PARTITIONS] = str(sized_partitions(spark))
+        log.warning(
+            "the checkpoint will keep %s state partitions, sized by the cores now"
+            " registered; pass partitions= to choose",
+            settings[PARTITIONS],
+        )
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)

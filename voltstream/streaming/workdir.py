@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_made: dict[str, list[str]] = defaultdict(list)
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -18,7 +20,24 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     single-machine session may go without the setting; it gets one temporary
     root of its own. Elsewhere the executors would not see such a folder.
     """
-    return f"{_root(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made[spark.conf.get("spark.app.id", "")].append(folder)
+    return folder
+
+
+def remove_made(spark: SparkSession) -> int:
+    """Delete the folders that ``fresh_dir`` gave this application; how many there were.
+
+    For a session that goes on after its results have been read. Frames that still
+    read from those folders fail from then on.
+    """
+    folders = _made.pop(spark.conf.get("spark.app.id", ""), [])
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    there = 0
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        there += bool(path.getFileSystem(hadoop).delete(path, True))
+    return there
 
 
 def job_dir(spark: SparkSession, job: str) -> str:
@@ -32,7 +51,8 @@ def _root(spark: SparkSession) -> str:
 
 def _local_root(spark: SparkSession) -> str:
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    # Not "local-cluster": its executors have folders of their own.
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError(f"set {SETTING} to a folder every executor can reach")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="voltstream-")
