@@ -113,7 +113,7 @@ def near_duplicates(
     """
     rows = settled(_checked(frame, key, vector, label), "vectors")
     classes = settled(
-        rows.where("class IS NOT NULL AND id IS NOT NULL")
+        rows.where("class IS NOT NULL")
         .groupBy("class")
         .agg(
             F.min("id").alias("rep"),
@@ -159,7 +159,7 @@ def _checked(frame: DataFrame, key: str, vector: str, label: str) -> DataFrame:
             rows = []
             for id_, label_, values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 class_ = data = None
-                if label_ is not None and values and None not in values:
+                if id_ is not None and label_ is not None and values and None not in values:
                     numbers = np.array(values, np.float64) + 0.0
                     if np.isfinite(numbers).all() and numbers.any():
                         short = numbers.astype(np.float32)

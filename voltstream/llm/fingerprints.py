@@ -187,7 +187,7 @@ def _with_next(rows: DataFrame) -> DataFrame:
     """
     span = rows.agg(F.min("id"), F.max("id"), F.count("*")).first()
     low, high, count = span[0] or 0, span[1] or 0, span[2] or 1
-    width = max(1, (high - low + 1) * BLOCK // count)
+    width = min(max(1, (high - low + 1) * BLOCK // count), 2**63 - 1)
     block = F.coalesce(F.expr(f"id div {width}L"), F.lit(low // width - 1))
 
     # The three uses below read the same four columns, so that Spark shuffles them once.

@@ -235,16 +235,15 @@ def _pivot_links(members, large, light, words: int, percent: int) -> DataFrame |
         least = loose.groupBy("component").agg(
             *(F.min(F.when(F.pmod(order, F.lit(PIVOTS)) == n, F.struct(order.alias("o"), "id"))).alias(f"p{n}") for n in range(PIVOTS))
         )
-        ids = least.select("component", F.explode(F.array(*(F.col(f"p{n}.id") for n in range(PIVOTS)))).alias("pivot"))
+        ids = least.select("component", F.explode(F.array(*(F.col(f"p{n}.id") for n in range(PIVOTS)))).alias("id"))
+        # A few texts per large cluster, beside each of its documents.
         pivots = settled(
-            members.join(ids.where("pivot IS NOT NULL"), (members["component"] == ids["component"]) & (members["id"] == ids["pivot"]))
-            .groupBy(members["component"])
-            .agg(F.collect_list(F.struct("id", "text")).alias("pivots")),
+            members.join(ids.where("id IS NOT NULL"), ["component", "id"]).select(
+                "component", F.col("id").alias("pivot"), F.col("text").alias("pivot_text")
+            ),
             "pivots",
         )
-        # A few texts per large cluster, beside each of its documents.
-        numbered = pivots.select("component", "pivots")
-        new = settled(_near_pivots(members, numbered, words, percent), "pivot-links")
+        new = settled(_near_pivots(members, pivots, words, percent), "pivot-links")
         found = new if found is None else settled(found.unionByName(new), "pivot-links")
         ends = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct()
         loose = settled(loose.join(ends, "id", "left_anti"), "loose")
@@ -273,10 +272,7 @@ def _near_pivots(members: DataFrame, pivots: DataFrame, words: int, percent: int
                     rows.append((max(id_, pivot), min(id_, pivot)))
             yield record_batch(dict(zip(types, zip(*rows) if rows else ((), ()))), types)
 
-    one = pivots.select("component", F.explode("pivots").alias("p")).select(
-        "component", F.col("p.id").alias("pivot"), F.col("p.text").alias("pivot_text")
-    )
-    return members.join(one, "component").mapInArrow(compare, "a BIGINT, b BIGINT")
+    return members.join(pivots, "component").mapInArrow(compare, "a BIGINT, b BIGINT")
 
 
 def _tree_links(dealt: DataFrame, words: int, percent: int) -> DataFrame:
