@@ -14,6 +14,7 @@ import time
 
 from voltstream.queries import registered
 from voltstream.session import get_spark
+from voltstream.streaming.workdir import remove_made
 
 
 def main() -> None:
@@ -55,7 +56,9 @@ def main() -> None:
 def _seconds(query, spark, sf_dir: str) -> float:
     began = time.perf_counter()
     query(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - began
+    seconds = time.perf_counter() - began
+    remove_made(spark)
+    return seconds
 
 
 if __name__ == "__main__":
