@@ -94,14 +94,16 @@ def jaccard_join(
         usable.select("id", "digest").join(repeated, "digest").where("id > first").select("id", "digest", "first").distinct(),
         "copies",
     )
-    single = usable.join(copies.select("id", "digest"), ["id", "digest"], "left_anti")
+    # This side and others marked so grow with the documents, and are never sent out.
+    known = copies.select("id", "digest").hint("merge")
+    single = settled(usable.join(known, ["id", "digest"], "left_anti"), "distinct-sets")
     clusters = settled(components(_candidates(single)), "clusters")
     links = _verified(identified(frame, key, text), clusters, words, percent)
     linked = copies.select(F.col("id").alias("a"), F.col("first").alias("b")).unionByName(links)
     found = settled(components(linked), "components")
     return (
         sets.select("id", "n_shingles")
-        .join(found, F.col("id") == F.col("node"), "left")
+        .join(found.hint("merge"), F.col("id") == F.col("node"), "left")
         .select(
             F.col("id").alias(key),
             "n_shingles",
@@ -157,7 +159,7 @@ def _candidates(sets: DataFrame) -> DataFrame:
     unique = F.col("sampled") - F.size("early")
     prefixes = (
         sets.select("id", "prefix", "sampled")
-        .join(by_document, "id")
+        .join(by_document.hint("merge"), "id")
         .withColumn("early", early)
         .withColumn("needed", F.greatest(F.lit(0), F.col("prefix") - unique).cast("int"))
         .select("id", F.explode(F.concat(F.slice("early", F.lit(1), F.col("needed")), late)).alias("e"))
@@ -177,17 +179,20 @@ def _early(element: Column) -> Column:
 def _verified(texts: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between candidates of one cluster that connect what is similar."""
     members = settled(
-        texts.join(clusters, texts["id"] == clusters["node"]).select("component", "id", "text"), "candidates"
+        texts.join(clusters.hint("merge"), texts["id"] == clusters["node"]).select("component", "id", "text"),
+        "candidates",
     )
-    sizes = members.groupBy("component").agg(F.countDistinct("id").alias("n"))
-    large = settled(sizes.where(F.col("n") > BLOCK).drop("n"), "large-clusters")
-    light = members.select("component", "id").join(large, "component").distinct()
+    sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")
+    large = settled(sizes.where(F.col("n") > BLOCK).select("component", blocks), "large-clusters")
+    light = clusters.select("component", F.col("node").alias("id")).join(large.drop("parts"), "component")
     found = _pivot_links(members, large, light, words, percent)
     if found is None:
         dealt = members.withColumns({"low": F.lit(0), "high": F.lit(0), "class": F.col("id")})
         return settled(_tree_links(dealt, words, percent), "links")
     classes = components(found)
-    placed = light.join(classes.withColumnRenamed("component", "class"), F.col("id") == F.col("node"), "left").select(
+    classes = classes.withColumnRenamed("component", "class").hint("merge")
+    placed = light.join(classes, F.col("id") == F.col("node"), "left").select(
         "component", "id", F.coalesce("class", "id").alias("class")
     )
     # Loose documents share blocks, a class of several has blocks of its own.
@@ -212,9 +217,9 @@ def _verified(texts: DataFrame, clusters: DataFrame, words: int, percent: int) -
         .withColumn("block", number)
         .select("component", "id", "class", "block")
     )
-    light_tasks = settled(own_block.join(visits, ["component", "block"]).drop("block"), "tasks")
-    big = members.join(light_tasks, ["component", "id"])
-    small = members.join(large, "component", "left_anti").withColumns(
+    light_tasks = settled(own_block.join(visits.hint("merge"), ["component", "block"]).drop("block"), "tasks")
+    big = members.join(light_tasks.hint("merge"), ["component", "id"])
+    small = members.join(large.drop("parts"), "component", "left_anti").withColumns(
         {"class": F.col("id"), "low": F.lit(0).cast("bigint"), "high": F.lit(0).cast("bigint")}
     )
     tree = settled(_tree_links(small.unionByName(big), words, percent), "links")
@@ -236,14 +241,13 @@ def _pivot_links(members, large, light, words: int, percent: int) -> DataFrame |
             *(F.min(F.when(F.pmod(order, F.lit(PIVOTS)) == n, F.struct(order.alias("o"), "id"))).alias(f"p{n}") for n in range(PIVOTS))
         )
         ids = least.select("component", F.explode(F.array(*(F.col(f"p{n}.id") for n in range(PIVOTS)))).alias("id"))
-        # A few texts per large cluster, beside each of its documents.
         pivots = settled(
             members.join(ids.where("id IS NOT NULL"), ["component", "id"]).select(
                 "component", F.col("id").alias("pivot"), F.col("text").alias("pivot_text")
             ),
             "pivots",
         )
-        new = settled(_near_pivots(members, pivots, words, percent), "pivot-links")
+        new = settled(_near_pivots(members, pivots, large, words, percent), "pivot-links")
         found = new if found is None else settled(found.unionByName(new), "pivot-links")
         ends = found.select(F.col("a").alias("id")).unionByName(found.select(F.col("b").alias("id"))).distinct()
         loose = settled(loose.join(ends, "id", "left_anti"), "loose")
@@ -252,27 +256,49 @@ def _pivot_links(members, large, light, words: int, percent: int) -> DataFrame |
     return found
 
 
-def _near_pivots(members: DataFrame, pivots: DataFrame, words: int, percent: int) -> DataFrame:
+def _near_pivots(members: DataFrame, pivots: DataFrame, large: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of documents to their cluster's pivots.
+
+    A cluster is dealt to parts of about a block each. Every part gets the pivots, a few
+    texts, first, and then the documents one by one.
+    """
+    names = ("component", "part", "late", "id", "text")
+    own = members.join(large, "component").select(
+        "component",
+        F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"),
+        F.lit(True).alias("late"),
+        "id",
+        "text",
+    )
+    everywhere = pivots.join(large, "component").select(
+        "component",
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(False).alias("late"),
+        F.col("pivot").alias("id"),
+        F.col("pivot_text").alias("text"),
+    )
     types = {"a": pa.int64(), "b": pa.int64()}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, known = Shingler(words), {}
+        shingles, place, held = Shingler(words), None, []
         for batch in batches:
-            rows = []
-            columns = (batch.column(n).to_pylist() for n in ("component", "id", "text", "pivot", "pivot_text"))
-            mine, last = None, None
-            for component, id_, text, pivot, pivot_text in zip(*columns, strict=True):
-                if (component, pivot) not in known:
-                    if len(known) >= 64:
-                        known.clear()
-                    known[component, pivot] = shingles(pivot_text)
-                if last != id_ or mine is None:
-                    mine, last = shingles(text), id_
-                if id_ != pivot and _similar(mine, known[component, pivot], percent):
-                    rows.append((max(id_, pivot), min(id_, pivot)))
-            yield record_batch(dict(zip(types, zip(*rows) if rows else ((), ()))), types)
-
-    return members.join(pivots, "component").mapInArrow(compare, "a BIGINT, b BIGINT")
+            links = []
+            for component, part, late, id_, text in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
+                if place != (component, part):
+                    place, held = (component, part), []
+                found = shingles(text)
+                if not late:
+                    held.append((id_, found))
+                    continue
+                links += [
+                    (max(id_, pivot), min(id_, pivot))
+                    for pivot, other in held
+                    if pivot != id_ and _similar(found, other, percent)
+                ]
+            yield record_batch(dict(zip(types, zip(*links) if links else ((), ()))), types)
+
+    spread = own.unionByName(everywhere).repartition("component", "part")
+    return spread.sortWithinPartitions("component", "part", "late").mapInArrow(compare, "a BIGINT, b BIGINT")
 
 
 def _tree_links(dealt: DataFrame, words: int, percent: int) -> DataFrame:
