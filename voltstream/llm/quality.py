@@ -112,7 +112,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11) -> Machine | Non
     """
     if len(set(labels.tolist())) < 2:
         return None
-    found = [inspect(t) for t in texts]
+    same: dict[str, str] = {}  # one object per word, however often it occurs
+    found = [({same.setdefault(w, w) for w in words}, own) for words, own in map(inspect, texts)]
     numbers = np.array([f[1] for f in found])
     rng = np.random.default_rng(seed)
     size = (1 << BITS) + STATISTICS * (1 + BUCKETS)

@@ -63,7 +63,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Field | None:
     if len(set(labels.tolist())) < 2:
         return None
     third = np.arange(len(texts)) % 3 == 2
-    lower = [WORD.findall(t) for t in texts]
+    same: dict[str, str] = {}  # one object per word, however often it occurs
+    lower = [[same.setdefault(w, w) for w in WORD.findall(t)] for t in texts]
     fit = [n for n in range(len(texts)) if not third[n]]
     toxic_features = _labelled_features([lower[n] for n in fit], labels[fit])
     toxic_word = Scores(lambda w: any(f in toxic_features for f in features(w)))
