@@ -17,6 +17,9 @@ from voltstream.llm.mixing import mix
 from voltstream.llm.packing import pack
 
 TOKENIZER = "byte_bpe_50k.json"
+# Near-duplicates share so many percent of their shingles of so many words. The
+# defaults of ``jaccard_join`` are those of op5's own contract.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,10 +43,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of near-duplicates.
 
+    Near-duplicates have a Jaccard similarity of 0.8 or more over shingles of five words.
     Rows without an id are in no group and stay; rows of one id are one document.
     """
     prepared(spark)
-    joined = jaccard_join(docs)
+    joined = jaccard_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     others = joined.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     return docs.join(settled(others, "near-duplicates"), "doc_id", "left_anti").select(*DOCUMENT)
 
