@@ -87,7 +87,8 @@ class Scanner:
         """(start, end, label, edits) of every notice within its edits, without overlaps.
 
         Windows around the seeds of one notice are joined where they overlap, so each
-        stretch of text is searched once per notice.
+        stretch of text is searched once per notice. The best match of a window need not
+        be its first, so the rest on both sides of it is searched too.
         """
         windows: dict[int, list[list[int]]] = {}
         if len(self.seeds):
@@ -106,7 +107,7 @@ class Scanner:
         for number, spans in windows.items():
             label, _, _, pattern = self.notices[number]
             for begin, end in spans:
-                for match in pattern.finditer(joined, begin, end):
+                for match in _matches(pattern, joined, begin, end):
                     found.append((match.start(), match.end(), label, sum(match.fuzzy_counts)))
         # Of notices that overlap, the one with the fewest edits stands.
         kept: list[tuple[int, int, str, int]] = []
@@ -116,6 +117,17 @@ class Scanner:
         return sorted(kept)
 
 
+def _matches(pattern: regex.Pattern, text: str, begin: int, end: int) -> Iterator[regex.Match]:
+    """The best match of a stretch, then those of what is left and right of it, until none is found."""
+    waiting = [(begin, end)]
+    while waiting:
+        begin, end = waiting.pop()
+        match = pattern.search(text, begin, end)
+        if match:
+            yield match
+            waiting += [(match.end(), end), (begin, match.start())]
+
+
 @lru_cache(maxsize=4)
 def _scanner(phrases: tuple, notices: tuple, errors: float) -> Scanner:
     return Scanner(dict(phrases), dict(notices), errors)
