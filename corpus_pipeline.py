@@ -41,15 +41,30 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near-duplicates.
+    """The row with the smallest id of each component of near-duplicates.
 
     Near-duplicates have a Jaccard similarity of 0.8 or more over shingles of five words.
-    Rows without an id are in no group and stay; rows of one id are one document.
+    Every row is joined under a number of its own, so repeated rows and rows without an
+    id are in groups like any other; a row with an id goes before one without. Rows that
+    share an id but not their text are different documents. Of rows without a word, one
+    of each id stays.
     """
     prepared(spark)
-    joined = jaccard_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    others = joined.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(settled(others, "near-duplicates"), "doc_id", "left_anti").select(*DOCUMENT)
+    tie = F.xxhash64("text", "lang", "source", "n_chars")
+    numbered = settled(docs.select("*", F.monotonically_increasing_id().alias("row"), tie.alias("tie")), "numbered")
+    joined = jaccard_join(numbered, key="row", words=NEAR_WORDS, percent=NEAR_PERCENT)
+    # Rows without a word have no links: they form a group by their id.
+    blank = F.col("n_shingles") == 0
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "tie", "row")
+    # Partial sums come before each shuffle, so a large group is one row per task.
+    kept = (
+        numbered.select("row", "doc_id", "tie")
+        .join(joined.hint("merge"), "row")
+        .groupBy(F.when(~blank, F.col("component_id")).alias("group"), F.when(blank, F.col("doc_id")).alias("blank"))
+        .agg(F.min(rank)["row"].alias("row"))
+        .select("row")
+    )
+    return numbered.join(settled(kept, "kept").hint("merge"), "row", "left_semi").select(*DOCUMENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,3 +37,17 @@ def test_near_duplicates_are_those_of_five_words_and_four_fifths(spark):
     groups = closure(range(len(rows)), [(a, b) for a, b, x in found if x >= 0.8])
     kept = corpus_pipeline.one_of_each_group(spark, documents(spark, rows).repartition(3), "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(groups.values()))
+
+
+def test_one_row_stays_of_repeated_rows_and_rows_without_an_id(spark):
+    """Whatever its id, a text stays once; texts that differ stay, also under one id."""
+    one, two, three, four = (" ".join(f"{n}{w}" for w in range(30)) for n in "abcd")
+    rows = [
+        (5, one), (5, one), (5, two), (None, one), (None, three), (None, three), (4, three.upper()),
+        (None, four), (None, four), (7, ""), (7, " "), (8, None), (None, None), (None, ""),
+    ]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.one_of_each_group(spark, frame.repartition(3), "").collect()
+    found = sorted(((r.doc_id, (r.text or "").strip()) for r in kept), key=repr)
+    wanted = [(5, one), (5, two), (4, three.upper()), (None, four), (7, ""), (8, ""), (None, "")]
+    assert found == sorted(wanted, key=repr)
