@@ -32,7 +32,7 @@ def test_query_equals_its_sql(spark, sql, tables, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_point.queries())
 
 

@@ -8,14 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import prepared
+from voltstream.llm.collocations import collocations
+from voltstream.llm.common import prepared, text_or_empty
 from voltstream.llm.embeddings import near_duplicates
 from voltstream.llm.fingerprints import PARAGRAPH, PHRASE, SECTION, compare_with_edit
+from voltstream.llm.interactions import interaction_audit
 from voltstream.llm.jaccard import jaccard_join
 from voltstream.llm.licenses import scan_licenses
 from voltstream.llm.mixing import mix
 from voltstream.llm.packing import pack
 from voltstream.llm.quality import quality
+from voltstream.llm.sharding import LAW, document_size, shard_documents
 from voltstream.llm.tokens import count_tokens
 from voltstream.llm.toxicity import toxicity
 from voltstream.llm.warc import capture_index
@@ -82,6 +85,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shard_documents(table(spark, sf_dir, "documents"))
+    return sharded.select(
+        "doc_id",
+        document_size(F.col("text")).alias("size"),
+        F.crc32(text_or_empty("text")).alias("text_crc32"),
+        F.lit(LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -93,10 +117,12 @@ QUERIES: dict[str, Query] = {
     "op8_warc_captures": op8_warc_captures,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_filter_interactions": op12_filter_interactions,
+    "op13_sharding": op13_sharding,
 }
 
 
-
 def _merkle_sql(text: str) -> str:
     """Fingerprint of a text column, as SQL."""
     tree = (
@@ -199,4 +225,77 @@ ORACLE: dict[str, str] = {
             CASE WHEN page_id <> first THEN first END AS refers_to
         FROM f
     """,
+    "op11_phrase_collocations": """
+        WITH d AS (
+            SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, translate(
+                coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM p),
+        f AS (
+            SELECT lang, phrase, k, count(*) AS a FROM (
+                SELECT lang, k, unnest(list_transform(
+                    range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+                FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+            GROUP BY ALL),
+        n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 30),
+        cut AS (
+            SELECT lang, phrase, a, k, w, unnest(range(1, k)) AS j FROM c),
+        s AS (
+            SELECT cut.lang, cut.phrase, cut.a, j, x.a AS l, y.a AS r,
+                (2000000::HUGEINT * cut.a // (x.a + y.a))::BIGINT AS score
+            FROM cut
+            JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(cut.w[1:j], ' ')
+            JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(cut.w[j + 1:], ' ')),
+        weakest AS (
+            SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        covered AS (
+            SELECT DISTINCT c.lang, c.phrase FROM c JOIN c b ON b.lang = c.lang AND b.k > c.k
+                AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * b.a >= 80 * c.a)
+        SELECT weakest.lang, rank, phrase, a, l, r, n, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM weakest ANTI JOIN covered USING (lang, phrase)) weakest
+        JOIN n USING (lang) WHERE rank <= 2000
+    """,
+    "op12_filter_interactions": """
+        WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^ \\t-\\r]+') AS w FROM d),
+        l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        m AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+                || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+                || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+            FROM w LEFT JOIN l USING (doc_id)),
+        orders(filter_order) AS (
+            SELECT '' UNION ALL
+            SELECT filter_order || x FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x)
+            WHERE NOT contains(filter_order, x)),
+        steps AS (
+            SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+                substr(filter_order, 1, step - 1) AS earlier
+            FROM orders, (SELECT unnest([1, 2, 3, 4, 5])::INT AS step) WHERE length(filter_order) = 5),
+        k AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM m GROUP BY part, fails),
+        x AS (
+            SELECT part, filter_order, step, letter, n, good, toxic, fails,
+                earlier <> '' AND regexp_matches(fails, '[' || earlier || '-]') AS gone, contains(fails, letter) AS hit
+            FROM k, steps),
+        t AS (
+            SELECT part, filter_order, step, letter,
+                sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END)::BIGINT AS kept,
+                sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END)::BIGINT AS removed,
+                sum(CASE WHEN gone AND hit THEN n ELSE 0 END)::BIGINT AS redundant,
+                sum(CASE WHEN fails = letter THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                sum(CASE WHEN NOT gone AND hit THEN good ELSE 0 END)::BIGINT AS good_lost,
+                sum(CASE WHEN NOT gone AND hit THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+            FROM x GROUP BY part, filter_order, step, letter)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+        FROM t
+    """,
 }
