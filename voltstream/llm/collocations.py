@@ -111,8 +111,16 @@ class Chunk:
 
     def spelled(self, rows: np.ndarray) -> pa.Array:
         """The words of every row, joined by blanks."""
-        columns = [self.words.take(pa.array(c, mask=c < 0)) for c in rows.T]
-        return pc.binary_join_element_wise(*columns, " ", null_handling="skip")
+        found: pa.Array | None = None
+        for column in rows.T:
+            there = np.ascontiguousarray(column >= 0)
+            words = self.words.take(pa.array(np.maximum(column, 0)))
+            words = pc.if_else(pa.array(there), words, pa.scalar(""))
+            if found is None:
+                found = words
+            else:
+                found = pc.if_else(pa.array(there), pc.binary_join_element_wise(found, words, " "), found)
+        return found
 
 
 def combined(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,11 +226,10 @@ def prefix_rows(
 def _prefix_batch(chunk: Chunk, rows: np.ndarray, counts: np.ndarray, length: int) -> pa.RecordBatch:
     head = rows[:, :length]
     first = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]).any(axis=1))))
-    times = pa.array(counts).cast(pa.string())
-    times = pc.if_else(pa.array(counts > 1), times, pa.scalar(None, pa.string()))
     tails = rows[:, length:]
     tail = chunk.spelled(tails) if tails.shape[1] else pa.repeat(pa.scalar(""), len(rows))
-    lines = pc.binary_join_element_wise(tail, times, "\t", null_handling="skip")
+    often = pc.binary_join_element_wise(tail, pa.array(counts).cast(pa.string()), "\t")
+    lines = pc.if_else(pa.array(counts > 1), often, tail)
     edges = pa.array(np.append(first, len(rows)).astype(np.int32))
     leaves = pc.binary_join(pa.ListArray.from_arrays(edges, lines), "\n").cast(pa.binary())
     lang = pa.repeat(pa.scalar(chunk.lang), len(first))
