@@ -94,16 +94,11 @@ def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sharded = shard_documents(table(spark, sf_dir, "documents"))
-    return sharded.select(
-        "doc_id",
-        document_size(F.col("text")).alias("size"),
-        F.crc32(text_or_empty("text")).alias("text_crc32"),
-        F.lit(LAW).alias("law"),
-        "shard",
-        "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
-    )
+    documents = table(spark, sf_dir, "documents")
+    size, crc32 = document_size(F.col("text")).alias("size"), F.crc32(text_or_empty("text")).alias("text_crc32")
+    sharded = shard_documents(documents.select("*", size, crc32))
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return sharded.select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", grown)
 
 
 QUERIES: dict[str, Query] = {

@@ -170,6 +170,7 @@ def shard_documents(
 
     Texts are shuffled once, to their groups' shards, and written; a group of any number
     of rows may be split on the way, since only its text's digest looks up the shard.
+    Where the caller needs no texts, none are moved again to number the rows.
     """
     kept = [c for c in documents.columns if c not in ("shard", "slot")]
     content = F.col(f"`{text}`")
@@ -177,15 +178,13 @@ def shard_documents(
     assigned = settled(
         assign_groups(sizes.groupBy("id").agg(F.sum("size").alias("size")), shards, items, size), "assigned"
     )
-    placed = (
-        documents.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), text_group(content).alias("id"))
-        .join(assigned, "id")
-        .select("row", "shard")
-    )
-    # Rows are numbered in blocks of the tables as written, so that a shard's numbers
+    own = [F.col(f"`{c}`").alias(f"keep{n}") for n, c in enumerate(kept)]
+    placed = documents.select(*own, text_group(content).alias("id")).join(assigned, "id").drop("id")
+    # Rows are numbered in blocks of the table as written, so that a shard's numbers
     # need no task that sees all of it.
-    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
-    written = settled(placed.withColumn("place", F.monotonically_increasing_id()).withColumn("block", block), "sharded")
+    place = F.monotonically_increasing_id()
+    block = F.shiftright(place, BLOCK_BITS)
+    written = settled(placed.select("*", place.alias("place"), block.alias("block")), "sharded")
     counts = written.groupBy("shard", "block").agg(F.count("*").alias("rows"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
@@ -193,7 +192,11 @@ def shard_documents(
     return (
         written.withColumn("within", within)
         .join(starts, ["shard", "block"])
-        .select(*(F.col("row")[c].alias(c) for c in kept), "shard", (F.col("start") + F.col("within")).alias("slot"))
+        .select(
+            *(F.col(f"keep{n}").alias(c) for n, c in enumerate(kept)),
+            "shard",
+            (F.col("start") + F.col("within")).alias("slot"),
+        )
     )
 
 
