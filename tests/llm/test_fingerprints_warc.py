@@ -88,6 +88,47 @@ def pages(spark):
     return spark.createDataFrame(PAGES, "page_id BIGINT, url STRING, html STRING").withColumn("offset", F.lit("x"))
 
 
+def assert_in_order(rows):
+    keys = [(r.urlkey, r.captured, r.page_id is not None, r.page_id or 0) for r in rows]
+    assert keys == sorted(keys)
+    assert all((a.captured < b.captured) == (a.captured_at < b.captured_at) for a, b in zip(rows, rows[1:]))
+
+
+def test_captures_of_any_page_id(spark):
+    ids = [0, 1, -1, 3 * 10**11, 10**13, 2**62, -(2**62), 2**63 - 1, -(2**63), 7, 7, None]
+    rows = [(n, "http://a.org/", f"{HTML}{n}") for n in ids]
+    got = capture_index(spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")).collect()
+    assert sorted(map(repr, ids)) == sorted(repr(r.page_id) for r in got)
+    assert_in_order(got)
+    assert {r.captured_at[4] for r in got} == {"-"}
+
+
+def test_the_whole_table_is_in_one_order(spark, tables, monkeypatch):
+    """Over several ranges and archives, each bounded."""
+    monkeypatch.setattr("voltstream.llm.warc.RANGE_ROWS", 20)
+    pages = spark.read.parquet(f"{tables}/pages.parquet")
+    index = capture_index(pages)
+    assert index.rdd.getNumPartitions() >= pages.count() // 20
+    got = index.collect()
+    assert_in_order(got)
+    assert sorted(r.page_id for r in got) == sorted(r.page_id for r in pages.select("page_id").collect())
+
+
+def test_an_archive_ends_by_its_bytes(spark, tmp_path):
+    rows = [(n, "http://a.org/", f"{n} " * 20_000) for n in range(40)]
+    frame = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING").coalesce(1)
+    import pyarrow as pa
+
+    from voltstream.llm import warc
+
+    batch = pa.record_batch([pa.array(["x" * (12 << 20)] * 6 + [None] * 0)], names=["value"])
+    assert [p.as_py() for b in warc._dealt(iter([batch, batch])) for p in b.column("part")] == [
+        (12 << 20) * n // warc.BYTES_PER_FILE for n in range(12)
+    ]
+    write_archives(frame, str(tmp_path / "archives"))
+    assert read_runs(spark, str(tmp_path / "archives")).count() == 40
+
+
 def test_captures_of_odd_pages(spark, pages):
     rows = capture_index(pages).collect()
     assert len(rows) == len(PAGES)
@@ -98,8 +139,7 @@ def test_captures_of_odd_pages(spark, pages):
     by_id = {r.page_id: r for r in rows}
     assert by_id[9].payload_bytes == len(HTML.encode()) and by_id[9].payload_digest == by_id[3].payload_digest
     assert by_id[6].payload_bytes == 0
-    keys = [(r.urlkey, r.captured_at, -1 if r.page_id is None else r.page_id) for r in rows]
-    assert keys == sorted(keys)
+    assert_in_order(rows)
     assert capture_index(pages.where("false")).collect() == []
 
 

@@ -54,8 +54,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", "copy", "position")
+    return mix(table(spark, sf_dir, "documents"))
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +68,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = capture_index(table(spark, sf_dir, "pages"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return index.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured_at"
+    )
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,29 +196,33 @@ ORACLE: dict[str, str] = {
             SELECT source, list(c ORDER BY k) AS cdf FROM (
                 SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM p) GROUP BY source),
         x AS (
-            SELECT doc_id, m.source, cdf, unnest(range(1, draws + 1)) AS draw
+            SELECT doc_id, text, lang, n_chars, m.source, cdf, unnest(range(1, draws + 1)) AS draw
             FROM documents JOIN m ON documents.source IS NOT DISTINCT FROM m.source
             JOIN d ON m.source IS NOT DISTINCT FROM d.source),
         u AS (
-            SELECT doc_id, source, sum(len(list_filter(cdf, lambda c: c <= number))) AS copies FROM (
+            SELECT doc_id, text, lang, n_chars, source, sum(len(list_filter(cdf, lambda c: c <= number))) AS copies FROM (
                 SELECT *, ('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, 'null') || '|' || draw), 1, 13))::BIGINT
                     / 4503599627370496.0::DOUBLE AS number FROM x)
-            GROUP BY doc_id, source),
-        e AS (SELECT doc_id, source, unnest(range(0, copies::BIGINT)) AS copy FROM u)
-        SELECT doc_id, source, copy, ('0x' || substr(
+            GROUP BY doc_id, text, lang, n_chars, source),
+        e AS (SELECT doc_id, text, lang, n_chars, source, unnest(range(0, copies::BIGINT)) AS copy FROM u)
+        SELECT doc_id, text, lang, n_chars, source, copy, ('0x' || substr(
             md5('mix|place|' || coalesce(doc_id::VARCHAR, 'null') || '|' || copy), 1, 15))::BIGINT AS position
         FROM e
     """,
     "op8_warc_captures": """
         WITH p AS (
-            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+            SELECT page_id, lower(url) AS url, strlen(coalesce(html, '')) AS payload_bytes,
                 sha256(coalesce(html, '')) AS payload_digest FROM pages),
         f AS (
             SELECT *, CASE WHEN payload_bytes >= 100
                 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
         SELECT page_id, payload_bytes, payload_digest,
             CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-            CASE WHEN page_id <> first THEN first END AS refers_to
+            CASE WHEN page_id <> first THEN first END AS refers_to,
+            array_to_string(list_reverse(string_split(
+                regexp_replace(regexp_extract(url, '://([^/?#]+)', 1), '^www[.]', ''), '.')), ',')
+                || ')' || regexp_extract(url, '://[^/?#]+([^#]*)', 1) AS urlkey,
+            strftime(make_timestamp((1700000000 + page_id % 268435456) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
         FROM f
     """,
     "op11_phrase_collocations": """

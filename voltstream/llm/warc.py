@@ -4,7 +4,8 @@ Archives are written by Spark's text writer: a record is one text, and the recor
 separator ``CRLF CRLF`` is the line separator, so any file system Spark knows will do
 and a failed task leaves nothing behind. Every archive is read back as one run of
 index entries, sorted by URL key and time. Runs are then merged: the key space is cut
-into ranges, and within each a loser tree merges the slices of all runs.
+into ranges, and within each a loser tree merges the slices of all runs. Archives are
+bounded by bytes and by records, ranges by rows, whatever the table's size.
 """
 
 from __future__ import annotations
@@ -12,9 +13,12 @@ from __future__ import annotations
 import gzip
 import hashlib
 from collections.abc import Iterable, Iterator
+from datetime import datetime
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +32,19 @@ END = BREAK + BREAK
 
 # Payloads below this size are always stored.
 LEAST_BYTES = 100
-# An archive is read back whole, one at a time.
+# An archive is read back whole, one at a time: it ends with the record that passes either.
 RECORDS_PER_FILE = 1000
+BYTES_PER_FILE = 32 << 20
+# Index entries that a task merges, on average.
+RANGE_ROWS = 100_000
+# Pages have no time of their own, so their ids stand for it, within a span of seconds.
 FIRST_CAPTURE = 1_700_000_000
+CAPTURE_SPAN = 1 << 28
 
 INDEX = {
     "urlkey": pa.string(),
     "captured_at": pa.string(),
+    "captured": pa.int64(),
     "page_id": pa.int64(),
     "url": pa.string(),
     "record_type": pa.string(),
@@ -46,11 +56,11 @@ INDEX = {
     "length": pa.int64(),
 }
 INDEX_DDL = (
-    "urlkey STRING, captured_at STRING, page_id BIGINT, url STRING, record_type STRING, "
+    "urlkey STRING, captured_at STRING, captured BIGINT, page_id BIGINT, url STRING, record_type STRING, "
     "payload_bytes BIGINT, payload_digest STRING, refers_to BIGINT, archive STRING, "
     "offset BIGINT, length BIGINT"
 )
-ORDER = ("urlkey", "captured_at", "page_id")
+ORDER = ("urlkey", "captured", "page_id")
 
 
 def capture_decisions(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -80,7 +90,10 @@ def write_archives(pages: DataFrame, path: str) -> None:
 
     Null html is the empty payload. A null page id is written as an empty field, and
     such a page is never a revisit; a null URL leaves the target out. Pages of one id
-    and payload are all responses. Without pages there is one archive without records.
+    and payload are all responses. Without pages there is no archive.
+
+    The capture time is ``FIRST_CAPTURE`` and the id modulo ``CAPTURE_SPAN`` in seconds,
+    so that ids of the whole BIGINT range give dates of four-digit years.
     """
     decided = capture_decisions(pages)
     revisit = F.col("first").isNotNull()
@@ -91,7 +104,8 @@ def write_archives(pages: DataFrame, path: str) -> None:
         F.lit(END),
     )
     block = F.concat(http, body)
-    captured = F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.coalesce("page_id", F.lit(0)))
+    second = F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(CAPTURE_SPAN))
+    captured = F.timestamp_seconds(F.lit(FIRST_CAPTURE) + second)
     fields = F.concat(
         F.lit(f"{VERSION}{BREAK}WARC-Type: "),
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
@@ -106,15 +120,29 @@ def write_archives(pages: DataFrame, path: str) -> None:
         _field("Content-Length", F.octet_length(block).cast("string")),
         F.lit(END),
     )
+    records_ = decided.select(F.concat(fields, block).alias("value"))
     (
-        decided.select(F.concat(fields, block).alias("value"))
+        records_.mapInArrow(_dealt, "value STRING, part INT")
         .write.option("lineSep", END)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .partitionBy("part")
         .text(path)
     )
 
 
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of a task with the number of their archive, by the bytes before them."""
+    before = 0
+    for batch in batches:
+        value = batch.column("value")
+        sizes = pc.binary_length(value).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = before + np.cumsum(sizes)
+        part = ((ends - sizes) // BYTES_PER_FILE).astype(np.int32)
+        before = int(ends[-1]) if len(ends) else before
+        yield pa.record_batch([value, pa.array(part)], names=["value", "part"])
+
+
 def read_runs(spark, path: str) -> DataFrame:
     """Read every archive back as a sorted run of index entries.
 
@@ -128,16 +156,20 @@ def read_runs(spark, path: str) -> DataFrame:
                 columns = zip(*rows) if rows else ((),) * len(INDEX)
                 yield record_batch(dict(zip(INDEX, columns)), INDEX)
 
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz")
+    archives = reader.option("recursiveFileLookup", "true").load(path)
     return archives.select("path", "content").mapInArrow(parse, INDEX_DDL)
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
     """All index entries in one order: by URL key, time and page.
 
-    A range holds whole keys only where they fit: the time is part of the range, so the
-    captures of one URL may spread over several tasks.
+    Partitions are ascending ranges of about ``RANGE_ROWS`` entries. A range holds whole
+    keys only where they fit: the time is part of the range, so the captures of one
+    URL may spread over several tasks. Entries alike in all three are in one.
     """
+    partitions = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(partitions, -(-runs.count() // RANGE_ROWS))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = list(batches)
@@ -150,7 +182,7 @@ def merge_runs(runs: DataFrame) -> DataFrame:
         merged = list(loser_tree(slices.values(), _order))
         yield record_batch(dict(zip(INDEX, zip(*merged))), INDEX)
 
-    ranged = runs.repartitionByRange(*ORDER).sortWithinPartitions("archive", *ORDER)
+    ranged = runs.repartitionByRange(ranges, *ORDER).sortWithinPartitions("archive", *ORDER)
     return ranged.mapInArrow(merge, INDEX_DDL)
 
 
@@ -185,6 +217,7 @@ def records(data: bytes, archive: str) -> Iterator[tuple]:
         yield (
             url_key(url),
             fields["WARC-Date"],
+            int(datetime.fromisoformat(fields["WARC-Date"]).timestamp()),
             int(fields["Page"]) if fields["Page"] else None,
             url,
             kind,
@@ -249,10 +282,13 @@ def loser_tree(runs: Iterable[Iterable], key) -> Iterator:
 
 
 _ARCHIVE = list(INDEX).index("archive")
+_PAGE = list(INDEX).index("page_id")
 
 
 def _order(row: tuple) -> tuple:
-    return row[0], row[1], -1 if row[2] is None else row[2], row[_ARCHIVE], row[_ARCHIVE + 1]
+    # Null ids come first, as Spark has them.
+    page = row[_PAGE]
+    return row[0], row[_PAGE - 1], page is not None, page or 0, row[_ARCHIVE], row[_ARCHIVE + 1]
 
 
 def _field(name: str, value: Column) -> Column:
