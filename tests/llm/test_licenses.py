@@ -1,8 +1,11 @@
 """Neighbouring copies of license notices, against brute force."""
 
 import random
+import time
 
-from voltstream.llm.licenses import ERRORS, NOTICES, Scanner
+import pytest
+
+from voltstream.llm.licenses import ERRORS, NOTICES, PHRASES, Scanner, scan_text
 
 
 def fewest_edits(notice, text):
@@ -54,3 +57,33 @@ def test_neighbouring_copies_against_brute_force():
             gaps = [text[a:b] for a, b in zip(edges[::2], edges[1::2])]
             assert all(fewest_edits(notice, gap) > allowed for gap in gaps)
             assert len(found) == len(copies)
+
+
+def test_copies_side_by_side_in_one_long_stretch():
+    """As many spans as copies, each with its exact edits, and nothing in the gaps."""
+    rng = random.Random(12)
+    notice = "released under the mit license"
+    scanner = Scanner({}, {notice: "mit"}, ERRORS)
+    copies = [edited(rng, notice, rng.randrange(4)) for _ in range(300)]
+    text = " ".join(copies)
+    found = scanner.fuzzy(text)
+    assert all(distance(notice, text[a:b]) == edits <= 3 for a, b, _, edits in found)
+    edges = [0, *(e for a, b, *_ in found for e in (a, b)), len(text)]
+    assert edges == sorted(edges)
+    assert all(fewest_edits(notice, text[a:b]) > 3 for a, b in zip(edges[::2], edges[1::2]))
+    assert len(found) == 300
+
+
+@pytest.mark.parametrize("faulty", ["all right reserved ", "relesed under the mit licence ", "gnu generl public license ", "x all rights reservd y "])
+def test_time_grows_with_the_text(faulty):
+    scanner = Scanner(PHRASES, NOTICES, ERRORS)
+
+    def seconds(size):
+        text = faulty * (size // len(faulty))
+        began = time.process_time()
+        scanned = scan_text(scanner, text)
+        assert len(scanned[-1]) == size // len(faulty)
+        return time.process_time() - began
+
+    short, long = seconds(80_000), seconds(800_000)
+    assert long < 30 * max(short, 0.1)

@@ -10,6 +10,7 @@ gives the span and the number of edits.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
@@ -61,9 +62,8 @@ class Scanner:
         parts: dict[str, list[tuple[int, int]]] = {}
         for number, (notice, label) in enumerate(notices.items()):
             edits = int(len(notice) * errors)
-            self.notices.append(
-                (label, len(notice), edits, regex.compile(f"(?b)({regex.escape(notice, literal_spaces=True)}){{e<={edits}}}"))
-            )
+            pattern = f"({regex.escape(notice, literal_spaces=True)}){{e<={edits}}}"
+            self.notices.append((label, len(notice), edits, regex.compile(pattern), regex.compile(f"(?b){pattern}")))
             edges = [len(notice) * n // (edits + 1) for n in range(edits + 2)]
             for low, high in zip(edges, edges[1:]):
                 parts.setdefault(notice[low:high], []).append((number, low))
@@ -87,15 +87,15 @@ class Scanner:
         """(start, end, label, edits) of every notice within its edits, without overlaps.
 
         Windows around the seeds of one notice are joined where they overlap, so each
-        stretch of text is searched once per notice. The best match of a window need not
-        be its first, so the rest on both sides of it is searched too.
+        stretch of text is searched once per notice, from left to right and never far
+        ahead: the work grows with the stretch, also if it is one notice after another.
         """
         windows: dict[int, list[list[int]]] = {}
         if len(self.seeds):
             for last, (size, places) in self.seeds.iter(joined):
                 start = last - size + 1
                 for number, low in places:
-                    _, length, edits, _ = self.notices[number]
+                    _, length, edits, *_ = self.notices[number]
                     begin = max(0, start - low - edits)
                     end = min(len(joined), start - low + length + edits)
                     own = windows.setdefault(number, [])
@@ -105,27 +105,58 @@ class Scanner:
                         own.append([begin, end])
         found = []
         for number, spans in windows.items():
-            label, _, _, pattern = self.notices[number]
+            label, length, edits, *patterns = self.notices[number]
             for begin, end in spans:
-                for match in _matches(pattern, joined, begin, end):
+                for match in _matches(*patterns, length + edits, 2 * edits, joined, begin, end):
                     found.append((match.start(), match.end(), label, sum(match.fuzzy_counts)))
-        # Of notices that overlap, the one with the fewest edits stands.
+        # Of notices that overlap, the one with the fewest edits stands. Those that stand
+        # lie apart, so only the next ones on both sides can overlap another.
         kept: list[tuple[int, int, str, int]] = []
         for one in sorted(found, key=lambda f: (f[3], f[0] - f[1], f)):
-            if all(one[1] <= other[0] or one[0] >= other[1] for other in kept):
-                kept.append(one)
-        return sorted(kept)
+            at = bisect_left(kept, one)
+            if (at == 0 or kept[at - 1][1] <= one[0]) and (at == len(kept) or kept[at][0] >= one[1]):
+                insort(kept, one)
+        return kept
 
 
-def _matches(pattern: regex.Pattern, text: str, begin: int, end: int) -> Iterator[regex.Match]:
-    """The best match of a stretch, then those of what is left and right of it, until none is found."""
+def _matches(
+    first: regex.Pattern, best: regex.Pattern, width: int, slack: int, text: str, begin: int, end: int
+) -> Iterator[regex.Match]:
+    """Matches that lie apart, with none left between them.
+
+    ``first`` finds the leftmost place, ``best`` the place with the fewest edits; no match
+    is longer than ``width``. Where a match begins, the best one that begins at most
+    ``slack`` later is taken, and what is left of that is searched too.
+    """
+    at, step = begin, 4 * width
+    while at < end:
+        ahead = first.search(text, at, min(end, at + step))
+        if not ahead:
+            # A match that begins in the last ``width`` characters may be cut off.
+            at += step - width
+            continue
+        start = ahead.start()
+        near = best.search(text, start, min(end, start + slack + width))
+        if near.start() <= start + slack:
+            yield from _around(best, text, start, near.start())
+            yield near
+            at = near.end()
+            continue
+        # The best one begins late and may be cut off: take what stands before it.
+        before = list(_around(best, text, start, near.start()))
+        yield from before
+        at = max([start + 1, near.start() - width, *(m.end() for m in before)])
+
+
+def _around(best: regex.Pattern, text: str, begin: int, end: int) -> Iterator[regex.Match]:
+    """The best match of a short stretch, then those of what is left and right of it."""
     waiting = [(begin, end)]
     while waiting:
-        begin, end = waiting.pop()
-        match = pattern.search(text, begin, end)
+        low, high = waiting.pop()
+        match = best.search(text, low, high) if low < high else None
         if match:
             yield match
-            waiting += [(match.end(), end), (begin, match.start())]
+            waiting += [(match.end(), high), (low, match.start())]
 
 
 @lru_cache(maxsize=4)
@@ -189,7 +220,8 @@ def scan_text(scanner: Scanner, text: str) -> tuple:
     words = WORD.findall(lower)
     joined = " ".join(words)
     base, near = scanner.exact(joined), scanner.fuzzy(joined)
-    places = [joined.count(" ", 0, at) for at, _ in base]
+    blanks = [m.start() for m in re.finditer(" ", joined)] if base or near else []
+    places = [bisect_left(blanks, at) for at, _ in base]
     labels = {label for _, label in base}
     best = max([1.0] * bool(base) + [1 - edits / (end - start) for start, end, _, edits in near], default=0.0)
     return (
@@ -200,19 +232,19 @@ def scan_text(scanner: Scanner, text: str) -> tuple:
         ",".join(sorted(labels)),
         ",".join(sorted(labels | {label for _, _, label, _ in near})),
         max(0.0, best),
-        _in_text(lower, joined, near),
+        _in_text(lower, blanks, near),
     )
 
 
-def _in_text(text: str, joined: str, near: list[tuple[int, int, str, int]]) -> list[dict]:
+def _in_text(text: str, blanks: list[int], near: list[tuple[int, int, str, int]]) -> list[dict]:
     """The spans of notices as characters of the text, widened to whole words."""
     if not near:
         return []
     places = [m.span() for m in WORD.finditer(text)]
     return [
         {
-            "start": places[joined.count(" ", 0, start)][0],
-            "end": places[min(joined.count(" ", 0, end), len(places) - 1)][1],
+            "start": places[bisect_left(blanks, start)][0],
+            "end": places[min(bisect_left(blanks, end), len(places) - 1)][1],
             "label": label,
             "edits": edits,
         }
