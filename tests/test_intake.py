@@ -1,0 +1,157 @@
+"""Bad and late records before state: none vanishes, none is counted twice."""
+
+import json
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from voltstream.functions.records import (
+    LATE,
+    NO_TIME,
+    NOT_JSON,
+    accepted,
+    rejected,
+    tagged_records,
+)
+from voltstream.operators.windows import bounds, tumble
+from voltstream.sinks.base import Sink
+from voltstream.sinks.files import json_folder
+from voltstream.streaming.attributes import tag_event_time, tag_late, with_event_time
+from voltstream.streaming.closing import EndOfInput
+from voltstream.streaming.intake import Lateness, take_in
+from voltstream.streaming.run import run_to_end
+
+SCHEMA = "Fecha STRING, n BIGINT"
+
+
+def line(minute, n=1):
+    return json.dumps({"Fecha": f"2024-05-01 {10 + minute // 60}:{minute % 60:02d}:00", "n": n})
+
+
+@pytest.fixture
+def inbox(spark, tmp_path):
+    """Text files, one micro-batch each, as a stream of values."""
+    (tmp_path / "inbox").mkdir()
+    files = []
+
+    def put(*lines):
+        import os
+
+        path = tmp_path / "inbox" / f"{len(files)}.txt"
+        path.write_text("\n".join(lines))
+        os.utime(path, (1_700_000_000 + len(files),) * 2)
+        files.append(path)
+        return spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "inbox"))
+
+    return put
+
+
+def take(values, tmp_path, sink=None, **options):
+    sink = sink or json_folder(str(tmp_path / "rejects"), native=False)
+    return take_in(values, SCHEMA, str(tmp_path / "intake"), sink, time="Fecha", to_end=True, **options)
+
+
+def counts(intake, spark):
+    end = EndOfInput(spark)
+    records = with_event_time(end.mark(intake.records, "ts_ltz"), F.col("ts_ltz"))
+    windows = run_to_end(bounds(tumble(records, "ts_ltz", "10 minutes", {"n": F.sum("n")})), flush=end)
+    return sorted((r.window_start.minute + 60 * (r.window_start.hour - 10), r.n) for r in windows.collect())
+
+
+def rejects(spark, tmp_path):
+    read = spark.read.schema("value STRING, reason STRING").option("recursiveFileLookup", "true")
+    return sorted((r.reason, r.value) for r in read.json(str(tmp_path / "rejects")).collect())
+
+
+def test_windows_and_rejects_are_all_rows(spark, inbox, tmp_path):
+    bad = ['{"cut', "not json", '{"Fecha": "yesterday", "n": 1}', '{"n": 1}', '{"Fecha": "2024-05-01 10:01:00", "n": "x"}']
+    inbox(line(1), bad[0], line(2), bad[2])
+    intake = take(inbox(line(11), *bad[1:2], *bad[3:]), tmp_path)
+    assert counts(intake, spark) == [(0, 2), (10, 1)]
+    found = rejects(spark, tmp_path)
+    assert sorted(v for _, v in found) == sorted(bad)
+    assert sorted(r for r, _ in found) == sorted([NOT_JSON] * 3 + [NO_TIME] * 2)
+    assert intake.account() == {"accepted": 3, NOT_JSON: 3, NO_TIME: 2, LATE: 0}
+
+
+def test_every_late_record_is_accounted_for(spark, inbox, tmp_path):
+    inbox(*(line(m) for m in range(30)))
+    inbox(line(200))
+    late = [line(m, n) for m in (3, 4) for n in range(125)]
+    intake = take(inbox(line(199), *late, line(195)), tmp_path, late=Lateness("10 minutes"))
+    assert [v for r, v in rejects(spark, tmp_path) if r == LATE] == sorted(late)
+    assert intake.account() == {"accepted": 33, NOT_JSON: 0, NO_TIME: 0, LATE: 250}
+    assert counts(intake, spark) == [(0, 10), (10, 10), (20, 10), (190, 2), (200, 1)]
+
+
+def test_a_batch_judges_by_the_batches_before_it(spark, inbox, tmp_path):
+    """The newest row of its own batch makes no record late."""
+    intake = take(inbox(line(300), line(1)), tmp_path, late=Lateness("10 minutes"))
+    assert counts(intake, spark) == [(0, 1), (300, 1)]
+
+
+def test_restart_takes_in_only_what_is_new(spark, inbox, tmp_path):
+    take(inbox(line(1), "bad"), tmp_path)
+    intake = take(inbox(line(2), "worse"), tmp_path)
+    assert counts(intake, spark) == [(0, 2)]
+    assert [v for _, v in rejects(spark, tmp_path)] == ["bad", "worse"]
+
+
+def test_a_replayed_batch_is_in_the_table_once(spark, inbox, tmp_path):
+    """The rejects' target fails after the records are published, twice."""
+    failures = [1, 1]
+    kept = json_folder(str(tmp_path / "rejects"), native=False)
+
+    def flaky(frame, batch_id):
+        if failures:
+            failures.pop()
+            raise RuntimeError("rejects are down")
+        kept.write(frame, batch_id)
+
+    sink = Sink("flaky", native=False, custom_write=flaky)
+    values = inbox(line(1), line(2), "bad")
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException, match="rejects are down"):
+            take(values, tmp_path, sink)
+    intake = take(values, tmp_path, sink)
+    assert counts(intake, spark) == [(0, 2)]
+    assert rejects(spark, tmp_path) == [(NOT_JSON, "bad")]
+    assert intake.account()["accepted"] == 2
+
+
+def test_an_intake_of_nothing(spark, inbox, tmp_path):
+    intake = take(inbox(), tmp_path)
+    assert counts(intake, spark) == [] and sum(intake.account().values()) == 0
+
+
+def test_records_of_some_fields_without_time(spark, inbox, tmp_path):
+    values = inbox('{"Fecha": 5, "n": 3}', "x")
+    sink = json_folder(str(tmp_path / "rejects"), native=False)
+    intake = take_in(values, SCHEMA, str(tmp_path / "intake"), sink, fields=("n",), to_end=True)
+    assert intake.records.columns == ["n"]
+    assert [r.n for r in run_to_end(intake.records).collect()] == [3]
+
+
+def test_tags_split_a_frame_in_two(spark):
+    values = spark.createDataFrame([(line(1),), (None,), ("",), ("[]",), ('{"n": 2}',)], "value STRING")
+    tagged = tag_event_time(tagged_records(values, SCHEMA), "Fecha")
+    assert accepted(tagged).columns == ["Fecha", "n", "ts_ltz"]
+    assert accepted(tagged).count() + rejected(tagged).count() == 5
+    assert {(r.value, r.reason) for r in rejected(tagged).collect()} >= {(None, NOT_JSON), ('{"n": 2}', NO_TIME)}
+
+
+def test_a_tagged_frame_parses_a_text_once(spark):
+    values = spark.createDataFrame([(line(1),)], "value STRING")
+    tagged = tag_late(tag_event_time(tagged_records(values, SCHEMA), "Fecha"), "ts_ltz", "10 minutes", "1 minute", 5)
+    for half in (accepted(tagged), rejected(tagged)):
+        plan = half._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == plan.count("gettimestamp") == 1
+
+
+@pytest.mark.parametrize("size, late", [("10 minutes", 1), ("1 hour", 0), ("1 day", 0)])
+def test_a_record_is_late_if_its_window_is(spark, size, late):
+    values = spark.createDataFrame([(line(1),), (line(29),)], "value STRING")
+    newest = 1714557600000000 + 20 * 60_000_000  # 10:20
+    tagged = tag_late(tag_event_time(tagged_records(values, SCHEMA)), "ts_ltz", size, "1 minute", newest)
+    assert rejected(tagged).where("reason = 'late'").count() == late

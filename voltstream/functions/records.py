@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt"
+# The text a record was read from, and why it was not accepted.
+TEXT = "_text"
+REASON = "_reason"
+# The reasons.
+NOT_JSON = "not json"
+NO_TIME = "no event time"
+LATE = "late"
 
 
 def read_record(
@@ -42,6 +49,43 @@ def read_record_checked(
     return _unpack(values, column, record)
 
 
+def tagged_records(
+    values: DataFrame,
+    schema: str,
+    column: str = "value",
+    fields: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """As ``read_record``, plus ``_text`` and ``_reason``, from one parse per text.
+
+    ``_reason`` is null for a record and says why a text is none; a null text is none.
+    ``accepted`` and ``rejected`` are the two halves: keep the tagged frame (``persist``,
+    or a table) where both are wanted, and no text is parsed twice.
+
+    With ``fields`` a record is judged by those fields alone: the parser skips the rest.
+    """
+    declared = T.StructType.fromDDL(schema)
+    if fields is not None:
+        declared = T.StructType([declared[name] for name in fields])
+    declared = T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())])
+    text = F.col(_quoted(column))
+    record = F.from_json(text, declared, {"columnNameOfCorruptRecord": CORRUPT})
+    unpacked = _unpack(values.withColumn(TEXT, text), column, record)
+    bad = F.col(CORRUPT).isNotNull() | F.col(TEXT).isNull()
+    return unpacked.withColumn(REASON, F.when(bad, F.lit(NOT_JSON))).drop(CORRUPT)
+
+
+def accepted(tagged: DataFrame) -> DataFrame:
+    """The records of a tagged frame, without the tags."""
+    return tagged.where(F.col(REASON).isNull()).drop(TEXT, REASON)
+
+
+def rejected(tagged: DataFrame) -> DataFrame:
+    """(value, reason) of all that is not accepted."""
+    return tagged.where(F.col(REASON).isNotNull()).select(
+        F.col(TEXT).alias("value"), F.col(REASON).alias("reason")
+    )
+
+
 def json_text(frame: DataFrame) -> Column:
     """All columns of ``frame`` as one JSON text, nulls written out.
 

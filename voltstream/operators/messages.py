@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltstream.functions.records import (
-    CORRUPT,
+    TEXT,
+    accepted,
     conform,
     json_text,
     read_record,
-    read_record_checked,
+    rejected,
+    tagged_records,
 )
 from voltstream.functions.times import iso_time
 from voltstream.schemas import (
@@ -29,7 +31,12 @@ ALERT_TEXT = "Sin Generacion"
 
 def parse_message(values: DataFrame, strict: bool = False) -> DataFrame:
     """JSON text in ``value`` to message_id, planta_id, Radiacion, Potencia, timestamp."""
-    return read_record(values, PLANT_MESSAGE, strict=strict).select(
+    return message_fields(read_record(values, PLANT_MESSAGE, strict=strict))
+
+
+def message_fields(records: DataFrame) -> DataFrame:
+    """Records of a plant message, however they were read, to the columns above."""
+    return records.select(
         "message_id",
         _whole_number("planta_id"),
         "message.Radiacion",
@@ -75,24 +82,34 @@ def normalise(values: DataFrame, strict: bool = False) -> DataFrame:
 
     ``message`` stays JSON text, whatever fields it has.
     """
-    return _raw_rows(read_record(values, RAW_MESSAGE, strict=strict))
+    return raw_rows(read_record(values, RAW_MESSAGE, strict=strict))
+
+
+def raw_rows(records: DataFrame) -> DataFrame:
+    """Records of a raw message, however they were read, in their normal form."""
+    typed = records.withColumns(
+        {"planta_id": _whole_number("planta_id"), "timestamp": iso_time("timestamp")}
+    )
+    return conform(typed, RAW_ROW)
 
 
 def split_corrupt(values: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(normalised rows, text that is not JSON); every input row is in one of the two."""
-    good, bad = split_values(values, RAW_MESSAGE)
-    return normalise(good), bad
+    """(normalised rows, text that is not JSON); every input row is in one of the two.
+
+    Each half parses a text once. Where both are run, take them from one kept frame of
+    ``tagged_records``, as the jobs do.
+    """
+    tagged = tagged_records(values, RAW_MESSAGE)
+    return raw_rows(accepted(tagged)), rejected(tagged).select("value")
 
 
 def split_values(
     values: DataFrame, schema: str = PLANT_MESSAGE
 ) -> tuple[DataFrame, DataFrame]:
     """(text that is JSON of the schema, other text), both in ``value``; null text is bad."""
-    kept = values.withColumn("_text", F.col("value"))
-    checked = read_record_checked(kept, schema)
-    text = F.col("_text").alias("value")
-    bad = F.col(CORRUPT).isNotNull() | F.col("_text").isNull()
-    return checked.where(~bad).select(text), checked.where(bad).select(text)
+    tagged = tagged_records(values, schema)
+    good = tagged.where("_reason IS NULL").select(F.col(TEXT).alias("value"))
+    return good, rejected(tagged).select("value")
 
 
 def json_values(frame: DataFrame) -> DataFrame:
@@ -100,13 +117,6 @@ def json_values(frame: DataFrame) -> DataFrame:
     return frame.select(json_text(frame).alias("value"))
 
 
-def _raw_rows(fields: DataFrame) -> DataFrame:
-    typed = fields.withColumns(
-        {"planta_id": _whole_number("planta_id"), "timestamp": iso_time("timestamp")}
-    )
-    return conform(typed, RAW_ROW)
-
-
 def _whole_number(name: str) -> Column:
     # Through DOUBLE, so that 7, 7.0 and "7" all give 7.
     return F.col(name).try_cast("double").try_cast("int").alias(name)

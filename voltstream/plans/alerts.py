@@ -1,8 +1,8 @@
 """Jobs on plant messages: alerts and raw ingest.
 
 Each takes a ``value`` text frame, from a topic or anything else. Text that is not a
-message goes to ``rejects``, a sink of ``value`` rows; without one it fails the job, so
-none vanishes. Previews are printed on the driver beside the sink that takes all rows.
+message goes to ``rejects``, a sink of (value, reason) rows; without one it fails the job,
+so none vanishes. A text is parsed once, whatever becomes of it. Previews are printed on the driver beside the sink that takes all rows.
 """
 
 from __future__ import annotations
@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from voltstream.functions.records import accepted, read_record, rejected, tagged_records
 from voltstream.operators.messages import (
     alert_messages,
     alert_rows,
-    normalise,
-    parse_message,
-    split_values,
+    message_fields,
+    raw_rows,
 )
 from voltstream.schemas import PLANT_MESSAGE, RAW_MESSAGE
 from voltstream.sinks.base import Sink, fan_out
@@ -76,32 +76,23 @@ def raw_to_table(
 ) -> StreamingQuery:
     """Insert every message in its raw normal form."""
     run.setdefault("every", FLUSH_EVERY)
-    sink = _messages(normalise, fan_out(table, preview_sink()), rejects, RAW_MESSAGE)
+    sink = _messages(raw_rows, fan_out(table, preview_sink()), rejects, RAW_MESSAGE)
     return start(values, sink, checkpoint, name, **run)
 
 
-def _alert_messages(values: DataFrame, strict: bool) -> DataFrame:
-    return alert_messages(parse_message(values, strict=strict))
+def _alert_messages(records: DataFrame) -> DataFrame:
+    return alert_messages(message_fields(records))
 
 
-def _alert_rows(values: DataFrame, strict: bool) -> DataFrame:
-    return alert_rows(parse_message(values, strict=strict))
+def _alert_rows(records: DataFrame) -> DataFrame:
+    return alert_rows(message_fields(records))
 
 
 def _messages(
-    transform: Callable[..., DataFrame], sink: Sink, rejects: Sink | None, schema: str
+    transform: Callable[[DataFrame], DataFrame], sink: Sink, rejects: Sink | None, schema: str
 ) -> Sink:
     """A sink of message texts: what they give to ``sink``, what is no message to ``rejects``."""
-
-    def write(frame: DataFrame, batch_id: int | None) -> None:
-        if rejects is None:
-            return sink.write(transform(frame, strict=True), batch_id)
-        frame.persist()
-        try:
-            good, bad = split_values(frame, schema)
-            sink.write(transform(good, strict=True), batch_id)
-            rejects.write(bad, batch_id)
-        finally:
-            frame.unpersist()
-
-    return Sink("messages", native=False, custom_write=write)
+    if rejects is None:
+        return sink.fed(lambda values: transform(read_record(values, schema, strict=True)))
+    both = fan_out(sink.fed(lambda tagged: transform(accepted(tagged))), rejects.fed(rejected))
+    return both.fed(lambda values: tagged_records(values, schema))

@@ -46,8 +46,7 @@ def device_charge_sql(readings: DataFrame, scale: int | None = None) -> DataFram
     With ``scale`` the readings are summed as decimals of so many places, exactly.
     """
     if scale is not None:
-        exact = checked(F.col("ampere_hour"), scale).cast(f"decimal(18, {scale})")
-        readings = readings.withColumn("ampere_hour", exact)
+        readings = _exact(readings, "ampere_hour", scale)
     if HEARTBEAT not in readings.columns:
         readings = readings.withColumn(HEARTBEAT, F.lit(False))
     return readings.sparkSession.sql(
@@ -99,13 +98,20 @@ def paired_means(
 
 
 def joined_means_sql(
-    irradiance: DataFrame, inverter: DataFrame, views: tuple[str, str] | None = None
+    irradiance: DataFrame,
+    inverter: DataFrame,
+    views: tuple[str, str] | None = None,
+    scale: int | None = None,
 ) -> DataFrame:
     """``joined_means`` in SQL, as two named sub-queries and a join that rounds again.
 
-    ``views`` publishes the sub-queries under those names for other queries.
+    ``views`` publishes the sub-queries under those names for other queries. With
+    ``scale`` the readings are averaged as decimals of so many places, exactly.
     """
     spark = irradiance.sparkSession
+    if scale is not None:
+        irradiance = _exact(irradiance, "Radiacion", scale)
+        inverter = _exact(inverter, "PA_Inv", scale)
     left = spark.sql(
         """
         SELECT window AS w, round(avg(Radiacion), 1) AS Radiacion
@@ -132,3 +138,9 @@ def joined_means_sql(
         left=left,
         right=right,
     )
+
+
+def _exact(frame: DataFrame, measure: str, scale: int) -> DataFrame:
+    """A measure as a decimal; a reading that has more places fails the job."""
+    exact = checked(F.col(measure), scale).cast(f"decimal(18, {scale})")
+    return frame.withColumn(measure, exact)

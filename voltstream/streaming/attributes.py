@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltstream.functions.records import LATE, NO_TIME, REASON
 from voltstream.functions.times import event_time, processing_time
 from voltstream.operators.windows import HEARTBEAT
 
@@ -41,6 +44,37 @@ def split_event_time(
     return frame.where(readable), frame.where(~readable)
 
 
+def tag_event_time(tagged: DataFrame, source: str = "Fecha", name: str = "ts_ltz") -> DataFrame:
+    """Add event time to ``tagged_records``; a record without a readable one is rejected."""
+    timed = _behind_barrier(tagged, name, event_time(source))
+    return _with_reason(timed, F.col(name).isNull(), NO_TIME)
+
+
+def tag_late(
+    tagged: DataFrame, name: str, size: str, delay: str, newest: int | None
+) -> DataFrame:
+    """Reject records whose window of ``size`` ended ``delay`` before ``newest``.
+
+    ``newest`` is in microseconds since the epoch; without it nothing is late.
+    """
+    if newest is None:
+        return tagged
+    width, watermark = _micros(size), newest - _micros(delay)
+    # Not ``F.window``: it would take rows without a time out.
+    ended = (F.floor(F.unix_micros(name) / F.lit(width)) + 1) * F.lit(width) <= F.lit(watermark)
+    return _with_reason(tagged, ended, LATE)
+
+
+def _micros(interval: str) -> int:
+    """Text like ``10 minutes`` in microseconds."""
+    number, unit = interval.split()
+    return timedelta(**{f"{unit.rstrip('s')}s": int(number)}) // timedelta(microseconds=1)
+
+
+def _with_reason(tagged: DataFrame, condition: Column, reason: str) -> DataFrame:
+    return tagged.withColumn(REASON, F.coalesce(F.col(REASON), F.when(condition, F.lit(reason))))
+
+
 def _behind_barrier(frame: DataFrame, name: str, value: Column) -> DataFrame:
     # A filter on the result stays above this generator, so the text is parsed once.
     others = [F.col(f"`{c}`") for c in frame.columns if c != name]

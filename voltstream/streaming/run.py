@@ -14,6 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from voltstream.session import PARTITIONS, PROVIDER, STATE_STORE, sized_partitions
 from voltstream.sinks.base import Sink
 from voltstream.sinks.files import BATCH_ID, parquet_sink
+from voltstream.streaming.closing import EndOfInput
+from voltstream.streaming.late import LateRows
 from voltstream.streaming.workdir import fresh_dir
 
 log = logging.getLogger(__name__)
@@ -35,11 +37,14 @@ def start(
     stops. ``checkpoint`` is required: with it a restart, or the loss of the
     driver, resumes at the offsets last committed.
 
+    A sink with several parts keeps a log in the checkpoint, so that a batch which
+    failed at one of them is not given again to the others.
+
     ``partitions`` is the number of state partitions, which a checkpoint keeps for
     its life. Without it the session's shuffle partitions hold, and if that is open
     too, the cluster's cores decide, with a warning.
     """
-    writer = sink.attach(frame).outputMode(mode)
+    writer = sink.attach(frame, f"{checkpoint}/sinks").outputMode(mode)
     writer = writer.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
@@ -52,25 +57,29 @@ def start(
 
 
 def run_to_end(
-    frame: DataFrame, mode: str = "append", flush: tuple[str, ...] | None = None
+    frame: DataFrame, mode: str = "append", flush: tuple[str, ...] | EndOfInput | None = None
 ) -> DataFrame:
     """Run a bounded stream to its end and return what it emitted, as a table.
 
-    In append mode the windows still open at the end are not emitted. ``flush`` names
-    the keys of a windowed aggregate, and all its windows come out, each once, as a
-    bounded input would close them.
+    In append mode the windows still open at the end are not emitted. ``flush`` brings
+    out all of them, each once, as a bounded input would close them: give it the
+    ``EndOfInput`` that marked the sources, for windows joined or aggregated in any way,
+    or the keys of a single windowed aggregate.
 
     The output is a Parquet table in the shared folder; no row passes through the
     driver. In update mode a window may be emitted more than once: the table then
     has a ``batch_id`` column, and ``latest`` picks the last state.
     """
-    if flush is not None:
+    if isinstance(flush, tuple):
         return latest(run_to_end(frame, mode="update"), flush)
     spark = frame.sparkSession
     out = fresh_dir(spark, "emitted")
     sink = parquet_sink(out, native=mode == "append")
-    query = start(frame, sink, fresh_dir(spark, "checkpoint"), mode=mode, to_end=True)
-    query.awaitTermination()
+    checkpoint = fresh_dir(spark, "checkpoint")
+    start(frame, sink, checkpoint, mode=mode, to_end=True).awaitTermination()
+    if flush is not None:
+        flush.close()
+        start(frame, sink, checkpoint, mode=mode, to_end=True).awaitTermination()
     schema = frame.schema
     if mode != "append":
         # So that the table exists even if the stream had no batch.
@@ -79,6 +88,26 @@ def run_to_end(
     return spark.read.schema(schema).parquet(out)
 
 
+def wait_for(*queries: StreamingQuery, late: LateRows | None = None) -> None:
+    """Until all streams of a job have ended; if one fails, the others are stopped.
+
+    With ``late`` the job also ends, by an error, when a stream is over its limit.
+    """
+    waiting = list(queries)
+    try:
+        while waiting:
+            waiting = [query for query in waiting if not query.awaitTermination(1)]
+            if late is not None:
+                late.check()
+        if late is not None:
+            for query in queries:
+                late.settle(query)
+            late.check()
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def latest(emitted: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """The last state of every key in the output of an update-mode stream."""
     values = [c for c in emitted.columns if c not in (*keys, BATCH_ID)]
