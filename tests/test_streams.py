@@ -7,7 +7,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from voltstream.functions.measures import total
-from voltstream.operators.windows import bounds, tumble
+from voltstream.operators.windows import bounds, sessions, tumble
 from voltstream.plans.windowed import (
     device_charge,
     device_charge_sql,
@@ -29,7 +29,10 @@ from voltstream.sinks.base import Sink, fan_out
 from voltstream.sinks.files import csv_sink, parquet_sink
 from voltstream.sources.files import parquet_table
 from voltstream.streaming.attributes import with_event_time, with_processing_time
-from voltstream.streaming.run import latest, run_to_end, start
+from voltstream.streaming.closing import EndOfInput
+from voltstream.streaming.late import LateRows, TooManyLateRows
+from voltstream.streaming.run import latest, run_to_end, start, wait_for
+from voltstream.streaming.timers import timed_windows
 
 
 def counted(stream, size="10 minutes"):
@@ -167,6 +170,107 @@ def test_rows_behind_the_watermark_are_dropped(
     assert (dropped > 0) == (lost > 0)
 
 
+@pytest.fixture
+def late(spark):
+    listeners = []
+
+    def listen(limit=None):
+        listeners.append(LateRows(limit))
+        spark.streams.addListener(listeners[-1])
+        return listeners[-1]
+
+    yield listen
+    for listener in listeners:
+        spark.streams.removeListener(listener)
+
+
+def late_stream(inbox, quarters, tmp_path, name):
+    """A stream whose last batch has a quarter of the rows, all of them late."""
+    # Windows of a millisecond: no two rows of the quarter are summed before the state.
+    stream = inbox.add(*(quarters[n] for n in (0, 3, 2, 1))).stream()
+    frame = counted(stream, "1 millisecond")
+    return start(frame, parquet_sink(str(tmp_path / "out")), str(tmp_path / "checkpoint"), name=name, to_end=True)
+
+
+def test_late_rows_are_reported(spark, inbox, event_quarters, tmp_path, late, caplog):
+    listener = late()
+    with caplog.at_level("WARNING"):
+        wait_for(late_stream(inbox, event_quarters, tmp_path, "means"), late=listener)
+    assert listener.dropped == {"means": 250}
+    assert "means: batch 3 dropped 250 late rows, 250 so far" in caplog.text
+
+
+@pytest.mark.parametrize("limit, ends", [(0, True), (249, True), (250, False)])
+def test_a_limit_on_late_rows_ends_the_job(inbox, event_quarters, tmp_path, late, limit, ends):
+    listener = late(limit)
+    query = late_stream(inbox, event_quarters, tmp_path, "means")
+    if ends:
+        with pytest.raises(TooManyLateRows, match=f"250 late rows, {limit} allowed"):
+            wait_for(query, late=listener)
+    else:
+        wait_for(query, late=listener)
+    assert not query.isActive
+
+
+def test_a_failed_stream_stops_the_others(spark, inbox, event_quarters, tmp_path):
+    def fail(frame, batch_id):
+        raise RuntimeError("sink is down")
+
+    stream = inbox.add(*event_quarters).stream().select("event_id")
+    lasting = start(stream, parquet_sink(str(tmp_path / "a")), str(tmp_path / "c1"), every="1 second")
+    failing = start(stream, Sink("x", native=False, custom_write=fail), str(tmp_path / "c2"))
+    with pytest.raises(StreamingQueryException, match="sink is down"):
+        wait_for(lasting, failing)
+    assert not lasting.isActive and not failing.isActive
+
+
+@pytest.mark.parametrize("join", [joined_means, joined_means_sql])
+def test_the_end_of_input_closes_every_joined_window(spark, tables, inbox, event_quarters, join):
+    """One side ends long before the other; the join has nothing open left."""
+    def pair(frame, mark=lambda side: side):
+        sides = (feed(frame, "click", "Radiacion"), feed(frame, "view", "PA_Inv"))
+        early = sides[1].where(F.col("ts_ltz") < F.lit("2024-01-20").cast("timestamp"))
+        return [with_event_time(mark(side), F.col("ts_ltz")) for side in (sides[0], early)]
+
+    end = EndOfInput(spark)
+    stream = inbox.add(*event_quarters).stream("2")
+    emitted = run_to_end(join(*pair(stream, lambda side: end.mark(side, "ts_ltz"))), flush=end)
+    expected = rows(join(*pair(events(spark, tables))))
+    assert rows(emitted) == expected and expected
+
+
+@pytest.mark.parametrize("kind, value", [("string", "2024-05-01 10:00:00"), ("bigint", 1714557600000)])
+def test_the_end_of_input_by_text_or_epoch(spark, tmp_path, kind, value):
+    folder = str(tmp_path / "in")
+    frame = spark.createDataFrame([(value, 2.5)], f"at {kind}, x DOUBLE")
+    frame.write.parquet(folder)
+    end = EndOfInput(spark)
+    stream = end.mark(spark.readStream.schema(frame.schema).parquet(folder), "at")
+    source = "at" if kind == "string" else F.timestamp_millis("at")
+    timed = with_event_time(stream, source, "ts")
+    emitted = run_to_end(bounds(tumble(timed, "ts", "1 hour", {"x": F.sum("x")})), flush=end)
+    assert [r.x for r in emitted.collect()] == [2.5]
+    assert end.mark(frame, "at") is frame
+
+
+def test_sessions_of_a_stream_are_merged_by_a_late_row(spark, inbox, tables, tmp_path):
+    """A row between two sessions of the state makes them one."""
+    stamps = {"a": [0, 40], "b": [20], "c": [500]}
+    files = []
+    for n, minutes in enumerate(stamps.values()):
+        frame = spark.createDataFrame([(m,) for m in minutes], "m INT").selectExpr(
+            "m AS event_id", "timestamp_seconds(m * 60) AS ts", "1 AS user_id", "'x' AS event_type", "1.0D AS value", "'' AS props"
+        )
+        frame.select(*(F.col(f.name).cast(f.dataType) for f in spark.read.schema(EVENTS).parquet(f"{tables}/events.parquet").schema)).coalesce(
+            1
+        ).write.parquet(str(tmp_path / f"f{n}"))
+        files += [str(f) for f in (tmp_path / f"f{n}").glob("*.parquet")]
+    stream = with_event_time(inbox.add(*files).stream(), F.col("ts"), "ts", delay="2 hours")
+    visits = bounds(sessions(stream, "ts", "30 minutes", {"n": F.count("*")}, keys=("user_id",)))
+    (visit,) = run_to_end(visits).collect()
+    assert (visit.n, (visit.window_end - visit.window_start).total_seconds() / 60) == (3, 70)
+
+
 def test_restart_resumes_without_loss_or_copies(
     spark, tables, inbox, event_quarters, tmp_path
 ):
@@ -328,3 +432,25 @@ def test_interval_trigger_and_name(inbox, event_quarters, tmp_path):
         query.processAllAvailable()
     finally:
         query.stop()
+
+
+def test_timers_close_clock_windows_of_a_silent_source(spark, inbox, event_quarters, tmp_path):
+    """As with a heartbeat, but no row stands for the time."""
+    stream = inbox.add(event_quarters[0]).stream().select("event_type", "value")
+    windows = timed_windows(stream, 2, ("value",), ("event_type",), scale=2)
+    out = str(tmp_path / "out")
+    query = start(windows, parquet_sink(out, native=False), str(tmp_path / "checkpoint"), every="1 second")
+
+    def emitted():
+        return spark.read.option("recursiveFileLookup", "true").schema(windows.schema).parquet(out)
+
+    table = spark.read.schema(EVENTS).parquet(event_quarters[0]).groupBy("event_type")
+    expected = rows(table.agg(F.count("*"), total("value", scale=2), F.count("value")))
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and not (os.path.isdir(out) and emitted().count() >= len(expected)):
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert rows(emitted().select("event_type", "rows", "value", "value_count")) == expected
+    assert {(r.window_end - r.window_start).total_seconds() for r in emitted().collect()} == {2}

@@ -10,6 +10,7 @@ import argparse
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from voltstream.plans.alerts import (
@@ -59,10 +60,19 @@ from voltstream.sinks.mongo import mongo_sink, mongo_uri
 from voltstream.sources.files import csv_table
 from voltstream.sources.kafka import kafka_table, kafka_values
 from voltstream.streaming.attributes import with_event_time, with_processing_time
-from voltstream.streaming.run import start
+from voltstream.streaming.intake import Lateness, take_in
+from voltstream.streaming.late import LateRows
+from voltstream.streaming.run import start, wait_for
 from voltstream.streaming.workdir import job_dir
 
-Job = Callable[[SparkSession, argparse.Namespace], StreamingQuery | None]
+# A job's streams, the one with its result last; none for a batch job.
+Started = StreamingQuery | tuple[StreamingQuery, ...] | None
+Job = Callable[[SparkSession, argparse.Namespace], Started]
+
+# The event-time windows of the joined feeds, whose late records an intake rejects.
+JOIN_LATENESS = Lateness("10 minutes", "1 minute")
+PLANT_KEY = ("planta_id", "window_start")
+JOIN_KEY = ("window_start",)
 
 
 def run(args: argparse.Namespace) -> dict[str, object]:
@@ -81,8 +91,17 @@ def limits(args: argparse.Namespace) -> dict[str, str]:
     return {name: str(value) for name, value in given.items() if value}
 
 
-def rejects(args: argparse.Namespace) -> Sink | None:
-    return json_folder(args.rejects, native=False) if args.rejects else None
+def rejects(args: argparse.Namespace, feed: str | None = None) -> Sink | None:
+    """The folder of rejected texts; a job of several feeds has one in it for each."""
+    if not args.rejects:
+        return None
+    return json_folder(f"{args.rejects}/{feed}" if feed else args.rejects, native=False)
+
+
+def relational(args: argparse.Namespace) -> dict[str, object]:
+    """How a table is written, where the command line says so."""
+    given = {"batch_column": args.batch_column, "connections": args.connections}
+    return {name: value for name, value in given.items() if value}
 
 
 def kept(args: argparse.Namespace) -> Sink:
@@ -102,65 +121,95 @@ def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     )
 
 
+Records = tuple[DataFrame, tuple[StreamingQuery, ...]]
+
+
 def records(
     spark: SparkSession,
     args: argparse.Namespace,
     topic: str,
     schema: str,
     fields: tuple[str, ...] | None = None,
-) -> DataFrame:
-    return kafka_table(
-        spark,
-        args.servers,
-        TOPICS[topic],
+    time: str | None = None,
+    late: Lateness | None = None,
+) -> Records:
+    """A topic's records, and the streams that run in front of them.
+
+    With ``--rejects`` an intake sets bad texts apart before they reach any state, with
+    ``time`` also those without a readable time, which then is in ``ts_ltz``. Otherwise
+    a bad text fails the job.
+    """
+    source = {"group": GROUPS[topic], **limits(args)}
+    if not args.rejects:
+        table = kafka_table(
+            spark, args.servers, TOPICS[topic], schema, fields=fields, strict=True, **source
+        )
+        return (with_event_time(table, time) if time else table), ()
+    taken = take_in(
+        kafka_values(spark, args.servers, TOPICS[topic], earliest=True, **source),
         schema,
-        group=GROUPS[topic],
-        fields=fields,
-        strict=True,
-        **limits(args),
+        f"{args.checkpoint}/intake/{topic}",
+        rejects(args, topic if time else None),
+        fields,
+        time,
+        late,
+        name=f"{args.job}-{topic}",
+        to_end=args.to_end,
     )
-
-
-def feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, DataFrame]:
-    return (
-        with_event_time(records(spark, args, "irradiance", IRRADIANCE)),
-        with_event_time(records(spark, args, "inverter", INVERTER)),
+    table = taken.records
+    if time:
+        table = with_event_time(table, F.col("ts_ltz"))
+    return table, (taken.query,)
+
+
+def feeds(spark: SparkSession, args: argparse.Namespace) -> tuple[Records, Records]:
+    """The two joined feeds. A scaled reading is read as it was written, not as FLOAT."""
+    kinds = {"irradiance": IRRADIANCE, "inverter": INVERTER}
+    if args.scale is not None:
+        kinds = {topic: schema.replace("FLOAT", "DOUBLE") for topic, schema in kinds.items()}
+    sun, power = (
+        records(spark, args, topic, schema, time="Fecha", late=JOIN_LATENESS)
+        for topic, schema in kinds.items()
     )
+    return sun, power
 
 
 def _means(sink: Callable[[argparse.Namespace], Sink]) -> Job:
-    def job(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
+    def job(spark: SparkSession, args: argparse.Namespace) -> Started:
         fields = ("planta_id", "potencia", "radiacion")
-        readings = records(spark, args, "plant_readings", PLANT_READING, fields)
+        readings, intake = records(spark, args, "plant_readings", PLANT_READING, fields)
         clocked = with_processing_time(readings, heartbeat=True)
         means = plant_means(clocked, scale=args.scale)
         describe(readings)
         describe(means)
-        return start(means, sink(args), args.checkpoint, args.job, **windows(args))
+        return *intake, start(means, sink(args), args.checkpoint, args.job, **windows(args))
 
     return job
 
 
 def _charge(transform: Callable[..., DataFrame]) -> Job:
-    def job(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
+    def job(spark: SparkSession, args: argparse.Namespace) -> Started:
         fields = ("device_id", "ampere_hour")
-        readings = records(spark, args, "device_readings", DEVICE_READING, fields)
+        readings, intake = records(spark, args, "device_readings", DEVICE_READING, fields)
         clocked = with_processing_time(readings, heartbeat=True)
         charge = transform(clocked, args.scale)
-        sink = json_sink(args.servers, TOPICS["device_charge"], DEVICE_CHARGE)
-        return start(charge, sink, args.checkpoint, args.job, **windows(args))
+        topic = TOPICS["device_charge"]
+        sink = json_sink(args.servers, topic, DEVICE_CHARGE, key="device_id")
+        return *intake, start(charge, sink, args.checkpoint, args.job, **windows(args))
 
     return job
 
 
-def _joined_topic(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
-    sink = json_sink(args.servers, TOPICS["joined"], JOINED_WINDOW)
-    return start(joined_means(*feeds(spark, args)), sink, args.checkpoint, args.job, **run(args))
-
+def _joined(
+    transform: Callable[..., DataFrame], sink: Callable[[argparse.Namespace], Sink]
+) -> Job:
+    def job(spark: SparkSession, args: argparse.Namespace) -> Started:
+        (sun, first), (power, second) = feeds(spark, args)
+        joined = transform(sun, power, scale=args.scale)
+        query = start(joined, sink(args), args.checkpoint, args.job, **run(args))
+        return *first, *second, query
 
-def _joined_table(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
-    sink = postgres_sink(TABLES["joined"], JOINED_WINDOW, args.postgres)
-    return start(joined_means_sql(*feeds(spark, args)), sink, args.checkpoint, args.job, **run(args))
+    return job
 
 
 def _csv_filter(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
@@ -203,14 +252,14 @@ JOBS: dict[str, Job] = {
     ),
     "alerts-postgres": lambda spark, a: alerts_to_table(
         messages(spark, a),
-        postgres_sink(TABLES["alerts"], ALERT_TABLE, a.postgres),
+        postgres_sink(TABLES["alerts"], ALERT_TABLE, a.postgres, **relational(a)),
         a.checkpoint,
         rejects=rejects(a),
         **run(a),
     ),
     "raw-postgres": lambda spark, a: raw_to_table(
         messages(spark, a),
-        postgres_sink(TABLES["raw"], RAW_TABLE, a.postgres),
+        postgres_sink(TABLES["raw"], RAW_TABLE, a.postgres, **relational(a)),
         a.checkpoint,
         rejects=rejects(a),
         **run(a),
@@ -220,48 +269,90 @@ JOBS: dict[str, Job] = {
         lambda a: json_sink(a.servers, TOPICS["plant_window"], PLANT_WINDOW)
     ),
     "means-postgres": _means(
-        lambda a: postgres_sink(TABLES["plant_window"], PLANT_WINDOW, a.postgres)
+        lambda a: postgres_sink(
+            TABLES["plant_window"], PLANT_WINDOW, a.postgres, key=PLANT_KEY, **relational(a)
+        )
     ),
     "means-mongo": _means(
-        lambda a: mongo_sink(mongo_uri(a.mongo), **MONGO_TARGET, target=PLANT_WINDOW)
+        lambda a: mongo_sink(
+            mongo_uri(a.mongo), **MONGO_TARGET, target=PLANT_WINDOW, key=PLANT_KEY
+        )
     ),
     "charge-kafka": _charge(lambda frame, scale: device_charge(frame, scale=scale)),
     "charge-kafka-sql": _charge(device_charge_sql),
-    "joined-kafka": _joined_topic,
-    "joined-postgres": _joined_table,
+    "joined-kafka": _joined(
+        joined_means, lambda a: json_sink(a.servers, TOPICS["joined"], JOINED_WINDOW)
+    ),
+    "joined-postgres": _joined(
+        joined_means_sql,
+        lambda a: postgres_sink(
+            TABLES["joined"], JOINED_WINDOW, a.postgres, key=JOIN_KEY, **relational(a)
+        ),
+    ),
     "csv-filter": _csv_filter,
     "csv-report": _csv_report,
     "csv-stats": _csv_stats,
 }
 
 
+# Flags that some jobs have no use for; those refuse them.
+MESSAGE_JOBS = tuple(job for job in JOBS if job.startswith(("alerts-", "raw-")))
+CLOCK_JOBS = tuple(job for job in JOBS if job.startswith(("means-", "charge-")))
+JOINED_JOBS = tuple(job for job in JOBS if job.startswith("joined-"))
+TABLE_JOBS = tuple(job for job in JOBS if job.endswith("-postgres"))
+TAKEN_BY = {
+    "rejects": (*MESSAGE_JOBS, *CLOCK_JOBS, *JOINED_JOBS),
+    "scale": (*CLOCK_JOBS, *JOINED_JOBS),
+    "late_limit": JOINED_JOBS,
+    "batch_column": TABLE_JOBS,
+    "connections": TABLE_JOBS,
+}
+DEFAULTS = {"rejects": None, "scale": 2, "late_limit": None, "batch_column": None, "connections": None}
+
+
 def _scale(text: str) -> int | None:
     return None if text == "none" else int(text)
 
 
 def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(description=__doc__)
+    parser = argparse.ArgumentParser(description=__doc__, argument_default=argparse.SUPPRESS)
     parser.add_argument("job", choices=JOBS)
-    parser.add_argument("--servers", help="Kafka bootstrap servers")
-    parser.add_argument("--postgres", help="host:port of Postgres")
-    parser.add_argument("--mongo", help="host:port of MongoDB")
-    parser.add_argument("--input", help="CSV file or folder")
-    parser.add_argument("--output", help="folder for the whole result of jobs that print")
-    parser.add_argument("--rejects", help="folder for messages that are not JSON")
-    parser.add_argument("--max-offsets", type=int, help="records per micro-batch")
-    parser.add_argument("--min-partitions", type=int, help="tasks that read a topic")
-    parser.add_argument("--partitions", type=int, help="state partitions of a stream")
-    parser.add_argument(
-        "--scale", type=_scale, default=2, help="decimals of readings, or 'none'; default 2"
-    )
-    parser.add_argument("--checkpoint", help="default: per job, in the shared folder")
-    parser.add_argument("--earliest", action="store_true", help="start of the topic")
-    parser.add_argument("--to-end", action="store_true", help="stop when caught up")
+    for name, meaning in (
+        ("servers", "Kafka bootstrap servers"),
+        ("postgres", "host:port of Postgres"),
+        ("mongo", "host:port of MongoDB"),
+        ("input", "CSV file or folder"),
+        ("output", "folder for the whole result of jobs that print"),
+        ("checkpoint", "default: per job, in the shared folder"),
+    ):
+        parser.add_argument(f"--{name}", default=None, help=meaning)
+    for name, meaning in (
+        ("max-offsets", "records per micro-batch"),
+        ("min-partitions", "tasks that read a topic"),
+        ("partitions", "state partitions of a stream"),
+    ):
+        parser.add_argument(f"--{name}", type=int, default=None, help=meaning)
+    parser.add_argument("--rejects", help="folder for texts that are no records, with the reason")
+    parser.add_argument("--scale", type=_scale, help="decimals of readings, or 'none'; default 2")
+    parser.add_argument("--late-limit", type=int, help="late rows that end the job when exceeded")
+    parser.add_argument("--batch-column", help="BIGINT column of the table for the batch number")
+    parser.add_argument("--connections", type=int, help="tasks that write to the table at a time")
+    parser.add_argument("--earliest", action="store_true", default=False, help="start of the topic")
+    parser.add_argument("--to-end", action="store_true", default=False, help="stop when caught up")
     args = parser.parse_args(argv)
+    for name, default in DEFAULTS.items():
+        if name in args and args.job not in TAKEN_BY[name]:
+            parser.error(f"{args.job} does not take --{name.replace('_', '-')}")
+        setattr(args, name, getattr(args, name, default))
 
     spark = ship_package(get_spark(args.job))
     args.checkpoint = args.checkpoint or job_dir(spark, args.job)
     args.output = args.output or job_dir(spark, f"{args.job}-output")
-    query = JOBS[args.job](spark, args)
-    if query is not None:
-        query.awaitTermination()
+    late = LateRows(args.late_limit)
+    spark.streams.addListener(late)
+    try:
+        started = JOBS[args.job](spark, args)
+        if started is not None:
+            wait_for(*(started if isinstance(started, tuple) else (started,)), late=late)
+    finally:
+        spark.streams.removeListener(late)

@@ -1,4 +1,4 @@
-"""Tumbling windows and the join of two windowed streams.
+"""Tumbling, sliding and session windows, and the join of two windowed streams.
 
 A window aggregate is one shuffle: Spark aggregates inside each input task
 first, so a plant that sends a third of all rows arrives at the shuffle as one row
@@ -28,7 +28,46 @@ def tumble(
     the very end. Measures take their final names here, because an output may
     differ from an input by case only.
     """
-    grouped = frame.groupBy(*keys, F.window(time, size).alias(WINDOW))
+    return _measured(frame, F.window(time, size), measures, keys)
+
+
+def slide(
+    frame: DataFrame,
+    time: str | Column,
+    size: str,
+    step: str,
+    measures: dict[str, Column],
+    keys: tuple[str, ...] = (),
+) -> DataFrame:
+    """As ``tumble``, for windows of ``size`` that begin every ``step``.
+
+    A row belongs to size / step windows and is copied to each within its input task;
+    what is shuffled is one partial sum per task, key and window, as for ``tumble``.
+    """
+    return _measured(frame, F.window(time, size, step), measures, keys)
+
+
+def sessions(
+    frame: DataFrame,
+    time: str | Column,
+    gap: str | Column,
+    measures: dict[str, Column],
+    keys: tuple[str, ...],
+) -> DataFrame:
+    """As ``tumble``, for windows of a key's rows less than ``gap`` apart.
+
+    ``w`` reaches from the first row to ``gap`` after the last. A row exactly ``gap``
+    after another begins a new session. As a stream, a late row within the watermark may
+    join two sessions of the state. The sessions of one key are merged in one task, after
+    those of each input task have been merged there where Spark is set so.
+    """
+    return _measured(frame, F.session_window(time, gap), measures, keys)
+
+
+def _measured(
+    frame: DataFrame, window: Column, measures: dict[str, Column], keys: tuple[str, ...]
+) -> DataFrame:
+    grouped = frame.groupBy(*keys, window.alias(WINDOW))
     named = [measure.alias(name) for name, measure in measures.items()]
     if HEARTBEAT not in frame.columns:
         return grouped.agg(*named)

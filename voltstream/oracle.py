@@ -85,6 +85,23 @@ STATS = """
     SELECT device_id, charge AS total_charge_consumed, charge / 4 AS avg_15
     FROM total"""
 
+SLIDING = f"""
+    SELECT event_type, window_start, window_start + INTERVAL '60 minutes' AS window_end,
+           {_round(f'{EXACT_SUM} / count(value)', 1)} AS mean_value, count(*) AS n
+    FROM (
+        SELECT *, time_bucket(INTERVAL '10 minutes', ts) - unnest(range(6)) * INTERVAL '10 minutes' AS window_start
+        FROM events)
+    GROUP BY event_type, window_start"""
+
+SESSIONS = f"""
+    SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL '30 minutes' AS window_end,
+           count(*) AS n, {EXACT_SUM} AS total
+    FROM (
+        SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS visit FROM (
+            SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+                + INTERVAL '30 minutes' THEN 0 ELSE 1 END AS begins FROM events))
+    GROUP BY user_id, visit"""
+
 ORACLE: dict[str, str] = {
     "q01_select_where_string": """
         SELECT CAST(o_orderkey AS VARCHAR) AS ts, CAST(o_custkey AS VARCHAR) AS device,
@@ -151,6 +168,7 @@ ORACLE: dict[str, str] = {
     "q15_stream_window_join": f"""
         SELECT * FROM ({JOINED})
         WHERE {_closed("event_type = 'click'")} AND {_closed("event_type = 'view'")}""",
+    "q15_stream_window_join_flushed": JOINED,
     "q16_stream_alerts": _alert_rows(),
     "q17_stream_fan_out": f"""
         {_alert_rows(", 'csv' AS sink")} UNION ALL {_alert_rows(", 'parquet' AS sink")}""",
@@ -166,4 +184,31 @@ ORACLE: dict[str, str] = {
                CAST(value AS VARCHAR) AS temp
         FROM events WHERE CAST(value AS VARCHAR) >= '20'""",
     "q22_named_devices": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS device FROM events",
+    "q23_stream_dead_letters": f"""
+        SELECT time_bucket(INTERVAL '10 minutes', ts) AS window_start, count(*) AS n,
+               {EXACT_SUM} AS total, NULL AS reason
+        FROM events WHERE event_id % 5 <> 0 GROUP BY ALL
+        UNION ALL
+        SELECT NULL, count(*), NULL, CASE event_id % 10 WHEN 0 THEN 'not json' ELSE 'no event time' END AS reason
+        FROM events WHERE event_id % 5 = 0 GROUP BY ALL""",
+    "q24_stream_late_records": f"""
+        WITH q AS (
+            SELECT event_id, date_trunc('second', ts) AS ts,
+                   [0, 3, 2, 1][CAST(floor(event_id / ((SELECT max(event_id) + 1 FROM events) / 4)) AS INT) + 1] AS batch
+            FROM events),
+        newest AS (
+            SELECT batch, max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+            FROM (SELECT * FROM q) GROUP BY batch),
+        judged AS (
+            SELECT event_id, time_bucket(INTERVAL '10 minutes', ts) AS window_start, coalesce(
+                time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' <= newest - INTERVAL '1 minute', false) AS late
+            FROM q JOIN newest USING (batch))
+        SELECT window_start, count(*) AS n, NULL AS reason, NULL AS event_id
+        FROM judged WHERE NOT late GROUP BY ALL
+        UNION ALL
+        SELECT NULL, NULL, 'late', event_id FROM judged WHERE late""",
+    "q25_sliding_mean": SLIDING,
+    "q25_stream_sliding_mean": SLIDING,
+    "q26_sessions": SESSIONS,
+    "q26_stream_sessions": SESSIONS,
 }

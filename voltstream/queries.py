@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltstream.functions.measures import mean, total
-from voltstream.functions.records import conform, read_record
+from voltstream.functions.records import REASON, TEXT, conform, read_record, tagged_records
 from voltstream.functions.times import millis_time
 from voltstream.operators.messages import (
     alert_messages,
@@ -25,7 +25,6 @@ from voltstream.operators.messages import (
     json_values,
     normalise,
     parse_message,
-    split_corrupt,
 )
 from voltstream.operators.rows import (
     device_stats,
@@ -33,7 +32,7 @@ from voltstream.operators.rows import (
     device_stats_row,
     map_rows,
 )
-from voltstream.operators.windows import bounds, tumble
+from voltstream.operators.windows import bounds, sessions, slide, tumble
 from voltstream.plans.csv_jobs import (
     devices,
     hourly_to_stats,
@@ -60,12 +59,13 @@ from voltstream.schemas import (
     IRRADIANCE,
     JOINED_WINDOW,
     PLANT_READING,
+    RAW_MESSAGE,
     TELEMETRY,
     ddl,
 )
 from voltstream.session import ship_package, use_utc
 from voltstream.sinks.base import fan_out
-from voltstream.sinks.files import csv_sink, parquet_sink
+from voltstream.sinks.files import csv_sink, json_folder, parquet_sink
 from voltstream.sinks.kafka import record_frame
 from voltstream.sources.files import csv_table, named_table, parquet_table
 from voltstream.streaming.attributes import (
@@ -73,6 +73,8 @@ from voltstream.streaming.attributes import (
     with_event_time,
     with_processing_time,
 )
+from voltstream.streaming.closing import EndOfInput
+from voltstream.streaming.intake import Lateness, take_in
 from voltstream.streaming.run import latest, run_to_end, start
 from voltstream.streaming.workdir import fresh_dir
 
@@ -140,19 +142,18 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def message_values(frame: DataFrame) -> DataFrame:
-    """Events as nested plant messages in JSON."""
+def message_values(frame: DataFrame, *beside: str) -> DataFrame:
+    """Events as nested plant messages in JSON, and columns that stay beside them."""
     measures = F.struct(
         F.col("value").alias("Radiacion"), _k().cast("double").alias("Potencia")
     )
-    return json_values(
-        frame.select(
-            F.col("event_id").cast("string").alias("message_id"),
-            F.col("user_id").cast("int").alias("planta_id"),
-            measures.alias("message"),
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timestamp"),
-        )
+    message = F.struct(
+        F.col("event_id").cast("string").alias("message_id"),
+        F.col("user_id").cast("int").alias("planta_id"),
+        measures.alias("message"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timestamp"),
     )
+    return frame.select(F.to_json(message, {"ignoreNullFields": "false"}).alias("value"), *beside)
 
 
 def typed_readings(frame: DataFrame) -> DataFrame:
@@ -292,16 +293,15 @@ def raw_normalise(spark, sf_dir):
 
 
 def raw_rejects(spark, sf_dir):
-    """Messages of which every seventh is cut short: rows and rejects together."""
+    """Messages of which every seventh is cut short: rows and rejects from one parse."""
     frame = events(spark, sf_dir)
-    cut = F.substring("value", 1, 40)
-    whole = message_values(frame).withColumn("value", F.col("value"))
-    broken = whole.where('get_json_object(value, "$.message_id") % 7 = 0').select(cut.alias("value"))
-    sound = whole.where('get_json_object(value, "$.message_id") % 7 <> 0')
-    good, bad = split_corrupt(sound.unionByName(broken))
-    return (
-        good.select("message_id", F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("value"))
-        .unionByName(bad.select(F.lit(None).cast("string").alias("message_id"), F.lit(False).alias("accepted"), "value"))
+    cut = F.when(F.col("event_id") % 7 == 0, F.substring("value", 1, 40)).otherwise(F.col("value"))
+    tagged = tagged_records(message_values(frame, "event_id").select(cut.alias("value")), RAW_MESSAGE)
+    good = F.col(REASON).isNull()
+    return tagged.select(
+        F.when(good, F.col("message_id")).alias("message_id"),
+        good.alias("accepted"),
+        F.when(~good, F.col(TEXT)).alias("value"),
     )
 
 
@@ -439,27 +439,26 @@ def stream_tumble(spark, sf_dir):
     return run_to_end(type_means(source))
 
 
-def in_batches(spark, sf_dir, parts: int = 4) -> DataFrame:
-    """Events as a stream of several batches in order of time, as many files in each.
+def in_batches(spark, sf_dir, parts: int = 4, files: int = 2) -> DataFrame:
+    """Events as a stream of several batches in order of time, of so many files each.
 
-    A last file, an hour after the rest, has one event of each type: it closes every
-    window before it and stays open itself.
+    One pass deals the events to parts. A last part, an hour after the rest, has one event
+    of each type: it closes every window before it and stays open itself.
     """
     path, frame = fresh_dir(spark, "event-files"), events(spark, sf_dir)
     second = F.col("ts").cast("double")
     low, high = frame.agg(F.min(second), F.max(second)).first()
-    edges = [low + (high - low) * n / parts for n in range(1, parts)]
-    files = -(-frame.rdd.getNumPartitions() // parts)
-    for start, end in zip([None, *edges], [*edges, None]):
-        part = frame if start is None else frame.where(second >= start)
-        part = part if end is None else part.where(second < end)
-        part.repartition(files).write.mode("append").parquet(path)
-    hour = F.expr("max(ts) + INTERVAL 1 HOUR").alias("ts")
-    closing = frame.groupBy("event_type").agg(F.max("value").alias("value")).crossJoin(
-        F.broadcast(frame.agg(hour))  # one row
-    )
-    last = frame.where("false").unionByName(closing, allowMissingColumns=True)
-    last.coalesce(1).write.mode("append").parquet(path)
+    part = F.least(F.floor((second - low) * parts / (high - low)), F.lit(parts - 1)).cast("int")
+    types = frame.groupBy("event_type").agg(F.max("value").alias("value"))
+    end = F.timestamp_seconds(F.lit(high)) + F.expr("INTERVAL 1 HOUR")
+    closing = types.withColumns({"ts": end, "part": F.lit(parts)})
+    dealt = frame.withColumn("part", part).unionByName(closing, allowMissingColumns=True)
+    staged = fresh_dir(spark, "event-parts")
+    dealt.write.partitionBy("part").parquet(staged)
+    for n in range(parts + 1):
+        # Files are taken in the order they were written in.
+        one = spark.read.schema(EVENTS).parquet(f"{staged}/part={n}")
+        one.repartition(files).write.mode("append").parquet(path)
     return parquet_table(spark, path, EVENTS, stream=True, maxFilesPerTrigger=str(files))
 
 
@@ -492,6 +491,111 @@ def stream_window_join(spark, sf_dir):
     return run_to_end(joined_means(sun, power, scale=SCALE))
 
 
+def stream_window_join_flushed(spark, sf_dir):
+    """All windows of the join, from plain tables: both sides are closed at their end."""
+    source, end = events(spark, sf_dir, stream=True), EndOfInput(spark)
+    sun, power = (
+        with_event_time(end.mark(feed(source, kind, measure), "ts_ltz"), F.col("ts_ltz"))
+        for kind, measure in (("click", "Radiacion"), ("view", "PA_Inv"))
+    )
+    return run_to_end(joined_means(sun, power, scale=SCALE), flush=end)
+
+
+def rejected_texts(spark: SparkSession, folder: str) -> DataFrame:
+    reader = spark.read.schema("value STRING, reason STRING")
+    return reader.option("recursiveFileLookup", "true").json(folder)
+
+
+def stream_dead_letters(spark, sf_dir):
+    """Records of which every fifth is no JSON or has no time: windows and rejects.
+
+    The counts of both together are those of all events.
+    """
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    kind = F.col("event_id") % 10
+    record = F.to_json(F.struct(F.when(kind == 5, F.concat(F.lit("T"), stamp)).otherwise(stamp).alias("Fecha"), "value"))
+    texts = events(spark, sf_dir, stream=True).select(
+        F.when(kind == 0, F.substring(record, 1, 20)).otherwise(record).alias("value")
+    )
+    folder = fresh_dir(spark, "rejects")
+    taken = take_in(
+        texts,
+        "Fecha STRING, value DOUBLE",
+        fresh_dir(spark, "intake"),
+        json_folder(folder, native=False),
+        time="Fecha",
+        to_end=True,
+    )
+    end = EndOfInput(spark)
+    records = with_event_time(end.mark(taken.records, "ts_ltz"), F.col("ts_ltz"))
+    measures = {"n": F.count("*"), "total": total("value", SCALE)}
+    windows = run_to_end(bounds(tumble(records, "ts_ltz", "10 minutes", measures)), flush=end)
+    rejects = rejected_texts(spark, folder).groupBy("reason").agg(F.count("*").alias("n"))
+    return windows.drop("window_end").unionByName(rejects, allowMissingColumns=True)
+
+
+def stream_late_records(spark, sf_dir):
+    """Four quarters of the events, the last one second: windows, and late records one by one."""
+    path, frame = fresh_dir(spark, "event-quarters"), events(spark, sf_dir)
+    quarter = frame.agg(F.max("event_id") + 1).first()[0] / 4
+    for n in (0, 3, 2, 1):
+        part = frame.where(F.floor(F.col("event_id") / F.lit(quarter)) == n)
+        part.coalesce(1).write.mode("append").parquet(path)
+    texts = parquet_table(spark, path, EVENTS, stream=True, maxFilesPerTrigger="1").select(
+        F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Fecha"))).alias("value")
+    )
+    folder = fresh_dir(spark, "rejects")
+    taken = take_in(
+        texts,
+        "event_id BIGINT, Fecha STRING",
+        fresh_dir(spark, "intake"),
+        json_folder(folder, native=False),
+        time="Fecha",
+        late=Lateness("10 minutes", "1 minute"),
+        to_end=True,
+    )
+    end = EndOfInput(spark)
+    records = with_event_time(end.mark(taken.records, "ts_ltz"), F.col("ts_ltz"))
+    windows = run_to_end(bounds(tumble(records, "ts_ltz", "10 minutes", {"n": F.count("*")})), flush=end)
+    late = rejected_texts(spark, folder).select("reason", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
+    return windows.drop("window_end").unionByName(late, allowMissingColumns=True)
+
+
+def sliding_means(frame: DataFrame) -> DataFrame:
+    """Hourly means per event type, every ten minutes."""
+    measures = {"mean_value": mean("value", 1, SCALE), "n": F.count("*")}
+    return bounds(slide(frame, "ts", "60 minutes", "10 minutes", measures, keys=("event_type",)))
+
+
+def sliding(spark, sf_dir):
+    return sliding_means(events(spark, sf_dir))
+
+
+def stream_sliding(spark, sf_dir):
+    end = EndOfInput(spark)
+    source = with_event_time(end.mark(events(spark, sf_dir, stream=True), "ts"), F.col("ts"), "ts")
+    return run_to_end(sliding_means(source), flush=end)
+
+
+def user_sessions(frame: DataFrame) -> DataFrame:
+    """A user's events with less than half an hour between them, as one visit."""
+    measures = {"n": F.count("*"), "total": total("value", SCALE)}
+    return bounds(sessions(frame, "ts", "30 minutes", measures, keys=("user_id",)))
+
+
+def batch_sessions(spark, sf_dir):
+    return user_sessions(events(spark, sf_dir))
+
+
+def stream_sessions(spark, sf_dir):
+    """The same visits from a stream in batches: one that goes on is merged in the state."""
+    source = in_batches(spark, sf_dir)
+    newest = events(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    end = EndOfInput(spark)
+    real = end.mark(source.where(F.col("event_id") <= newest), "ts")
+    return run_to_end(user_sessions(with_event_time(real, F.col("ts"), "ts")), flush=end)
+
+
 def stream_alerts(spark, sf_dir):
     readings = parse_message(message_values(events(spark, sf_dir, stream=True)))
     return run_to_end(alert_rows(readings, **BOUNDS))
@@ -568,6 +672,7 @@ QUERIES: dict[str, Query] = {
     "q14_stream_tumble_flushed": stream_tumble_flushed,
     "q15_stream_window_join": stream_window_join,
     "q15_stream_window_join_batches": stream_window_join_batches,
+    "q15_stream_window_join_flushed": stream_window_join_flushed,
     "q16_stream_alerts": stream_alerts,
     "q17_stream_fan_out": stream_fan_out,
     "q18_stream_clock_tumble": stream_clock_tumble,
@@ -575,6 +680,12 @@ QUERIES: dict[str, Query] = {
     "q20_kafka_record_roundtrip": kafka_record_roundtrip,
     "q21_csv_filter_job": csv_filter_job,
     "q22_named_devices": named_devices,
+    "q23_stream_dead_letters": stream_dead_letters,
+    "q24_stream_late_records": stream_late_records,
+    "q25_sliding_mean": sliding,
+    "q25_stream_sliding_mean": stream_sliding,
+    "q26_sessions": batch_sessions,
+    "q26_stream_sessions": stream_sessions,
 }
 
 
