@@ -2,10 +2,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voltstream.llm.collocations import Chunk, collocations, phrase_counts, subtree, vertical_partition
+from voltstream.llm.collocations import Chunk, collocations, phrase_counts, prefix_lengths, subtree
 
 
 def brute_counts(rows):
@@ -75,20 +76,20 @@ def test_all_counts(spark):
     assert {r.lang: r.words for r in totals.collect()} == {g: n for g, n in words.items() if n}
 
 
-def test_prefixes_over_budget_are_extended(spark):
-    texts = spark.createDataFrame([("en", b"the cat the cat the dog sat")] * 9, "lang STRING, text BINARY")
-    counts = {"the": 27, "cat": 18, "dog": 9, "sat": 9}
-    words = spark.createDataFrame([("en", w, n) for w, n in counts.items()], "lang STRING, phrase STRING, n BIGINT")
-    assert vertical_partition(texts, words, 100) == {}
-    assert vertical_partition(texts, words, 20) == {("en", "the"): 27}
-    assert vertical_partition(texts, words, 17) == {
-        ("en", "the"): 27, ("en", "cat"): 18, ("en", "the cat"): 18, ("en", "cat the"): 18, ("en", "the cat the"): 18
+def test_prefixes_reach_to_the_first_word_within_the_budget():
+    chunk = Chunk.of("en", [b"the of the cat of dog"])
+    over = np.array([w in ("the", "of") for w in chunk.words.to_pylist()])
+    suffixes = chunk.suffixes(4)
+    spelled = chunk.spelled(suffixes).to_pylist()
+    lengths = dict(zip(spelled, prefix_lengths(suffixes, over).tolist()))
+    assert lengths == {
+        "the of the cat": 4, "of the cat of": 3, "the cat of dog": 2, "cat of dog": 1, "of dog": 2, "dog": 1
     }
 
 
 def test_leaf_totals():
-    leaves = {"a b c": 2, "a b": 1, "a": 1, "d": 5, "": 7, "a e": 1}
-    assert dict(subtree(leaves, 2)) == {"a": 5, "a b": 3, "a b c": 2, "d": 5}
+    leaves, repeated = ["a b", "a", "a e", "f"], {"a b c": 2, "d": 5, "": 7}
+    assert dict(subtree(leaves, repeated, 2)) == {"a": 5, "a b": 3, "a b c": 2, "d": 5}
 
 
 def test_chunks_split_at_every_mark():

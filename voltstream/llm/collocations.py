@@ -2,10 +2,12 @@
 
 Every word of a text starts a suffix, cut after ``depth`` words or at the end of its
 piece. Vertical partitioning first finds prefixes that a task can hold: a word is a
-prefix, and one that occurs more often than the memory budget is replaced by its
-extensions by one word, level by level. Prefixes are dealt to groups of about the
-budget, and the subtree of each prefix is built independently of all others. The count
-of a phrase is the sum of the leaves below it.
+prefix, and one that may occur more often than the memory budget is replaced by its
+extensions by one word, again and again. No phrase occurs more often than any of its
+words, so the words over budget tell which: a prefix is as many of them as stand in a
+row, and the word after them. Prefixes are dealt to groups, a task each, and the subtree of
+each prefix is built independently of all others. The count of a phrase is the sum of the
+leaves below it.
 
 Each map task combines the suffixes of a chunk of text before they are shuffled: a row
 is one prefix in one chunk, with all its continuations. A word with a third of all
@@ -37,8 +39,8 @@ NO_LANG = "und"
 
 # Occurrences of a prefix that one task builds a subtree of.
 BUDGET = 2_000_000
-# No more prefixes than this are extended per level; the budget rises where a corpus
-# is so large that it would be more. It bounds what is sent to every task.
+# No more words than this are over budget, which rises where a corpus is so large that
+# they would be more. It bounds what is sent to every task.
 MOST_EXTENDED = 500_000
 # Text that a map task combines at a time.
 CHUNK_BYTES = 8 << 20
@@ -52,8 +54,8 @@ BLANKS = b" \t"
 
 COUNTED = {"lang": pa.string(), "phrase": pa.string(), "n": pa.int64()}
 COUNTED_DDL = "lang STRING, phrase STRING, n BIGINT"
-ROWS = {"lang": pa.string(), "prefix": pa.string(), "leaves": pa.binary()}
-ROWS_DDL = "lang STRING, prefix STRING, leaves BINARY"
+ROWS = ("lang", "prefix", "leaves", "repeated")
+ROWS_DDL = "lang STRING, prefix STRING, leaves STRING, repeated STRING"
 
 
 def _byte_tables() -> tuple[bytes, np.ndarray]:
@@ -97,44 +99,39 @@ class Chunk:
         return cls(lang, coded.dictionary, coded.indices.to_numpy().astype(np.int64), piece)
 
     def suffixes(self, depth: int, frequent: np.ndarray | None = None) -> np.ndarray:
-        """A row per word: the numbers of it and its followers, -1 beyond the end.
+        """A column per word: the numbers of it and its followers, -1 beyond the end.
 
         A word that is not ``frequent`` ends the suffixes before it and starts none.
         """
         ids = self.ids if frequent is None else np.where(frequent[self.ids], self.ids, -1)
-        rows = np.full((len(ids), depth), -1, np.int64)
-        rows[:, 0] = ids
+        found = np.full((depth, len(ids)), -1, np.int64)
+        found[0] = ids
         for k in range(1, min(depth, len(ids))):
-            going = (rows[:-k, k - 1] >= 0) & (self.piece[k:] == self.piece[:-k])
-            rows[:-k, k] = np.where(going, ids[k:], -1)
-        return rows[ids >= 0]
-
-    def spelled(self, rows: np.ndarray) -> pa.Array:
-        """The words of every row, joined by blanks."""
-        found: pa.Array | None = None
-        for column in rows.T:
-            there = np.ascontiguousarray(column >= 0)
-            words = self.words.take(pa.array(np.maximum(column, 0)))
-            words = pc.if_else(pa.array(there), words, pa.scalar(""))
-            if found is None:
-                found = words
-            else:
-                found = pc.if_else(pa.array(there), pc.binary_join_element_wise(found, words, " "), found)
+            going = (found[k - 1, :-k] >= 0) & (self.piece[k:] == self.piece[:-k])
+            found[k, :-k] = np.where(going, ids[k:], -1)
+        return found
+
+    def spelled(self, suffixes: np.ndarray) -> pa.Array:
+        """The words of every suffix, joined by blanks."""
+        found: pa.Array = pa.repeat(pa.scalar(""), suffixes.shape[1])
+        for k, ids in enumerate(suffixes):
+            there = pa.array(ids >= 0)
+            words = pc.if_else(there, self.words.take(pa.array(np.maximum(ids, 0))), pa.scalar(""))
+            found = pc.if_else(there, pc.binary_join_element_wise(found, words, " "), found) if k else words
         return found
 
 
-def combined(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct rows in order, how often each occurs)."""
-    if not len(rows):
-        return rows, np.zeros(0, np.int64)
-    pairs = rows.shape[1] + 1 >> 1
-    keys = np.zeros((pairs, len(rows)), np.int64)
-    for k in range(rows.shape[1]):
-        keys[k >> 1] = keys[k >> 1] * (width + 1) + rows[:, k] + 1
-    order = np.lexsort(keys[::-1]) if pairs > 1 else np.argsort(keys[0], kind="stable")
+def combined(suffixes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct suffixes in order, how often each occurs)."""
+    if not suffixes.shape[1]:
+        return suffixes, np.zeros(0, np.int64)
+    keys = np.zeros((len(suffixes) + 1 >> 1, suffixes.shape[1]), np.int64)
+    for k, ids in enumerate(suffixes):
+        keys[k >> 1] = keys[k >> 1] * (width + 1) + ids + 1
+    order = np.lexsort(keys[::-1])
     keys = keys[:, order]
     first = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0))))
-    return rows[order[first]], np.diff(np.append(first, len(rows)))
+    return suffixes[:, order[first]], np.diff(np.append(first, suffixes.shape[1]))
 
 
 def chunks(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[Chunk]:
@@ -153,167 +150,164 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[Chunk]:
         yield Chunk.of(lang, texts)
 
 
-Prefix = tuple[str, str]
-
-
-def count_prefixes(texts: DataFrame, level: int, extended: set[Prefix], size: int = CHUNK_BYTES) -> DataFrame:
-    """(lang, phrase, n) of phrases of ``level`` words whose first words are extended.
-
-    At level 1, of all words.
-    """
+def count_words(texts: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
+    """(lang, phrase, n) of all words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, size):
-            rows = chunk.suffixes(level)
-            rows = rows[rows[:, -1] >= 0]
-            rows = rows[_among(chunk, rows[:, :-1], extended)] if level > 1 else rows
-            rows, counts = combined(rows, len(chunk.words))
-            if len(rows):
-                lang = pa.repeat(pa.scalar(chunk.lang), len(rows))
-                yield pa.record_batch([lang, chunk.spelled(rows), pa.array(counts)], names=list(COUNTED))
+            counts = np.bincount(chunk.ids, minlength=len(chunk.words))
+            lang = pa.repeat(pa.scalar(chunk.lang), len(counts))
+            yield pa.record_batch([lang, chunk.words, pa.array(counts)], names=list(COUNTED))
 
-    counted = texts.mapInArrow(count, COUNTED_DDL)
-    return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, COUNTED_DDL).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def vertical_partition(
-    texts: DataFrame, words: DataFrame, budget: int, depth: int = DEPTH, size: int = CHUNK_BYTES
-) -> dict[Prefix, int]:
-    """The prefixes over budget with their counts: each is replaced by its extensions.
+Word = tuple[str, str]
 
-    At most (occurrences / budget) per level, which ``MOST_EXTENDED`` bounds.
+
+def prefix_lengths(suffixes: np.ndarray, over: np.ndarray) -> np.ndarray:
+    """How many words of each suffix are its prefix: those over budget, and the next one.
+
+    ``over`` tells for every number whether its word is over budget.
     """
-    extended: dict[Prefix, int] = {}
-    counted = words
-    for level in range(1, depth):
-        over = {(r.lang, r.phrase): r.n for r in counted.where(F.col("n") > budget).collect()}
-        extended |= over
-        if not over or level == depth - 1:
-            break
-        counted = count_prefixes(texts, level + 1, set(over), size)
-    return extended
+    lengths = np.ones(suffixes.shape[1], np.int64)
+    for k in range(len(suffixes) - 1):
+        lengths += (lengths == k + 1) & (suffixes[k] >= 0) & over[suffixes[k]]
+    return lengths
 
 
 def prefix_rows(
-    texts: DataFrame, extended: set[Prefix], frequent: bytes, depth: int = DEPTH, size: int = CHUNK_BYTES
+    texts: DataFrame, over_budget: set[Word], frequent: bytes, depth: int = DEPTH, size: int = CHUNK_BYTES
 ) -> DataFrame:
-    """(lang, prefix, leaves): the suffixes of a chunk by prefix, as lines of text.
+    """(lang, prefix, leaves, repeated): the suffixes of a chunk by prefix.
 
-    A line is what follows the prefix, and after a tab how often, if more than once.
-    Suffixes of one word, or no longer than an extended prefix, add nothing to known
-    counts and are left out.
+    ``leaves`` has a line for every suffix that occurs once in the chunk, what follows
+    the prefix; ``repeated`` one for every other, with a tab and its count. A prefix
+    that was extended has a row with its own count and nothing below it. Suffixes of one
+    word add nothing to the known counts of words and are left out.
     """
-    levels = [{p for p in extended if p[1].count(" ") == n} for n in range(depth)]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(frequent, np.uint8)
         for chunk in chunks(batches, size):
-            rows = chunk.suffixes(depth, in_filter(bits, chunk.lang, chunk.words))
-            rows, counts = combined(rows[rows[:, 1] >= 0], len(chunk.words))
-            # How many words of each row are its prefix: one more than its extended ones.
-            taken = np.ones(len(rows), np.int64)
-            for n in range(1, depth):
-                at = np.flatnonzero(taken == n)
-                taken[at[_among(chunk, rows[at, :n], levels[n - 1])]] += 1
+            words = chunk.words.to_pylist()
+            over = np.array([(chunk.lang, w) in over_budget for w in words], bool)
+            suffixes = chunk.suffixes(depth, in_filter(bits, chunk.lang, words))
+            suffixes, counts = combined(suffixes[:, suffixes[1] >= 0], len(words))
+            lengths = prefix_lengths(suffixes, over)
             for length in range(1, depth + 1):
-                own = np.flatnonzero((taken == length) & (rows[:, length - 1] >= 0))
+                own = np.flatnonzero((lengths == length) & (suffixes[length - 1] >= 0))
                 if len(own):
-                    yield _prefix_batch(chunk, rows[own], counts[own], length)
+                    yield _prefix_batch(chunk, suffixes[:, own], counts[own], length)
+                # Longer than a word and extended: counted here.
+                shorter = np.flatnonzero((lengths > length) & (length > 1))
+                if len(shorter):
+                    yield _count_batch(chunk, suffixes[:length, shorter], counts[shorter])
 
     return texts.mapInArrow(deal, ROWS_DDL)
 
 
-def _prefix_batch(chunk: Chunk, rows: np.ndarray, counts: np.ndarray, length: int) -> pa.RecordBatch:
-    head = rows[:, :length]
-    first = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]).any(axis=1))))
-    tails = rows[:, length:]
-    tail = chunk.spelled(tails) if tails.shape[1] else pa.repeat(pa.scalar(""), len(rows))
-    often = pc.binary_join_element_wise(tail, pa.array(counts).cast(pa.string()), "\t")
-    lines = pc.if_else(pa.array(counts > 1), often, tail)
-    edges = pa.array(np.append(first, len(rows)).astype(np.int32))
-    leaves = pc.binary_join(pa.ListArray.from_arrays(edges, lines), "\n").cast(pa.binary())
+def _starts(heads: np.ndarray) -> np.ndarray:
+    """Where another head begins in suffixes that are in order."""
+    return np.flatnonzero(np.concatenate(([True], (heads[:, 1:] != heads[:, :-1]).any(axis=0))))
+
+
+def _prefix_batch(chunk: Chunk, suffixes: np.ndarray, counts: np.ndarray, length: int) -> pa.RecordBatch:
+    first = _starts(suffixes[:length])
+    tails = chunk.spelled(suffixes[length:])
+    again = counts > 1
+    columns = []
+    for chosen, lines in (
+        (~again, tails),
+        (again, pc.binary_join_element_wise(tails, pa.array(counts).cast(pa.string()), "\t")),
+    ):
+        edges = np.append(0, np.cumsum(chosen))[np.append(first, len(counts))].astype(np.int32)
+        columns.append(pc.binary_join(pa.ListArray.from_arrays(pa.array(edges), lines.filter(pa.array(chosen))), "\n"))
+        # No lines is null, one line of nothing is empty.
+        columns[-1] = pc.if_else(pa.array(np.diff(edges) > 0), columns[-1], pa.scalar(None, pa.string()))
     lang = pa.repeat(pa.scalar(chunk.lang), len(first))
-    return pa.record_batch([lang, chunk.spelled(head[first]), leaves], names=list(ROWS))
+    return pa.record_batch([lang, chunk.spelled(suffixes[:length, first]), *columns], names=list(ROWS))
 
 
-def _among(chunk: Chunk, rows: np.ndarray, wanted: set[Prefix]) -> np.ndarray:
-    """Which rows spell a wanted prefix. Only rows of a wanted first word are spelled."""
-    found = np.zeros(len(rows), bool)
-    if not wanted or not len(rows):
-        return found
-    starts = {p[1].split(" ")[0] for p in wanted if p[0] == chunk.lang}
-    start = np.isin(rows[:, 0], np.flatnonzero([w in starts for w in chunk.words.to_pylist()]))
-    at = np.flatnonzero(start & (rows >= 0).all(axis=1))
-    if not len(at):
-        return found
-    distinct, back = np.unique(rows[at], axis=0, return_inverse=True)
-    hits = np.array([(chunk.lang, p) in wanted for p in chunk.spelled(distinct).to_pylist()])
-    found[at] = hits[back.ravel()]
-    return found
+def _count_batch(chunk: Chunk, heads: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    first = _starts(heads)
+    sums = np.add.reduceat(counts, first)
+    lines = pc.binary_join_element_wise(pa.repeat(pa.scalar(""), len(sums)), pa.array(sums).cast(pa.string()), "\t")
+    lang, none = pa.repeat(pa.scalar(chunk.lang), len(first)), pa.nulls(len(first), pa.string())
+    return pa.record_batch([lang, chunk.spelled(heads[:, first]), none, lines], names=list(ROWS))
 
 
-def subtree(leaves: Counter[str] | dict[str, int], least: int) -> Iterator[tuple[str, int]]:
+def subtree(leaves: list[str], repeated: dict[str, int], least: int) -> Iterator[tuple[str, int]]:
     """(phrase below the root, count) of all with ``least`` occurrences.
 
-    Branches are followed only as far as they are frequent enough.
+    ``leaves`` occur once each, ``repeated`` as often as they say. Branches are followed
+    only as far as they are frequent enough.
     """
-    branches: Counter[str] = Counter()
-    for line, n in leaves.items():
+    heads = [line.partition(" ")[0] for line in leaves]
+    branches = Counter(heads)
+    for line, n in repeated.items():
         branches[line.partition(" ")[0]] += n
-    inner: dict[str, dict[str, int]] = {w: {} for w, n in branches.items() if w and n >= least}
-    for line, n in leaves.items():
-        word, _, rest = line.partition(" ")
-        if rest and word in inner:
-            inner[word][rest] = n
-    for word, below in inner.items():
+    inner: dict[str, tuple[list[str], dict[str, int]]] = {
+        word: ([], {}) for word, n in branches.items() if word and n >= least
+    }
+    if not inner:
+        return
+    for line, head in zip(leaves, heads):
+        if head in inner and len(line) > len(head):
+            inner[head][0].append(line[len(head) + 1 :])
+    for line, n in repeated.items():
+        head, _, rest = line.partition(" ")
+        if rest and head in inner:
+            inner[head][1][rest] = n
+    for word, (once, more) in inner.items():
         yield word, branches[word]
-        for rest, n in subtree(below, least) if below else ():
-            yield f"{word} {rest}", n
+        if len(once) + len(more) and len(once) + sum(more.values()) >= least:
+            for rest, n in subtree(once, more, least):
+                yield f"{word} {rest}", n
 
 
-def count_phrases(rows: DataFrame, groups: int, least: int = LEAST) -> DataFrame:
-    """(lang, phrase, n) from the subtrees of all prefixes, group by group.
+def count_phrases(rows: DataFrame, least: int = LEAST) -> DataFrame:
+    """(lang, phrase, n) from the subtrees of all prefixes.
 
     Rows of one prefix meet in one task, which holds one prefix at a time.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple[str, str, int]] = []
-        for (lang, prefix), leaves in _by_prefix(batches):
-            total = sum(leaves.values())
+        for (lang, prefix), leaves, repeated in _by_prefix(batches):
+            total = len(leaves) + sum(repeated.values())
             if total < least:
                 continue
             if " " in prefix:
                 found.append((lang, prefix, total))
-            found += ((lang, f"{prefix} {rest}", n) for rest, n in subtree(leaves, least))
+            found += ((lang, f"{prefix} {rest}", n) for rest, n in subtree(leaves, repeated, least))
             if len(found) >= 10_000:
                 yield _counted(found)
                 found = []
         yield _counted(found)
 
-    group = F.pmod(F.xxhash64("lang", "prefix"), F.lit(groups))
-    dealt = rows.withColumn("group", group).repartition("group").sortWithinPartitions("group", "lang", "prefix")
-    return dealt.drop("group").mapInArrow(build, COUNTED_DDL)
+    return rows.repartition("lang", "prefix").sortWithinPartitions("lang", "prefix").mapInArrow(build, COUNTED_DDL)
 
 
-def _by_prefix(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Prefix, Counter[str]]]:
-    now: Prefix | None = None
-    leaves: Counter[str] = Counter()
+def _by_prefix(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Word, list[str], Counter[str]]]:
+    """Each prefix with its leaves and its repeated leaves, which the rows have in order."""
+    now: Word | None = None
+    leaves: list[str] = []
+    repeated: Counter[str] = Counter()
     for batch in batches:
-        for lang, prefix, lines in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for lang, prefix, once, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (lang, prefix) != now:
                 if now is not None:
-                    yield now, leaves
-                now, leaves = (lang, prefix), Counter()
-            text = lines.decode()
-            if "\t" not in text:
-                leaves.update(text.split("\n"))
-                continue
-            for line in text.split("\n"):
-                tail, _, times = line.partition("\t")
-                leaves[tail] += int(times) if times else 1
+                    yield now, leaves, repeated
+                now, leaves, repeated = (lang, prefix), [], Counter()
+            if once is not None:
+                leaves += once.split("\n")
+            if more is not None:
+                for line in more.split("\n"):
+                    tail, _, times = line.partition("\t")
+                    repeated[tail] += int(times)
     if now is not None:
-        yield now, leaves
+        yield now, leaves, repeated
 
 
 def _counted(rows: list[tuple[str, str, int]]) -> pa.RecordBatch:
@@ -332,10 +326,10 @@ def word_filter(words: DataFrame) -> bytes:
     return bytes(whole)
 
 
-def in_filter(bits: np.ndarray, lang: str, words: pa.Array) -> np.ndarray:
+def in_filter(bits: np.ndarray, lang: str, words: list[str]) -> np.ndarray:
     """Which words may be in the filter. Hashes as Spark's ``xxhash64(lang, phrase)``."""
     seed = xxhash.xxh64_intdigest(lang, seed=42)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed=seed) for w in words.to_pylist()), np.uint64, len(words))
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed=seed) for w in words), np.uint64, len(words))
     at = hashes % np.uint64(FILTER_BITS)
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
@@ -361,21 +355,16 @@ def phrase_counts(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
         F.encode(text_or_empty(F.col(f"`{text}`")), "UTF-8").alias("text"),
     )
-    words = settled(count_prefixes(texts, 1, set(), size), "words")
+    words = settled(count_words(texts, size), "words")
     totals = settled(words.groupBy("lang").agg(F.sum("n").alias("words")), "word-totals")
     total = totals.agg(F.sum("words")).first()[0] or 0
     # At most the memory of a task, and half a partition's share where there is less.
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     limit = max(min(budget, total // (2 * partitions) + 1), total // MOST_EXTENDED)
-    extended = vertical_partition(texts, words, limit, depth, size)
+    over = {(r.lang, r.phrase) for r in words.where(F.col("n") > limit).select("lang", "phrase").collect()}
     frequent = words.where(F.col("n") >= least)
-    rows = prefix_rows(texts, set(extended), word_filter(frequent), depth, size)
-    groups = max(partitions, 2 * total // max(limit, 1))
-    counted = count_phrases(rows, groups, least)
-    # Extended prefixes are counted already; those of one word are among the words.
-    known = [(g, p, n) for (g, p), n in extended.items() if " " in p and n >= least]
-    found = counted.unionByName(frequent).unionByName(spark.createDataFrame(known, COUNTED_DDL))
-    return settled(found, "phrases"), totals
+    rows = prefix_rows(texts, over, word_filter(frequent), depth, size)
+    return settled(count_phrases(rows, least).unionByName(frequent), "phrases"), totals
 
 
 def collocations(
