@@ -116,6 +116,9 @@ def larger(spark):
 def test_held_out_accuracy(spark, larger, model, label, folds, fold, least):
     documents, labels = larger
     rows = model(documents, labels).join(labels, "doc_id").where("held_out").collect()
+    # Not won by a constant answer: both answers are given, and the rarer one rightly.
+    rare = 1 if label == "toxic" else 0
+    assert np.mean([r.predicted == rare for r in rows if r[label] == rare]) > 0.6
     assert all(zlib.crc32(str(r.doc_id).encode()) % folds == fold for r in rows)
     assert np.mean([r.predicted == r[label] for r in rows]) >= least
 
@@ -133,6 +136,27 @@ def test_scores_of_odd_rows(spark, larger, model, alone):
     assert model(odd.where("false"), labels).collect() == []
 
 
+def test_one_rule_labels_words_at_every_size():
+    """The evidence decides, not the size of the sample."""
+    def labelled(toxic_with, toxic, clean_with, clean):
+        documents = [["bad"]] * toxic_with + [["x"]] * (toxic - toxic_with)
+        documents += [["bad"]] * clean_with + [["x"]] * (clean - clean_with)
+        return "bad" in toxicity._labelled_features(documents, np.array([1.0] * toxic + [0.0] * clean))
+
+    assert [labelled(n, 20, 0, 200) for n in (1, 2, 4, 8)] == [False, True, True, True]
+    assert [labelled(n, 1000, 0, 10_000) for n in (1, 2, 4, 8)] == [False, False, True, True]
+    assert [labelled(n, 1000, 10 * n, 10_000) for n in (1, 10, 100)] == [False] * 3
+    assert labelled(200, 1000, 100, 10_000) and not labelled(2, 1000, 1, 10_000)
+
+
+def test_the_curve_is_fitted_on_texts_of_both_classes(caplog):
+    texts = ["you scum", "scum here", "all scum"] + [f"plain words {n}" for n in range(30)]
+    labels = np.array([1.0] * 3 + [0.0] * 30)
+    assert toxicity.train(texts, labels) is not None and not caplog.records
+    assert toxicity.train(texts[1:], labels[1:]) is not None and "fewer than three" in caplog.text
+    assert toxicity.train(texts[3:], labels[3:]) is None
+
+
 def test_toxic_spans_hold_the_words(spark, larger):
     documents, labels = larger
     rows = toxicity.toxicity(documents, labels).join(documents, "doc_id").where("size(spans) > 0").collect()

@@ -21,7 +21,7 @@ def test_op9_finds_held_out_toxic_documents(larger):
     documents, labels = larger
     rows = toxicity.toxicity(documents, labels).join(labels, "doc_id").where("held_out").collect()
     toxic = [r.predicted for r in rows if r.toxic]
-    assert len(toxic) > 80 and sum(toxic) >= 0.8 * len(toxic)
+    assert len(toxic) > 80 and sum(toxic) > 0.85 * len(toxic)
     assert sum(r.predicted for r in rows if not r.toxic) <= 0.02 * len(rows)
 
 
@@ -40,6 +40,6 @@ def test_the_stage_drops_held_out_and_planted_toxic_documents(spark, larger):
     toxic = {r.doc_id for r in held.where("toxic = 1").collect()} & there
     good = {r.doc_id for r in clean.select("doc_id").collect()}
     print("held-out", len(toxic), len(toxic & kept), "planted", len(good), sum(i >= PLANTED for i in kept), "clean kept", len(good & kept))
-    assert len(toxic) > 80 and len(toxic & kept) <= 0.2 * len(toxic)
+    assert len(toxic) > 80 and len(toxic & kept) < 0.15 * len(toxic)
     assert len(good) > 500 and sum(i >= PLANTED for i in kept) <= 0.1 * len(good)
     assert len(good & kept) >= 0.97 * len(good)

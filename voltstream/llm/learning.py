@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from voltstream.llm.common import text_or_empty
 
-# At most about this many labelled texts are learnt from, none longer than this.
+# About this many labelled texts are learnt from, none longer than this. Both bound what the
+# driver holds.
 SAMPLE_ROWS = 8000
 SAMPLE_CHARS = 20_000
 _PARTS = 1 << 30
@@ -30,12 +31,13 @@ def labelled_sample(
     rows: int = SAMPLE_ROWS,
     key: str = "doc_id",
     text: str = "text",
+    chars: int = SAMPLE_CHARS,
 ) -> tuple[list[str], np.ndarray]:
     """Texts and 0/1 labels of a sample of about ``rows`` documents, in the order of their keys.
 
     Never from the held-out fold. A document is in the sample by the hash of its key, so
     the sample is the same however the tables are stored. Null labels, null keys and
-    texts beyond ``SAMPLE_CHARS`` are passed over; of repeated labels the largest holds.
+    texts of more than ``chars`` characters are passed over; of repeated labels the largest holds.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~in_fold(key, folds, held_out))
@@ -49,7 +51,7 @@ def labelled_sample(
     wanted = (
         documents.select(F.col(f"`{key}`").alias("_key"), text_or_empty(F.col(f"`{text}`")).alias("text"))
         .join(F.broadcast(chosen), "_key")
-        .where(F.length("text") <= SAMPLE_CHARS)
+        .where(F.length("text") <= chars)
         .dropDuplicates(["_key"])
     )
     found = sorted(wanted.select("_key", "text", "label").toPandas().itertuples(index=False))

@@ -26,9 +26,8 @@ BITS, RANK = 16, 8
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
 BUCKETS = 10
-EPOCHS, BATCH, RATE, RIDGE = 4, 400, 0.08, 2e-4
-# A small sample is gone through more often, until so many batches are done.
-LEAST_BATCHES = 80
+# A sample of any size is gone through, in a new order each time, for so many batches.
+STEPS, BATCH, RATE, RIDGE = 80, 400, 0.08, 2e-4
 
 # Kinds of bytes.
 _UPPER = np.zeros(256, bool)
@@ -127,10 +126,11 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 11) -> Machine | Non
     )
     hashed = Scores(lambda w: word_hash(w) & (1 << BITS) - 1)
     squares = [1e-6, np.full(size, 1e-6), np.full((size, RANK), 1e-6)]
-    batches = -(-len(found) // BATCH)
-    for _ in range(max(EPOCHS, -(-LEAST_BATCHES // batches))):
+    done = 0
+    while done < STEPS:
         order = rng.permutation(len(found))
         for at in range(0, len(order), BATCH):
+            done += 1
             rows = order[at : at + BATCH]
             index, value, edges = encode(machine, [found[n] for n in rows], hashed)
             output, sums = evaluate(machine, index, value, edges)

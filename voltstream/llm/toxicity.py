@@ -2,14 +2,16 @@
 
 Two states per word: clean and toxic. A word's features are itself and its first
 letters, hashed. The labels are per document, so words are labelled first: toxic is a
-word that occurs in toxic documents of the sample far more often than in clean ones,
-and every word of a clean document is clean. The field is trained on those labelled
+word whose odds of standing in a toxic document are, by all that the sample can tell,
+some times those of standing in a clean one, and every word of a clean document is
+clean. The field is trained on those labelled
 words; its forward-backward marginals give toxic spans with their offsets, and a
 logistic curve over their maximum and sum gives the document's score.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,17 +25,19 @@ from pyspark.sql import functions as F
 from voltstream.llm.common import identified, kept_ddl, named, record_batch, with_kept
 from voltstream.llm.learning import Scores, fit_logistic, in_fold, labelled_sample, logistic, word_hash
 
+log = logging.getLogger(__name__)
+
 WORD = re.compile(r"[^\W\d_]+")
 BITS = 18
 PREFIXES = (4, 5)
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
-# A word is labelled toxic if it is in so many toxic documents of the sample, and so
-# many times as frequent there as in clean ones.
-LEAST_DOCUMENTS, LEAST_RATIO = 8, 40.0
-# In a small sample a share of its toxic documents will do.
-LEAST_SHARE = 0.05
+# A word is labelled toxic if the lower end of the one-sided 95 percent interval of its odds
+# ratio, toxic documents over clean ones, is at least so much. The same at every size: the
+# fewer documents there are, the wider the interval. Half a document smooths each count.
+LEAST_RATIO, DEVIATIONS, SMOOTHED = 4.0, 1.645, 0.5
 WINDOW, STEPS, RATE, RIDGE = 48, 50, 0.5, 1e-4
+# Windows of clean documents that the field is trained on, beside all that hold a toxic word.
 CLEAN_WINDOWS = 6000
 # Long texts are tagged in segments of so many words, see ``marginals``.
 SEGMENT = 512
@@ -55,14 +59,26 @@ def features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n)]
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Field | None:
-    """Fit the field on two thirds of the sample and the document curve on the rest.
+def train(
+    texts: list[str], labels: np.ndarray, seed: int = 7, clean_windows: int = CLEAN_WINDOWS
+) -> Field | None:
+    """Fit the field on two thirds of each class of the sample, the document curve on the rest.
 
-    None if the sample lacks either class.
+    Words are labelled by all texts of the two thirds. The field then learns from every
+    window of ``WINDOW`` words with a toxic one, and from ``clean_windows`` of those of
+    clean documents, drawn at random: they bound the driver's memory. None if the sample
+    lacks either class; of fewer than three documents of a class the curve sees
+    those the field was trained on, with a warning.
     """
     if len(set(labels.tolist())) < 2:
         return None
-    third = np.arange(len(texts)) % 3 == 2
+    third = np.zeros(len(texts), bool)
+    for label in (0, 1):
+        third[np.flatnonzero(labels == label)[2::3]] = True
+    curve = np.flatnonzero(third)
+    if len(set(labels[curve].tolist())) < 2:
+        log.warning("fewer than three labelled documents of a class: the curve is fitted on all")
+        curve = np.arange(len(texts))
     same: dict[str, str] = {}  # one object per word, however often it occurs
     lower = [[same.setdefault(w, w) for w in WORD.findall(t)] for t in texts]
     fit = [n for n in range(len(texts)) if not third[n]]
@@ -81,14 +97,13 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Field | None:
                 answers.append(part[1])
             elif not labels[n]:
                 clean.append(part[0])
-    for at in rng.permutation(len(clean))[:CLEAN_WINDOWS]:
+    for at in rng.permutation(len(clean))[:clean_windows]:
         windows.append(clean[at])
         answers.append([False] * len(clean[at]))
     field = _fit_field([[known[w] for w in words] for words in windows], answers)
-    chosen = np.flatnonzero(third) if len(set(labels[third].tolist())) == 2 else np.arange(len(texts))
     emission = Scores(lambda w: field.bias + field.emission[known[w]].sum())
-    values = [np.array([emission[w] for w in lower[n]]) for n in chosen]
-    field.curve = fit_logistic(_summaries(values, field.transition)[0], labels[chosen])
+    values = [np.array([emission[w] for w in lower[n]]) for n in curve]
+    field.curve = fit_logistic(_summaries(values, field.transition)[0], labels[curve])
     return field
 
 
@@ -221,13 +236,15 @@ def _labelled_features(documents: list[list[str]], labels: np.ndarray) -> set[st
     for words, label in zip(documents, labels):
         seen = {f for w in set(words) for f in features(w)}
         (toxic if label else clean).update(seen)
-    least = min(LEAST_DOCUMENTS, max(2, LEAST_SHARE * labels.sum()))
-    many, few = labels.sum() + 1, len(labels) - labels.sum() + 1
-    return {
-        f
-        for f, n in toxic.items()
-        if n >= least and (n / many) / ((clean[f] + 0.5) / few) >= LEAST_RATIO
-    }
+    sizes = labels.sum(), len(labels) - labels.sum()
+
+    def lowest_ratio(found: tuple[int, int]) -> float:
+        there = [n + SMOOTHED for n in found]
+        lacking = [size - n + SMOOTHED for size, n in zip(sizes, found)]
+        ratio = np.log(there[0] / lacking[0]) - np.log(there[1] / lacking[1])
+        return ratio - DEVIATIONS * np.sqrt(sum(1 / n for n in (*there, *lacking)))
+
+    return {f for f, n in toxic.items() if lowest_ratio((n, clean[f])) >= np.log(LEAST_RATIO)}
 
 
 def _fit_field(windows: list[list[list[int]]], answers: list[list[bool]]) -> Field:
