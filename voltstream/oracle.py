@@ -158,7 +158,9 @@ ORACLE: dict[str, str] = {
     "q13_row_function": STATS,
     "q13_row_function_batches": STATS,
     "q13_row_function_rows": STATS,
-    "q13_user_function": f"SELECT event_id, {K} AS k FROM events WHERE {ALERTING}",
+    "q13_user_function": f"""
+        SELECT event_id, CAST(gcd(event_id, {K}) AS BIGINT) AS divisor
+        FROM events WHERE gcd(event_id, {K}) > 1""",
     "q13_hourly_csv": STATS,
     "q14_tumble10_keyed_avg": TYPE_MEANS,
     "q14_stream_tumble": f"SELECT * FROM ({TYPE_MEANS}) WHERE {_closed('true')}",

@@ -415,13 +415,16 @@ def row_function_rows(spark, sf_dir):
 
 
 def user_function(spark, sf_dir):
-    columns = events(spark, sf_dir).select("event_id", "value", "props")
-    return map_rows(columns, _low_output, "event_id BIGINT, k INT", drop_none=True)
+    """A loop per row that ends by its data, which no column function has."""
+    columns = events(spark, sf_dir).select("event_id", "props")
+    return map_rows(columns, _common_divisor, "event_id BIGINT, divisor BIGINT", drop_none=True)
 
 
-def _low_output(row: Row) -> tuple[int, int] | None:
-    k = json.loads(row.props)["k"]
-    return (row.event_id, k) if row.value > 100.0 and k < 50 else None
+def _common_divisor(row: Row) -> tuple[int, int] | None:
+    divisor, rest = row.event_id, json.loads(row.props)["k"]
+    while rest:
+        divisor, rest = rest, divisor % rest
+    return (row.event_id, divisor) if divisor > 1 else None
 
 
 def hourly_csv(spark, sf_dir):
