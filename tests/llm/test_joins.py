@@ -145,7 +145,7 @@ def test_embeddings_against_brute_force(spark, monkeypatch, leaf, block, sample)
     rows = vectors(240)
     schema = "vec_id BIGINT, embedding ARRAY<DOUBLE>, label INT"
     frame = spark.createDataFrame(rows, schema).withColumn("class", F.lit("x"))
-    got = embeddings.near_duplicates(frame.repartition(3), trees=8).collect()
+    got = embeddings.near_duplicates(frame.repartition(3)).collect()
     want = brute_cosine(rows)
     found, there = sum(r.n_links for r in got), sum(r[1] for r in want)
     assert 0.98 * there <= found <= there and there > 1000
@@ -154,6 +154,59 @@ def test_embeddings_against_brute_force(spark, monkeypatch, leaf, block, sample)
     assert embeddings.near_duplicates(frame.where("false")).collect() == []
 
 
+def planted(spark, count, pairs, size=64):
+    """Random vectors, and beside some of them one at a cosine of 0.98, 0.985 or 0.995."""
+    rng = np.random.default_rng(21)
+    base = rng.normal(size=(count, size))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    rows = [(n, v.tolist(), n % 2) for n, v in enumerate(base)]
+    for n in range(pairs):
+        cosine = (0.9801, 0.985, 0.995)[n % 3]
+        other = rng.normal(size=size)
+        other -= other @ base[n] * base[n]
+        other /= np.linalg.norm(other)
+        rows.append((count + n, (cosine * base[n] + np.sqrt(1 - cosine**2) * other).tolist(), n % 2))
+    return spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>, label INT").repartition(4)
+
+
+def test_leaves_stay_small_beyond_the_sample(spark, monkeypatch):
+    """A sample of 100 of 6,000 vectors: its leaves are split on until they are small."""
+    monkeypatch.setattr(embeddings, "SAMPLE_ROWS", 100)
+    monkeypatch.setattr(embeddings, "BLOCK", 64)
+    frame = planted(spark, 5400, 600)
+    classes = embeddings._checked(frame, "vec_id", "embedding", "label").select(
+        "class", F.col("id").alias("rep"), F.lit(1).cast("bigint").alias("copies"), "label", "data"
+    )
+    routed = embeddings._routed(classes, 0.98, embeddings.TREES)
+    sizes = lambda f: f.groupBy("leaf", "label", "size").count().agg(F.max("count")).first()[0]
+    split = embeddings.split_on(routed, 0.98)
+    assert sizes(routed) > 3 * 64 and sizes(split) <= 64
+    # No vector falls out, and overlap adds a bounded share per level.
+    assert split.select("class").distinct().count() == 6000
+    assert split.count() < 4 * routed.count()
+    found = {r.vec_id: r for r in embeddings.near_duplicates(frame).collect()}
+    assert sum(found[5400 + n].component_id == n for n in range(600)) >= 0.97 * 600
+    assert sum(r.n_links for r in found.values()) <= 1200
+
+
+def test_recall_of_production_parameters_on_planted_pairs(spark):
+    """All parameters as they are, and enough vectors for many leaves."""
+    found = {r.vec_id: r for r in embeddings.near_duplicates(planted(spark, 20_000, 900)).collect()}
+    hits = sum(found[20_000 + n].component_id == n for n in range(900))
+    print("recall", hits / 900)
+    assert hits >= 0.97 * 900 and sum(r.n_links for r in found.values()) <= 1800
+
+
+def test_a_dense_cluster_is_not_split(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 20)
+    rng = np.random.default_rng(22)
+    centre = rng.normal(size=16)
+    rows = [(n, (centre + 0.01 * rng.normal(size=16)).tolist(), 0) for n in range(150)]
+    rows += [(150 + n, rng.normal(size=16).tolist(), 0) for n in range(150)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>, label INT"))
+    assert {tuple(r) for r in got.collect()} == brute_cosine(rows)
+
+
 def test_embeddings_without_a_key(spark):
     rows = [(None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1)]
     frame = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT")

@@ -6,22 +6,27 @@ direction. A dense cluster is not split: it would fall to both sides whole. Only
 vectors that share a leaf in some tree are compared, exactly, and a pair counts in its
 first common leaf alone, so links are counted without a table of pairs.
 
-The trees are fitted on a bounded sample; every vector runs through them. What the
-sample could not split finely enough, such as a dense cluster, is compared in blocks.
+The trees begin on a bounded sample; every vector runs through them. A leaf that still
+holds too many vectors of one label, as all do once a table is large enough, is split on,
+by directions drawn from its number and places taken from its own vectors, level by level
+and for all such leaves at once. What no direction splits is a dense cluster: its pairs
+are links for the most part, and are compared in blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltstream.llm.common import record_batch, settled
 from voltstream.llm.components import components
+from voltstream.llm.learning import Scores
 
 THRESHOLD = 0.98
 TREES = 5
@@ -32,9 +37,14 @@ LEAF = 256
 SPILL = 0.5
 DEPTH = 24
 # Random directions and places tried per split, and how much a split may add by overlap.
-DIRECTIONS, PLACES, GROWTH = 3, 16, 1.3
+DIRECTIONS, PLACES, GROWTH, LARGER = 3, 16, 1.3, 0.9
+# The same for leaves that are split on: shares of the leaf's vectors at the places tried.
+SHARES = (0.3, 0.4, 0.5, 0.6, 0.7)
+# Vectors of one label that a leaf may hold, and a block of a dense one.
 BLOCK = 512
 _PARTS = 1 << 30
+# What is compared together: vectors of a leaf with equal labels and sizes.
+LEAF_KEY = ("leaf", "label", "size")
 
 
 class Forest:
@@ -62,7 +72,7 @@ class Forest:
                 at = int(cost.argmin())
                 if best is None or cost[at] < best[0]:
                     best = (cost[at], direction, places[at], max(left[at], right[at]), left[at] + right[at])
-        if best and best[3] < 0.9 * len(sample) and best[4] < GROWTH * len(sample):
+        if best and best[3] < LARGER * len(sample) and best[4] < GROWTH * len(sample):
             _, direction, split = best[:3]
             along = sample @ direction
             return (
@@ -123,7 +133,8 @@ def near_duplicates(
         ),
         "classes",
     )
-    found = settled(_links(_dealt(_routed(classes, threshold, trees)), threshold), "links")
+    leaves = split_on(_routed(classes, threshold, trees), threshold)
+    found = settled(_links(_dealt(leaves), threshold), "links")
     linked = found.groupBy("class").agg(F.sum("links").alias("links"))
     counts = (
         classes.select("class", "rep", "copies")
@@ -198,7 +209,7 @@ def _routed(classes: DataFrame, threshold: float, trees: int) -> DataFrame:
     leaf = max(16, int(LEAF * min(1.0, rows / max(total, 1))))
     forests = {n: Forest(np.array(v), leaf, threshold, trees) for n, v in sample.items()}
     sent = spark.sparkContext.broadcast(forests)
-    types = {"size": pa.int32(), "leaf": pa.int32(), "leaves": pa.list_(pa.int32())}
+    types = {"size": pa.int32(), "leaf": pa.int64(), "leaves": pa.list_(pa.int64())}
     own = {"class": pa.binary(), "rep": pa.int64(), "copies": pa.int64(), "label": pa.string(), "data": pa.binary()}
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,14 +233,113 @@ def _routed(classes: DataFrame, threshold: float, trees: int) -> DataFrame:
 
     ddl = (
         "class BINARY, rep BIGINT, copies BIGINT, label STRING, data BINARY, "
-        "size INT, leaf INT, leaves ARRAY<INT>"
+        "size INT, leaf BIGINT, leaves ARRAY<BIGINT>"
     )
     return settled(classes.select(*own).mapInArrow(route, ddl), "leaves")
 
 
+def split_on(routed: DataFrame, threshold: float) -> DataFrame:
+    """Split every leaf of more than ``BLOCK`` vectors until it is small or dense.
+
+    A level is a projection of the open leaves' vectors and three sums per leaf; no leaf
+    is held by a task, and nothing but sums of its rows meets in one.
+    """
+    sizes = settled(routed.groupBy(*LEAF_KEY).agg(F.count("*").alias("n")), "leaf-sizes")
+    large = sizes.where(F.col("n") > BLOCK)
+    if large.isEmpty():
+        return routed
+    rows = routed.drop("leaves")
+    done = [rows.join(large, list(LEAF_KEY), "left_anti")]
+    waiting = settled(rows.join(large, list(LEAF_KEY), "left_semi"), "large-leaves")
+    for _ in range(DEPTH):
+        along = settled(_projected(waiting), "projected")
+        splits = settled(_best_splits(along, threshold), "splits")
+        done.append(waiting.join(splits, list(LEAF_KEY), "left_anti"))
+        children = settled(_children(along.join(splits, list(LEAF_KEY)), threshold), "children")
+        sizes = settled(children.groupBy(*LEAF_KEY).agg(F.count("*").alias("n")), "leaf-sizes")
+        large = sizes.where(F.col("n") > BLOCK)
+        done.append(children.join(large, list(LEAF_KEY), "left_anti"))
+        if large.isEmpty():
+            break
+        waiting = settled(children.join(large, list(LEAF_KEY), "left_semi"), "large-leaves")
+    else:
+        done.append(waiting)
+    found = settled(reduce(DataFrame.unionByName, done), "leaves")
+    leaves = found.groupBy("class").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
+    return found.join(leaves, "class")
+
+
+def directions_of(leaf: int, label: str, size: int) -> np.ndarray:
+    """The directions that a leaf is split by, the same wherever they are drawn."""
+    seed = xxhash.xxh3_64_intdigest(f"{leaf}|{size}|{label}")
+    drawn = np.random.default_rng(seed).normal(size=(DIRECTIONS, size))
+    return drawn / np.linalg.norm(drawn, axis=1, keepdims=True)
+
+
+def _projected(waiting: DataFrame) -> DataFrame:
+    """The vectors of open leaves with their places along the leaf's directions."""
+    fields = [f.name for f in waiting.schema.fields]
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn = Scores(lambda leaf: directions_of(*leaf), limit=1000)
+        for batch in batches:
+            keys = zip(*(batch.column(n).to_pylist() for n in LEAF_KEY))
+            data = batch.column("data").to_pylist()
+            along = [drawn[key] @ unit_vector(d) for key, d in zip(keys, data)]
+            columns = [batch.column(n) for n in fields]
+            yield pa.record_batch([*columns, pa.array(along, pa.list_(pa.float64()))], names=[*fields, "along"])
+
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in waiting.schema.fields)
+    return waiting.mapInArrow(project, f"{ddl}, along ARRAY<DOUBLE>")
+
+
+def _margin(threshold: float) -> Column:
+    return F.lit(SPILL * float(np.sqrt(max(2 - 2 * threshold, 0)))) / F.sqrt("size")
+
+
+def _best_splits(along: DataFrame, threshold: float) -> DataFrame:
+    """(leaf, label, size, direction, place) of the leaves that some place splits well."""
+    shares = F.array(*(F.lit(x) for x in SHARES))
+    tried = along.groupBy(*LEAF_KEY).agg(
+        F.count("*").alias("n"),
+        *(F.percentile_approx(F.col("along")[d], shares, 1000).alias(f"places{d}") for d in range(DIRECTIONS)),
+    )
+    margin = _margin(threshold)
+    sums, choices = [], []
+    for d in range(DIRECTIONS):
+        for k in range(len(SHARES)):
+            place = F.col(f"places{d}")[k]
+            left, right = f"left{d}_{k}", f"right{d}_{k}"
+            sums.append(F.count_if(F.col("along")[d] < place + margin).alias(left))
+            sums.append(F.count_if(F.col("along")[d] >= place - margin).alias(right))
+            sums.append(F.first(place).alias(f"place{d}_{k}"))
+            larger, both = F.greatest(left, right), F.col(left) + F.col(right)
+            good = (larger < F.col("n") * LARGER) & (both < F.col("n") * GROWTH)
+            cost = F.when(good, larger + 2 * (both - F.col("n")))
+            choices.append(F.struct(cost.alias("cost"), F.lit(d).alias("direction"), F.col(f"place{d}_{k}").alias("place")))
+    counted = along.join(tried, list(LEAF_KEY)).groupBy(*LEAF_KEY).agg(F.first("n").alias("n"), *sums)
+    best = F.array_min(F.filter(F.array(*choices), lambda c: c["cost"].isNotNull()))
+    return counted.select(*LEAF_KEY, best.alias("best")).where("best IS NOT NULL").select(*LEAF_KEY, "best.direction", "best.place")
+
+
+def _children(split: DataFrame, threshold: float) -> DataFrame:
+    """Every vector in the leaf of its side, or in both near the split."""
+    here, margin = F.col("along")[F.col("direction")], _margin(threshold)
+    sides = F.array_compact(
+        F.array(F.when(here < F.col("place") + margin, F.lit(0)), F.when(here >= F.col("place") - margin, F.lit(1)))
+    )
+    # A new number that no other leaf has, and above those of the first trees.
+    number = F.shiftrightunsigned(F.xxhash64("leaf", "side"), 1)
+    return (
+        split.withColumn("side", F.explode(sides))
+        .withColumn("leaf", number)
+        .drop("along", "direction", "place", "side")
+    )
+
+
 def _dealt(routed: DataFrame) -> DataFrame:
     """Leaves of too many vectors as pairs of blocks; each pair is a task."""
-    group = ("leaf", "label", "size")
+    group = LEAF_KEY
     sizes = routed.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     sized = routed.join(settled(sizes, "leaf-sizes"), list(group))
     own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
