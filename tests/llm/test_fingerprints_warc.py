@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import voltstream.llm.fingerprints as fingerprint_module
 from voltstream.llm.fingerprints import (
+    changed_paragraphs,
     compare_with_edit,
     edited_paragraphs,
     fingerprints,
@@ -35,7 +37,9 @@ def test_edits_are_located(spark):
     assert same == []
 
 
-def test_edit_of_odd_rows(spark):
+@pytest.mark.parametrize("block", [1, 2, 1024])
+def test_edit_of_odd_rows(spark, monkeypatch, block):
+    monkeypatch.setattr(fingerprint_module, "BLOCK", block)
     texts = {None: "lowest of all texts", -5: None, 0: "", 7: "seven words stand here, and so on", 2**62: "äöü" * 50}
     frame = docs(spark, *((k, t, None) for k, t in texts.items()))
     got = {r.doc_id: r for r in compare_with_edit(frame).collect()}
@@ -57,8 +61,41 @@ def test_edit_of_odd_rows(spark):
 def test_repeated_ids_and_likeness(spark):
     frame = docs(spark, (1, "b", ""), (1, "a", ""), (1, "a", ""))
     assert compare_with_edit(frame).count() == 3
-    pair = spark.sql("SELECT 'r:aaaaaabbbbbb' AS a, 's:bbbbbb.cccccc' AS b")
-    assert pair.select(likeness("a", "b")).first()[0] == 0.5
+    pair = spark.sql("SELECT 'r:aaaaaabbbbbb' AS a, 's:bbbbbb.cccccc' AS b, 't:aaaaaabbbbbbcccccc' AS c")
+    # Half of the phrases and none of the neighbours; four of five and four of seven.
+    assert pair.select(likeness("a", "b")).first()[0] == 0.25
+    assert abs(pair.select(likeness("a", "c")).first()[0] - (4 / 5 + 4 / 7) / 2) < 1e-12
+    assert pair.select(changed_paragraphs("a", "b"), changed_paragraphs("b", "a")).first()[:] == (1, 2)
+
+
+def test_texts_of_the_same_phrases_are_told_apart(spark):
+    texts = ["bbbb, aaaa, ", "aaaa, bbbb, ", "aaaa, aaaa, aaaa, bbbb, ", "aaaa, aaaa, aaaa, aaaa, bbbb, "]
+    rows = fingerprints(docs(spark, *((n, t, "") for n, t in enumerate(texts)))).select("doc_id", "fingerprint")
+    other = rows.select(F.col("doc_id").alias("other"), F.col("fingerprint").alias("f"))
+    found = rows.crossJoin(other).select("doc_id", "other", likeness("fingerprint", "f").alias("x")).collect()
+    near = {(r.doc_id, r.other): r.x for r in found}
+    assert all((near[a, b] == 1) == (a == b) and near[a, b] == near[b, a] for a, b in near)
+    assert near[0, 1] == 0.5 < near[0, 2] + 0.5 and near[1, 2] > 0.8 and near[2, 3] > near[1, 2] / 1.1
+
+
+@pytest.mark.parametrize("ids", ["one far off", "many null", "one hot"])
+def test_blocks_are_even_wherever_the_ids_lie(spark, ids, monkeypatch):
+    count = 20_000
+    key = {
+        "one far off": F.when(F.col("id") == 7, F.lit(10**15)).otherwise(F.col("id")),
+        "many null": F.when(F.col("id") % 2 == 0, F.col("id")),
+        "one hot": F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")),
+    }[ids]
+    rows = spark.range(count).select(key.cast("bigint").alias("id"), F.xxhash64("id").alias("h"))
+    edges = fingerprint_module._edges(rows)
+    blocks = rows.groupBy(fingerprint_module._block_of(F.struct("id", "h"), edges).alias("block")).count().collect()
+    assert len(blocks) == -(-count // fingerprint_module.BLOCK)
+    assert max(r["count"] for r in blocks) < 2 * fingerprint_module.BLOCK
+    monkeypatch.setattr(fingerprint_module, "BLOCK", 7)
+    frame = rows.select(F.col("id").alias("doc_id"), F.col("h").cast("string").alias("text"), F.lit("").alias("root"))
+    odd = frame.where("doc_id IS NULL OR doc_id < 90 OR doc_id > 19950").limit(400)
+    got = compare_with_edit(odd)
+    assert got.count() == odd.count()
 
 
 def test_a_third_of_a_long_text_costs_a_third_of_its_likeness(spark):

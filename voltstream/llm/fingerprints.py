@@ -12,6 +12,9 @@ paragraphs and "/" between sections.
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +24,11 @@ SECTION = r"(?s).+?\n[ \t\r]*\n[ \t\r\n]*|.+"
 PARAGRAPH = r"[^\n]*\n+|[^\n]+"
 PHRASE = r"(?s).{1,48}?[.,;:!?dns][ \t\r\n]+|.{1,48}"
 SHORT = 6
-# Documents per block of the neighbour search, on average.
-BLOCK = 64
+# Documents per block of the neighbour search, on average, and the most blocks there are.
+BLOCK = 1024
+MOST_BLOCKS = 4096
+# Documents whose ids are looked at per block, to find the edges of blocks.
+LOOKED_AT = 64
 
 
 def merkle_tree(text: str | Column = "text") -> Column:
@@ -63,15 +69,30 @@ def fingerprint_of(tree: Column) -> Column:
 
 
 def likeness(left: str | Column, right: str | Column) -> Column:
-    """How much of two fingerprints' phrases is the same, 0 to 1.
+    """How much of two fingerprints' leaves is the same and in the same order, 0 to 1.
 
-    Twice the common distinct phrases over the sum of both; 1 for equal roots.
+    The mean of two shares, each twice what is common over the sum of both: of distinct
+    phrases, and of distinct neighbours, the text's two ends being neighbours too. 1 for
+    equal roots only: texts that differ just in how often a neighbourhood recurs stay
+    below it by a share of their leaves.
     """
     left, right = (F.col(c) if isinstance(c, str) else c for c in (left, right))
     a, b = _phrases(left), _phrases(right)
-    total = F.size(a) + F.size(b)
-    shared = 2 * F.size(F.array_intersect(a, b)) / F.when(total > 0, total)
-    return F.when(left == right, F.lit(1.0)).otherwise(F.coalesce(shared, F.lit(0.0)))
+    phrases = _share(F.array_distinct(a), F.array_distinct(b))
+    neighbours = _share(F.array_distinct(_neighbours(a)), F.array_distinct(_neighbours(b)))
+    most = 1 - 1 / (F.size(a) + F.size(b) + 1)
+    return F.when(left == right, F.lit(1.0)).otherwise(F.least((phrases + neighbours) / 2, most))
+
+
+def changed_paragraphs(left: str | Column, right: str | Column) -> Column:
+    """How many distinct paragraphs of a fingerprint the other lacks.
+
+    Paragraphs of common sections are not looked into.
+    """
+    left, right = (F.col(c) if isinstance(c, str) else c for c in (left, right))
+    a, b = (F.split(F.substring_index(c, ":", -1), "/") for c in (left, right))
+    own, other = (F.flatten(F.transform(x, lambda s: F.split(s, "[.]"))) for x in (F.array_except(a, b), b))
+    return F.size(F.array_except(own, other)).cast("bigint")
 
 
 def edited_paragraphs(tree: str | Column, other: str | Column) -> Column:
@@ -121,15 +142,17 @@ def compare_with_edit(frame: DataFrame, key: str = "doc_id", text: str = "text")
     one the first is next. Gives key, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited and near_next.
 
+    Also ``changed``: how many paragraphs of the text the edited one lacks.
+
     Texts are shuffled once, to blocks of neighbouring keys. Null text is empty; a null
-    key is the lowest; equal keys are ordered by text; a single row is next to itself;
-    an empty table gives no rows.
+    key is the lowest; equal keys are ordered by a hash of their text; a single row is
+    next to itself; an empty table gives no rows.
     """
     trees = frame.select(
         F.col(f"`{key}`").cast("bigint").alias("id"),
         text_or_empty(F.col(f"`{text}`")).alias("text"),
     ).withColumn("tree", merkle_tree("text"))
-    rows = trees.select("id", "text", fingerprint_of(F.col("tree")).alias("fingerprint"))
+    rows = trees.select("id", "text", fingerprint_of(F.col("tree")).alias("fingerprint"), F.xxhash64("text").alias("h"))
     pairs = _with_next(rows)
     third = F.floor(F.length("text") / 3).cast("int")
     edited = pairs.withColumn(
@@ -155,6 +178,7 @@ def compare_with_edit(frame: DataFrame, key: str = "doc_id", text: str = "text")
         "edited_fingerprint",
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         likeness("fingerprint", "next_fingerprint").alias("near_next"),
+        changed_paragraphs("fingerprint", "edited_fingerprint").alias("changed"),
     )
 
 
@@ -175,59 +199,81 @@ def _parent(children: Column) -> Column:
 
 def _phrases(fingerprint: Column) -> Column:
     short = F.substring_index(fingerprint, ":", -1)
-    return F.array_distinct(F.regexp_extract_all(short, F.lit(f"[0-9a-f]{{{SHORT}}}"), F.lit(0)))
+    return F.regexp_extract_all(short, F.lit(f"[0-9a-f]{{{SHORT}}}"), F.lit(0))
+
+
+def _neighbours(phrases: Column) -> Column:
+    """Every phrase after the one before it, from the beginning to the end."""
+    ends = F.array(F.lit(""))
+    return F.zip_with(F.concat(ends, phrases), F.concat(phrases, ends), lambda a, b: F.concat(a, F.lit(">"), b))
+
+
+def _share(a: Column, b: Column) -> Column:
+    total = F.size(a) + F.size(b)
+    return F.coalesce(2 * F.size(F.array_intersect(a, b)) / F.when(total > 0, total), F.lit(0.0))
 
 
 def _with_next(rows: DataFrame) -> DataFrame:
-    """Add text and fingerprint of the row with the next lower id.
+    """Add text and fingerprint of the row with the next lower (id, hash of text).
 
-    Ids are cut into blocks of equal width. Inside a block the next row is the one
-    before; the lowest row of a block takes the highest of the block below, found on
-    the block numbers alone, which are a small share of the rows.
+    Blocks are ranges of that order which hold about as many rows each, wherever the ids
+    lie and however many rows have one id or none; rows alike in id and text stand in one
+    block. Inside a block the next row is the one before. The lowest row of a block
+    takes the highest of the block below, of which there is one per block.
     """
-    span = rows.agg(F.min("id"), F.max("id"), F.count("*")).first()
-    low, high, count = span[0] or 0, span[1] or 0, span[2] or 1
-    width = min(max(1, (high - low + 1) * BLOCK // count), 2**63 - 1)
-    block = F.coalesce(F.expr(f"id div {width}L"), F.lit(low // width - 1))
-
-    # The three uses below read the same four columns, so that Spark shuffles them once.
-    placed = rows.withColumn("block", block.cast("bigint"))
-    order = Window.partitionBy("block").orderBy(F.asc_nulls_first("id"), "text")
-    columns = ("id", "text", "fingerprint", "next_text", "next_fingerprint")
-    linked = placed.withColumns(
-        {
-            "next_text": F.lag("text").over(order),
-            "next_fingerprint": F.lag("fingerprint").over(order),
-            "last": F.lead("text").over(order).isNull(),
-        }
-    )
-    inner = linked.where(F.col("next_text").isNotNull()).select(*columns)
-    lowest = linked.where(F.col("next_text").isNull()).select(*columns[:3], "block")
-    highest = linked.where("last").select(
-        F.col("block").alias("below"),
-        F.col("text").alias("next_text"),
-        F.col("fingerprint").alias("next_fingerprint"),
+    place = F.struct("id", "h")
+    edges = _edges(rows)
+    placed = rows.withColumn("block", _block_of(place, edges))
+    order = Window.partitionBy("block").orderBy(F.asc_nulls_first("id"), "h", "text")
+    linked = placed.withColumns({"before": F.lag(F.struct("text", "fingerprint")).over(order)})
+    # The highest places first, which are numbers, then the texts that stand there. One
+    # row per block, so they may be sent out, and one task may find the block below each.
+    highest = placed.groupBy("block").agg(F.max(F.struct("id", "h")).alias("top")).select("block", "top.*")
+    at_top = (placed["block"] == highest["block"]) & (placed["h"] == highest["h"]) & placed["id"].eqNullSafe(highest["id"])
+    texts = placed.join(F.broadcast(highest), at_top, "left_semi").groupBy("block").agg(F.max("text").alias("top"))
+    below = Window.orderBy("block")
+    every = below.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tops = texts.withColumn("top", F.coalesce(F.lag("top").over(below), F.last("top").over(every)))
+    tops = tops.withColumn("tree", merkle_tree("top")).select(
+        "block", F.struct(F.col("top").alias("text"), fingerprint_of(F.col("tree")).alias("fingerprint")).alias("under")
     )
-    below = _blocks_below(placed.select("block"))
-    outer = lowest.join(below, "block").join(highest, "below").select(*columns)
-    return inner.unionByName(outer)
-
-
-def _blocks_below(blocks: DataFrame) -> DataFrame:
-    """(block, below): the next lower block that has rows; below the lowest, the highest."""
-    distinct = blocks.distinct().withColumn("group", F.floor(F.col("block") / 4096))
-    inside = Window.partitionBy("group").orderBy("block")
-    groups = distinct.groupBy("group").agg(F.max("block").alias("top"))
-    order = Window.orderBy("group")
-    edges = groups.select(
-        "group",
-        F.coalesce(
-            F.lag("top").over(order),
-            F.max("top").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        ).alias("before"),
+    joined = linked.join(tops, "block").withColumn("next", F.coalesce("before", "under"))
+    return joined.select(
+        "id", "text", "fingerprint", F.col("next.text").alias("next_text"), F.col("next.fingerprint").alias("next_fingerprint")
     )
-    return (
-        distinct.withColumn("below", F.lag("block").over(inside))
-        .join(edges, "group")
-        .select("block", F.coalesce("below", "before").alias("below"))
+
+
+def _edges(rows: DataFrame) -> list[tuple[int | None, int]]:
+    """Where blocks begin, from a sample of about ``LOOKED_AT`` rows per block.
+
+    At most ``MOST_BLOCKS`` edges and so many times that of two numbers reach the driver.
+    """
+    count = rows.count()
+    blocks = min(MOST_BLOCKS, -(-count // BLOCK))
+    if blocks < 2:
+        return []
+    share = int((1 << 30) * min(1.0, LOOKED_AT * blocks / count))
+    # By a hash of both, so that the sample does not hang on how the table is stored.
+    chosen = F.pmod(F.xxhash64("id", "h"), F.lit(1 << 30)) < share
+    sample = rows.where(chosen).select("id", "h").groupBy("id", "h").count().collect()
+    # A repeated row was drawn with all its copies, which count but cannot be parted.
+    found = sorted(((r.id is not None, r.id or 0, r.h, r["count"]) for r in sample))
+    total, passed, edges = sum(f[3] for f in found), 0, []
+    for there, id_, h, copies in found:
+        if passed >= (len(edges) + 1) * total / blocks:
+            edges.append((id_ if there else None, h))
+        passed += copies
+    return edges
+
+
+def _block_of(place: Column, edges: list[tuple[int | None, int]]) -> Column:
+    """How many edges are at or below a place, by two looks at about their root."""
+    if not edges:
+        return F.lit(0)
+    step = math.isqrt(len(edges) - 1) + 1
+    kind = "array<struct<id:bigint,h:bigint>>"
+    every, tops = (
+        F.from_json(F.lit(json.dumps([{"id": i, "h": h} for i, h in chosen])), kind) for chosen in (edges, edges[::step])
     )
+    begin = F.greatest(F.size(F.filter(tops, lambda e: e <= place)) - 1, F.lit(0)) * step
+    return begin + F.size(F.filter(F.slice(every, begin + 1, F.lit(step)), lambda e: e <= place))

@@ -138,12 +138,22 @@ def _merkle_sql(text: str) -> str:
 
 
 def _likeness_sql(left: str, right: str) -> str:
-    a, b = (
-        f"list_distinct(regexp_extract_all(split_part({c}, ':', 2), '[0-9a-f]{{6}}'))"
-        for c in (left, right)
-    )
-    shared = f"2.0::DOUBLE * len(list_intersect({a}, {b})) / nullif(len({a}) + len({b}), 0)"
-    return f"CASE WHEN {left} = {right} THEN 1.0::DOUBLE ELSE coalesce({shared}, 0.0::DOUBLE) END"
+    a, b = (f"regexp_extract_all(split_part({c}, ':', 2), '[0-9a-f]{{6}}')" for c in (left, right))
+
+    def share(of: str) -> str:
+        x, y = (f"list_distinct({of.format(p)})" for p in (a, b))
+        return f"coalesce(2.0::DOUBLE * len(list_intersect({x}, {y})) / nullif(len({x}) + len({y}), 0), 0.0::DOUBLE)"
+
+    pairs = "list_transform(list_zip(list_concat([''], {0}), list_concat({0}, [''])), lambda z: z[1] || '>' || z[2])"
+    most = f"1 - 1.0::DOUBLE / (len({a}) + len({b}) + 1)"
+    return f"CASE WHEN {left} = {right} THEN 1.0::DOUBLE ELSE least(({share('{}')} + {share(pairs)}) / 2, {most}) END"
+
+
+def _changed_sql(left: str, right: str) -> str:
+    a, b = (f"string_split(split_part({c}, ':', 2), '/')" for c in (left, right))
+    own = f"list_filter({a}, lambda s: NOT list_contains({b}, s))"
+    own, other = (f"flatten(list_transform({x}, lambda s: string_split(s, '.')))" for x in (own, b))
+    return f"len(list_distinct(list_filter({own}, lambda p: NOT list_contains({other}, p))))"
 
 
 ORACLE: dict[str, str] = {
@@ -162,7 +172,8 @@ ORACLE: dict[str, str] = {
                 {_merkle_sql("next")} AS next_fingerprint FROM e)
         SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
             {_likeness_sql("fingerprint", "edited_fingerprint")} AS near_edited,
-            {_likeness_sql("fingerprint", "next_fingerprint")} AS near_next
+            {_likeness_sql("fingerprint", "next_fingerprint")} AS near_next,
+            {_changed_sql("fingerprint", "edited_fingerprint")} AS changed
         FROM f
     """,
     "op5_ngram_jaccard_join": """
