@@ -37,8 +37,10 @@ COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 NO_LANG = "und"
 
-# Occurrences of a prefix that one task builds a subtree of.
+# Occurrences of a prefix that one task builds a subtree of, and so that small corpora are
+# dealt alike, no more than this part of all.
 BUDGET = 2_000_000
+LEAST_PARTS = 64
 # No more words than this are over budget, which rises where a corpus is so large that
 # they would be more. It bounds what is sent to every task.
 MOST_EXTENDED = 500_000
@@ -350,7 +352,6 @@ def phrase_counts(
     count each. Empty tables give empty results. A text is taken whole, at some twenty
     times its size in memory.
     """
-    spark = documents.sparkSession
     texts = documents.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANG)).alias("lang"),
         F.encode(text_or_empty(F.col(f"`{text}`")), "UTF-8").alias("text"),
@@ -358,9 +359,8 @@ def phrase_counts(
     words = settled(count_words(texts, size), "words")
     totals = settled(words.groupBy("lang").agg(F.sum("n").alias("words")), "word-totals")
     total = totals.agg(F.sum("words")).first()[0] or 0
-    # At most the memory of a task, and half a partition's share where there is less.
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(min(budget, total // (2 * partitions) + 1), total // MOST_EXTENDED)
+    # At most the memory of a task, and a small share of the corpus where that is less.
+    limit = max(min(budget, total // LEAST_PARTS + 1), total // MOST_EXTENDED)
     over = {(r.lang, r.phrase) for r in words.where(F.col("n") > limit).select("lang", "phrase").collect()}
     frequent = words.where(F.col("n") >= least)
     rows = prefix_rows(texts, over, word_filter(frequent), depth, size)
