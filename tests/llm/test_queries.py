@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
@@ -30,6 +31,35 @@ def test_query_equals_its_sql(spark, sql, tables, name):
     assert got == expected and expected
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLE])
+def test_query_without_sql_has_a_row_per_document(spark, tables, name):
+    """As registered, over the whole table; the operators have their own brute-force tests."""
+    kind = "embeddings" if name.startswith("op2_") else "documents"
+    key = "vec_id" if kind == "embeddings" else "doc_id"
+    rows = QUERIES[name](spark, tables).collect()
+    ids = sorted(r[0] for r in spark.read.parquet(f"{tables}/{kind}.parquet").select(key).collect())
+    if name.startswith("op3_"):
+        assert sorted({r[key] for r in rows}) == ids
+        assert all(sum(r.length for r in rows if r.sequence_id == s) <= 2048 for s in {r.sequence_id for r in rows})
+    else:
+        assert sorted(r[key] for r in rows) == ids
+    for column in ("score",) if hasattr(rows[0], "score") else ():
+        assert all(0 <= r[column] <= 1 for r in rows)
+
+
+def test_op7_counts_the_tokens_of_every_whole_text(spark, tables):
+    import public_tokenizers
+    import tokenizers
+
+    library = tokenizers.Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    library.no_padding()
+    library.no_truncation()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{tables}/documents.parquet").collect()}
+    for r in QUERIES["op7_token_counts"](spark, tables).collect():
+        count = len(library.encode(texts[r.doc_id], add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), count, count > 1024)
+
+
 def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
     assert numbers == list(range(1, 14))
@@ -73,7 +103,9 @@ def test_pipeline_takes_empty_tables_and_nulls(spark, tables):
     odd = spark.createDataFrame(
         [(None, None, None, None, None), (1, "", None, None, 0), (2, None, "en", "s", None)], empty.schema
     )
-    for docs in (empty, odd):
+    clashing = ("id", "score", "copy", "position", "keep0", "label", "row", "tie", "piece", "h", "block")
+    wide = odd.withColumns({name: F.lit("x") for name in clashing})
+    for docs in (empty, odd, wide):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.settled(stage(spark, docs, tables), name)
         docs.collect()

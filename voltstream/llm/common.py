@@ -10,6 +10,8 @@ from voltstream.session import ship_package, use_utc
 from voltstream.streaming.workdir import fresh_dir
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Fixed value: Spark's own default.
+DEFAULT_ROWS = "10000"
 
 # Fixed value: the columns of the documents table.
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
@@ -18,9 +20,12 @@ DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 def prepared(spark: SparkSession) -> SparkSession:
     """The session, with this package on the executors and Arrow batches of 1,000 rows.
 
-    A batch of the default 10,000 long texts would not fit beside the others.
+    A batch of the default 10,000 long texts would not fit beside the others. The setting
+    lasts, as queries run when their results are read; a session with a number of its own
+    keeps that.
     """
-    spark.conf.set(BATCH_ROWS, "1000")
+    if spark.conf.get(BATCH_ROWS, DEFAULT_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_ROWS, "1000")
     return ship_package(use_utc(spark))
 
 

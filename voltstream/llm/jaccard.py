@@ -80,7 +80,9 @@ def jaccard_join(
 ) -> DataFrame:
     """key, n_shingles and component_id of every document, over links of ``percent`` or more.
 
-    Exact: no link between different sets is lost, up to collisions of 64-bit hashes.
+    Exact: no link between different sets is lost, up to collisions of 64-bit hashes. What
+    is verified are links that span each component; pairs already connected are passed
+    over, so the number of all links of a document is not known.
     Null or blank text has no shingles and no links, a text of fewer words is one
     shingle. Rows of one key are one document with the links of all its texts. A row
     without a key is linked with nothing and has no component. An empty table gives

@@ -57,7 +57,11 @@ class Encoder:
             self._read_vocabulary(json.load(file))
 
     def ids(self, text: str) -> np.ndarray:
-        """All ids of a text, without added special tokens."""
+        """All ids of a text, without added special tokens.
+
+        Long texts are resynchronised where the vocabulary is one of bytes, whose tokens
+        have known lengths. With other files, as ``.model`` ones, a text is encoded whole.
+        """
         if self.pieces is not None:
             return np.array(self.pieces.encode(text), np.uint32)
         ordinary = self.fast is not None and not UNUSUAL.search(text)
