@@ -1,7 +1,14 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
+
+Every stage takes the columns of ``documents``; any of them may be null, texts may be empty or
+of any length, rows and ids may repeat, and an empty table gives an empty result. Other
+columns, whatever their names, are dropped. Every stage works on whole texts and on all
+that its predecessor kept.
+"""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 import public_tokenizers
@@ -23,19 +30,37 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+log = logging.getLogger(__name__)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the conditional random field does not call toxic."""
+    """Documents that the conditional random field does not call toxic.
+
+    It learns from the labelled documents of ``docs`` outside the held-out fold. A null text is
+    scored as the empty one; rows alike in text share their fate, so repeated rows stay or
+    go together; a row without an id is scored like any other and never learnt from. A
+    score at the threshold is toxic. Without labels of both kinds nothing is rejected, and a
+    warning says so.
+    """
     t = toxicity_model
     field = t.train(*labelled_sample(docs, _labels(spark, sf_dir), "toxic", t.FOLDS, t.HELD_OUT))
+    if field is None:
+        log.warning("no labels of both kinds: no document is rejected as toxic")
     scored = t.score_documents(docs, field, keep=DOCUMENT)
     return scored.where("predicted = 0").select(*DOCUMENT)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorisation machine calls good."""
+    """Documents that the factorisation machine calls good.
+
+    Null texts, repeated rows and rows without an id are treated as by ``drop_toxic``; a
+    score at the threshold is good. Without labels of both kinds nothing is rejected, and a
+    warning says so.
+    """
     q = quality_model
     machine = q.train(*labelled_sample(docs, _labels(spark, sf_dir), "quality", q.FOLDS, q.HELD_OUT))
+    if machine is None:
+        log.warning("no labels of both kinds: no document is rejected for its quality")
     scored = q.score_documents(docs, machine, keep=DOCUMENT)
     return scored.where("predicted = 1").select(*DOCUMENT)
 
@@ -68,13 +93,22 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as its source's rate draws, in random order."""
+    """As many copies of each document as its source's rate draws, in random order.
+
+    Copies are rows alike in all columns. A null source is a source of its own. The draw
+    hangs on the id alone, so rows of one id, and all rows without one in a source, come
+    out equally often.
+    """
     prepared(spark)
     return mix(docs).select(*DOCUMENT)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens and their places in sequences."""
+    """Pieces of the documents' tokens and their places in sequences.
+
+    A null text is one end token; repeated rows and rows without an id are packed like
+    any others. Which of two pieces of one length comes first hangs on their ids and tokens.
+    """
     prepared(spark)
     return pack(docs, public_tokenizers.path(TOKENIZER))
 
