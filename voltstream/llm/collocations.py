@@ -39,8 +39,8 @@ NO_LANG = "und"
 
 # Occurrences of a prefix that one task builds a subtree of, and so that small corpora are
 # dealt alike, no more than this part of all.
-BUDGET = 2_000_000
-LEAST_PARTS = 64
+BUDGET = 1_000_000
+LEAST_PARTS = 128
 # No more words than this are over budget, which rises where a corpus is so large that
 # they would be more. It bounds what is sent to every task.
 MOST_EXTENDED = 500_000
@@ -98,7 +98,7 @@ class Chunk:
         found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters))
         coded = found.dictionary_encode()
         piece = np.cumsum(kinds == 2, dtype=np.int32)[starts]
-        return cls(lang, coded.dictionary, coded.indices.to_numpy().astype(np.int64), piece)
+        return cls(lang, coded.dictionary, coded.indices.to_numpy(), piece)
 
     def suffixes(self, depth: int, frequent: np.ndarray | None = None) -> np.ndarray:
         """A column per word: the numbers of it and its followers, -1 beyond the end.
@@ -106,7 +106,7 @@ class Chunk:
         A word that is not ``frequent`` ends the suffixes before it and starts none.
         """
         ids = self.ids if frequent is None else np.where(frequent[self.ids], self.ids, -1)
-        found = np.full((depth, len(ids)), -1, np.int64)
+        found = np.full((depth, len(ids)), -1, np.int32)
         found[0] = ids
         for k in range(1, min(depth, len(ids))):
             going = (found[k - 1, :-k] >= 0) & (self.piece[k:] == self.piece[:-k])
@@ -129,7 +129,8 @@ def combined(suffixes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         return suffixes, np.zeros(0, np.int64)
     keys = np.zeros((len(suffixes) + 1 >> 1, suffixes.shape[1]), np.int64)
     for k, ids in enumerate(suffixes):
-        keys[k >> 1] = keys[k >> 1] * (width + 1) + ids + 1
+        keys[k >> 1] *= width + 1
+        keys[k >> 1] += ids + 1
     order = np.lexsort(keys[::-1])
     keys = keys[:, order]
     first = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0))))
@@ -144,7 +145,7 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[Chunk]:
         for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             waiting.setdefault(lang, []).append(text)
             held[lang] += len(text)
-            if held[lang] >= size or held.total() >= 4 * size:
+            if held[lang] >= size or held.total() >= 2 * size:
                 fullest = max(held, key=held.__getitem__)
                 yield Chunk.of(fullest, waiting.pop(fullest))
                 del held[fullest]
@@ -172,7 +173,7 @@ def prefix_lengths(suffixes: np.ndarray, over: np.ndarray) -> np.ndarray:
 
     ``over`` tells for every number whether its word is over budget.
     """
-    lengths = np.ones(suffixes.shape[1], np.int64)
+    lengths = np.ones(suffixes.shape[1], np.int8)
     for k in range(len(suffixes) - 1):
         lengths += (lengths == k + 1) & (suffixes[k] >= 0) & over[suffixes[k]]
     return lengths
