@@ -12,8 +12,8 @@ paragraphs and "/" between sections.
 
 from __future__ import annotations
 
-import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,11 +77,20 @@ def likeness(left: str | Column, right: str | Column) -> Column:
     below it by a share of their leaves.
     """
     left, right = (F.col(c) if isinstance(c, str) else c for c in (left, right))
-    a, b = _phrases(left), _phrases(right)
-    phrases = _share(F.array_distinct(a), F.array_distinct(b))
-    neighbours = _share(F.array_distinct(_neighbours(a)), F.array_distinct(_neighbours(b)))
-    most = 1 - 1 / (F.size(a) + F.size(b) + 1)
-    return F.when(left == right, F.lit(1.0)).otherwise(F.least((phrases + neighbours) / 2, most))
+
+    def compared(leaves: Column) -> Column:
+        most = 1 - 1 / (F.size(leaves["a"]) + F.size(leaves["b"]) + 1)
+        sets = F.struct(
+            F.array_distinct(leaves["a"]).alias("a"),
+            F.array_distinct(leaves["b"]).alias("b"),
+            F.array_distinct(_neighbours(leaves["a"])).alias("na"),
+            F.array_distinct(_neighbours(leaves["b"])).alias("nb"),
+        )
+        shared = _once(sets, lambda x: (_share(x["a"], x["b"]) + _share(x["na"], x["nb"])) / 2)
+        return F.least(shared, most)
+
+    leaves = F.struct(_phrases(left).alias("a"), _phrases(right).alias("b"))
+    return F.when(left == right, F.lit(1.0)).otherwise(_once(leaves, compared))
 
 
 def changed_paragraphs(left: str | Column, right: str | Column) -> Column:
@@ -198,14 +207,20 @@ def _parent(children: Column) -> Column:
 
 
 def _phrases(fingerprint: Column) -> Column:
+    """The leaves in order, as numbers."""
     short = F.substring_index(fingerprint, ":", -1)
-    return F.regexp_extract_all(short, F.lit(f"[0-9a-f]{{{SHORT}}}"), F.lit(0))
+    return F.transform(F.regexp_extract_all(short, F.lit(f"[0-9a-f]{{{SHORT}}}"), F.lit(0)), lambda x: F.xxhash64(x))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _neighbours(phrases: Column) -> Column:
     """Every phrase after the one before it, from the beginning to the end."""
-    ends = F.array(F.lit(""))
-    return F.zip_with(F.concat(ends, phrases), F.concat(phrases, ends), lambda a, b: F.concat(a, F.lit(">"), b))
+    ends = F.array(F.lit(0).cast("bigint"))
+    return F.zip_with(F.concat(ends, phrases), F.concat(phrases, ends), lambda a, b: F.xxhash64(a, b))
 
 
 def _share(a: Column, b: Column) -> Column:
@@ -266,14 +281,23 @@ def _edges(rows: DataFrame) -> list[tuple[int | None, int]]:
     return edges
 
 
+def _number(named: tuple[str, int | None]) -> str:
+    name, value = named
+    return f"{name}, CAST({'NULL' if value is None else repr(str(value))} AS BIGINT)"
+
+
 def _block_of(place: Column, edges: list[tuple[int | None, int]]) -> Column:
     """How many edges are at or below a place, by two looks at about their root."""
     if not edges:
         return F.lit(0)
     step = math.isqrt(len(edges) - 1) + 1
-    kind = "array<struct<id:bigint,h:bigint>>"
+    # Constants of the plan, so that no row computes them.
     every, tops = (
-        F.from_json(F.lit(json.dumps([{"id": i, "h": h} for i, h in chosen])), kind) for chosen in (edges, edges[::step])
+        F.expr(f"array({', '.join(f'named_struct({_number(i)}, {_number(h)})' for i, h in chosen)})")
+        for chosen in (
+            [(("'id'", i), ("'h'", h)) for i, h in edges],
+            [(("'id'", i), ("'h'", h)) for i, h in edges[::step]],
+        )
     )
     begin = F.greatest(F.size(F.filter(tops, lambda e: e <= place)) - 1, F.lit(0)) * step
     return begin + F.size(F.filter(F.slice(every, begin + 1, F.lit(step)), lambda e: e <= place))
