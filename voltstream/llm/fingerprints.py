@@ -240,7 +240,10 @@ def _with_next(rows: DataFrame) -> DataFrame:
     edges = _edges(rows)
     placed = rows.withColumn("block", _block_of(place, edges))
     order = Window.partitionBy("block").orderBy(F.asc_nulls_first("id"), "h", "text")
-    linked = placed.withColumns({"before": F.lag(F.struct("text", "fingerprint")).over(order)})
+    # Two columns, not one of both: that would be made, and shuffled, beside them.
+    linked = placed.withColumns(
+        {"next_text": F.lag("text").over(order), "next_fingerprint": F.lag("fingerprint").over(order)}
+    )
     # The highest places first, which are numbers, then the texts that stand there. One
     # row per block, so they may be sent out, and one task may find the block below each.
     highest = placed.groupBy("block").agg(F.max(F.struct("id", "h")).alias("top")).select("block", "top.*")
@@ -250,11 +253,14 @@ def _with_next(rows: DataFrame) -> DataFrame:
     every = below.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     tops = texts.withColumn("top", F.coalesce(F.lag("top").over(below), F.last("top").over(every)))
     tops = tops.withColumn("tree", merkle_tree("top")).select(
-        "block", F.struct(F.col("top").alias("text"), fingerprint_of(F.col("tree")).alias("fingerprint")).alias("under")
+        "block", "top", fingerprint_of(F.col("tree")).alias("top_fingerprint")
     )
-    joined = linked.join(tops, "block").withColumn("next", F.coalesce("before", "under"))
-    return joined.select(
-        "id", "text", "fingerprint", F.col("next.text").alias("next_text"), F.col("next.fingerprint").alias("next_fingerprint")
+    return linked.join(tops, "block").select(
+        "id",
+        "text",
+        "fingerprint",
+        F.coalesce("next_text", "top").alias("next_text"),
+        F.coalesce("next_fingerprint", "top_fingerprint").alias("next_fingerprint"),
     )
 
 
