@@ -19,7 +19,7 @@ from voltstream.llm import quality as quality_model
 from voltstream.llm import toxicity as toxicity_model
 from voltstream.llm.common import DOCUMENT, prepared, settled
 from voltstream.llm.jaccard import jaccard_join
-from voltstream.llm.learning import labelled_sample
+from voltstream.llm.learning import labelled_sample, learnt
 from voltstream.llm.mixing import mix
 from voltstream.llm.packing import pack
 
@@ -43,7 +43,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     warning says so.
     """
     t = toxicity_model
-    field = t.train(*labelled_sample(docs, _labels(spark, sf_dir), "toxic", t.FOLDS, t.HELD_OUT))
+    field = learnt(t.train, labelled_sample(docs, _labels(spark, sf_dir), "toxic", t.FOLDS, t.HELD_OUT))
     if field is None:
         log.warning("no labels of both kinds: no document is rejected as toxic")
     scored = t.score_documents(docs, field, keep=DOCUMENT)
@@ -58,7 +58,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     warning says so.
     """
     q = quality_model
-    machine = q.train(*labelled_sample(docs, _labels(spark, sf_dir), "quality", q.FOLDS, q.HELD_OUT))
+    machine = learnt(q.train, labelled_sample(docs, _labels(spark, sf_dir), "quality", q.FOLDS, q.HELD_OUT))
     if machine is None:
         log.warning("no labels of both kinds: no document is rejected for its quality")
     scored = q.score_documents(docs, machine, keep=DOCUMENT)

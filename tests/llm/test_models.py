@@ -1,14 +1,16 @@
 import itertools
+import os
 import random
 import re
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from voltstream.llm import quality, toxicity
-from voltstream.llm.learning import Scores, logistic
+from voltstream.llm.learning import Scores, labelled_sample, learnt, logistic
 from voltstream.llm.licenses import ERRORS, NOTICES, PHRASES, Scanner, scan_licenses, scan_text
 from voltstream.llm.mixing import distribution, mix, rates
 
@@ -198,3 +200,32 @@ def test_mixing_of_odd_tables(spark):
     copies = [r.copy for r in rows if r.doc_id == 1]
     assert len(copies) % 2 == 0 and {r.doc_id for r in rows} == {None, 1}
     assert mix(frame.where("false")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "model, label, stage", [(toxicity, "toxic", corpus_pipeline.drop_toxic), (quality, "quality", corpus_pipeline.keep_quality)]
+)
+def test_models_are_learnt_in_one_task_and_not_in_the_driver(spark, tables, tmp_path, monkeypatch, model, label, stage):
+    def seen(texts, labels):
+        (tmp_path / str(os.getpid())).write_text(f"{len(texts)} {len(labels)} {sorted(set(labels.tolist()))}")
+
+    documents, labels = (spark.read.parquet(f"{tables}/{name}.parquet") for name in ("documents", "labels"))
+    known = labels.where(F.col(label).isNotNull() & ~(F.crc32(F.col("doc_id").cast("string")) % model.FOLDS == model.HELD_OUT))
+    n = known.join(documents.where("length(text) <= 20000 OR text IS NULL"), "doc_id").select("doc_id").distinct().count()
+    monkeypatch.setattr(model, "train", seen)
+    operator = toxicity.toxicity if model is toxicity else quality.quality
+    for run in (lambda: operator(documents, labels), lambda: stage(spark, documents, tables)):
+        run()
+        (found,) = tmp_path.iterdir()
+        assert found.name != str(os.getpid()) and found.read_text() == f"{n} {n} [0.0, 1.0]"
+        found.unlink()
+
+
+def test_a_model_learns_in_the_order_of_keys_however_the_table_is_stored(spark):
+    rows = [(n, f"text {n}", n % 2) for n in (7, 3, 12, 5, 9)]
+    documents = spark.createDataFrame([r[:2] for r in rows], "doc_id BIGINT, text STRING").repartition(4)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id BIGINT, toxic INT")
+    sample = labelled_sample(documents, labels, "toxic", 100, 99)
+    texts, answers = learnt(lambda texts, labels: (texts, labels), sample)
+    assert texts == [f"text {n}" for n in (3, 5, 7, 9, 12)] and answers.tolist() == [1, 1, 1, 1, 0]
+    assert learnt(toxicity.train, sample.where("false")) is None

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import pickle
 import zlib
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltstream.llm.common import text_or_empty
 
 # About this many labelled texts are learnt from, none longer than this. Both bound what the
-# driver holds.
+# task that learns holds.
 SAMPLE_ROWS = 8000
 SAMPLE_CHARS = 20_000
 _PARTS = 1 << 30
 
+Model = TypeVar("Model")
+
 
 def in_fold(key: str, folds: int, fold: int) -> Column:
     """Whether crc32 of the key as text, modulo ``folds``, is ``fold``; not for null keys."""
@@ -32,8 +38,8 @@ def labelled_sample(
     key: str = "doc_id",
     text: str = "text",
     chars: int = SAMPLE_CHARS,
-) -> tuple[list[str], np.ndarray]:
-    """Texts and 0/1 labels of a sample of about ``rows`` documents, in the order of their keys.
+) -> DataFrame:
+    """Key, text and 0/1 label of a sample of about ``rows`` documents.
 
     Never from the held-out fold. A document is in the sample by the hash of its key, so
     the sample is the same however the tables are stored. Null labels, null keys and
@@ -48,14 +54,30 @@ def labelled_sample(
     share = F.pmod(F.xxhash64(F.lit(label), key), F.lit(_PARTS)) < int(_PARTS * min(1.0, rows / max(count, 1)))
     chosen = known.where(share).select(F.col(key).alias("_key"), "label")
     # About ``rows`` pairs of two numbers, so a bounded broadcast.
-    wanted = (
+    return (
         documents.select(F.col(f"`{key}`").alias("_key"), text_or_empty(F.col(f"`{text}`")).alias("text"))
         .join(F.broadcast(chosen), "_key")
         .where(F.length("text") <= chars)
         .dropDuplicates(["_key"])
+        .select("_key", "text", "label")
     )
-    found = sorted(wanted.select("_key", "text", "label").toPandas().itertuples(index=False))
-    return [r.text for r in found], np.array([r.label for r in found], np.float64)
+
+
+def learnt(train: Callable[[list[str], np.ndarray], Model], sample: DataFrame) -> Model:
+    """What ``train`` makes of the texts and labels of a sample, in the order of their keys.
+
+    It runs in one task, as the sample is bounded; the driver gets the model alone, and
+    neither the sample nor the memory that learning takes.
+    """
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        model = train([text for _, text, _ in found], np.array([label for *_, label in found], np.float64))
+        yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # Spark may run no task for an empty sample.
+    models = sample.repartition(1).mapInArrow(fit, "model BINARY").collect()
+    return pickle.loads(models[0]["model"]) if models else train([], np.zeros(0))
 
 
 def word_hash(word: str) -> int:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltstream.llm.common import identified, kept_ddl, named, record_batch, with_kept
-from voltstream.llm.learning import Scores, in_fold, labelled_sample, logistic, word_hash
+from voltstream.llm.learning import Scores, in_fold, labelled_sample, learnt, logistic, word_hash
 
 BITS, RANK = 16, 8
 FOLDS, HELD_OUT = 4, 2
@@ -200,7 +200,7 @@ def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     Adds ``held_out`` to the columns of ``score_documents``; a null doc_id is in no fold.
     """
-    machine = train(*labelled_sample(documents, labels, "quality", FOLDS, HELD_OUT))
+    machine = learnt(train, labelled_sample(documents, labels, "quality", FOLDS, HELD_OUT))
     return score_documents(documents, machine).withColumn(
         "held_out", in_fold("doc_id", FOLDS, HELD_OUT)
     )

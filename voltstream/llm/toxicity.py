@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltstream.llm.common import identified, kept_ddl, named, record_batch, with_kept
-from voltstream.llm.learning import Scores, fit_logistic, in_fold, labelled_sample, logistic, word_hash
+from voltstream.llm.learning import Scores, fit_logistic, in_fold, labelled_sample, learnt, logistic, word_hash
 
 log = logging.getLogger(__name__)
 
@@ -66,7 +66,7 @@ def train(
 
     Words are labelled by all texts of the two thirds. The field then learns from every
     window of ``WINDOW`` words with a toxic one, and from ``clean_windows`` of those of
-    clean documents, drawn at random: they bound the driver's memory. None if the sample
+    clean documents, drawn at random: they bound the memory of the task. None if the sample
     lacks either class; of fewer than three documents of a class the curve sees
     those the field was trained on, with a warning.
     """
@@ -225,7 +225,7 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
     Adds ``held_out`` to the columns of ``score_documents``; a null doc_id is in no fold.
     """
-    field = train(*labelled_sample(documents, labels, "toxic", FOLDS, HELD_OUT))
+    field = learnt(train, labelled_sample(documents, labels, "toxic", FOLDS, HELD_OUT))
     return score_documents(documents, field).withColumn(
         "held_out", in_fold("doc_id", FOLDS, HELD_OUT)
     )
