@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from voltstream import queries
 from voltstream.functions.measures import total
 from voltstream.operators.windows import bounds, sessions, tumble
 from voltstream.plans.windowed import (
@@ -454,3 +455,14 @@ def test_timers_close_clock_windows_of_a_silent_source(spark, inbox, event_quart
         query.stop()
     assert rows(emitted().select("event_type", "rows", "value", "value_count")) == expected
     assert {(r.window_end - r.window_start).total_seconds() for r in emitted().collect()} == {2}
+
+
+def test_each_quarter_of_the_late_records_is_a_batch_of_several_tasks(spark, tables, monkeypatch):
+    """Every task writes a file of the late records it has found."""
+    made, plain = [], queries.fresh_dir
+    monkeypatch.setattr(queries, "fresh_dir", lambda spark, label: made.append((label, plain(spark, label))) or made[-1][1])
+    queries.stream_late_records(spark, tables).count()
+    rejects = dict(made)["rejects"]
+    files = {n: sorted(f for f in os.listdir(f"{rejects}/batch_id={n}") if f.startswith("part-")) for n in range(4)}
+    assert sorted(os.listdir(rejects)) == [f"batch_id={n}" for n in range(4)]
+    assert len(files[2]) > 1 and len(files[3]) > 1

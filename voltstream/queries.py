@@ -538,25 +538,29 @@ def stream_dead_letters(spark, sf_dir):
 
 
 def stream_late_records(spark, sf_dir):
-    """Four quarters of the events, the last one second: windows, and late records one by one."""
+    """Four quarters of the events, the last one second: windows, and late records one by one.
+
+    A quarter is a batch of its own: the intake stops and resumes between them, so a batch
+    may have any number of files, and each is taken in on all cores.
+    """
     path, frame = fresh_dir(spark, "event-quarters"), events(spark, sf_dir)
     quarter = frame.agg(F.max("event_id") + 1).first()[0] / 4
+    folder, intake, files = fresh_dir(spark, "rejects"), fresh_dir(spark, "intake"), spark.sparkContext.defaultParallelism
     for n in (0, 3, 2, 1):
         part = frame.where(F.floor(F.col("event_id") / F.lit(quarter)) == n)
-        part.coalesce(1).write.mode("append").parquet(path)
-    texts = parquet_table(spark, path, EVENTS, stream=True, maxFilesPerTrigger="1").select(
-        F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Fecha"))).alias("value")
-    )
-    folder = fresh_dir(spark, "rejects")
-    taken = take_in(
-        texts,
-        "event_id BIGINT, Fecha STRING",
-        fresh_dir(spark, "intake"),
-        json_folder(folder, native=False),
-        time="Fecha",
-        late=Lateness("10 minutes", "1 minute"),
-        to_end=True,
-    )
+        part.repartition(files).write.mode("append").parquet(path)
+        texts = parquet_table(spark, path, EVENTS, stream=True).select(
+            F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Fecha"))).alias("value")
+        )
+        taken = take_in(
+            texts,
+            "event_id BIGINT, Fecha STRING",
+            intake,
+            json_folder(folder, native=False),
+            time="Fecha",
+            late=Lateness("10 minutes", "1 minute"),
+            to_end=True,
+        )
     end = EndOfInput(spark)
     records = with_event_time(end.mark(taken.records, "ts_ltz"), F.col("ts_ltz"))
     windows = run_to_end(bounds(tumble(records, "ts_ltz", "10 minutes", {"n": F.count("*")})), flush=end)
