@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from voltstream.llm import quality as quality_model
 from voltstream.llm import toxicity as toxicity_model
-from voltstream.llm.common import DOCUMENT, prepared, settled
+from voltstream.llm.common import DOCUMENT, discard, prepared, settled
 from voltstream.llm.jaccard import jaccard_join
 from voltstream.llm.learning import labelled_sample, learnt
 from voltstream.llm.mixing import mix
@@ -129,7 +129,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents, each result written and read again."""
     docs = prepared(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = settled(stage(spark, docs, sf_dir), name)
+        before, docs = docs, settled(stage(spark, docs, sf_dir), name)
+        discard(before)
     return docs
 
 

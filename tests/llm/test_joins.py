@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 import voltstream.llm.embeddings as embeddings
 import voltstream.llm.jaccard as jaccard
 from voltstream.llm.components import components
+from voltstream.streaming import workdir
 
 
 def closure(nodes, links):
@@ -90,6 +92,62 @@ def test_jaccard_join_of_odd_tables(spark):
     assert jaccard.jaccard_join(frame.where("false")).collect() == []
 
 
+def dealt_rows(monkeypatch):
+    """How many texts each call of the tree join is dealt, from now on."""
+    rows, real = [], jaccard._tree_links
+    monkeypatch.setattr(jaccard, "_tree_links", lambda dealt, *a: (rows.append(dealt.count()), real(dealt, *a))[1])
+    return rows
+
+
+def test_what_hangs_together_by_a_passage_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Short texts with a passage in common are one cluster; almost none is similar to another."""
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    dealt = dealt_rows(monkeypatch)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefg", k=5))
+    passage, rows = [word() for _ in range(12)], []
+    for n in range(300):
+        own = [word() for _ in range(12)]
+        rows.append((n, " ".join(own[:6] + passage + own[6:])))
+    rows += [(300 + n, rows[7 * n][1] + " " + word()) for n in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert {tuple(r) for r in jaccard.jaccard_join(frame.repartition(3)).collect()} == brute_jaccard(rows)
+    assert sum(dealt) < 60
+
+
+def test_pairs_of_blocks_are_dealt_in_turns(spark, monkeypatch):
+    """A family around the threshold is many pairs of blocks: at once go about as many texts as there are."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "PIVOTS", 1)
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", 1)
+    dealt = dealt_rows(monkeypatch)
+    rows = near_copies(60, 9)
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert {tuple(r) for r in jaccard.jaccard_join(frame.repartition(3)).collect()} == brute_jaccard(rows)
+    assert sum(dealt) > 300 and max(dealt) < 180
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+def test_every_slice_of_a_large_cluster_counts(spark, monkeypatch, slices):
+    """All documents in one large cluster: their elements are taken in by parts, rows of one id together."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "FEW", 4)
+    monkeypatch.setattr(jaccard, "SAMPLED", slices)
+    rows = [(n, t) for n, t in near_copies(30, 3) if n < 30]
+    frame = spark.createDataFrame([*rows, *rows[:9]], "doc_id BIGINT, text STRING")
+    assert {tuple(r) for r in jaccard.jaccard_join(frame.repartition(3)).collect()} == brute_jaccard(rows)
+
+
+def test_large_intermediate_tables_do_not_stay(spark):
+    made = workdir._made[spark.conf.get("spark.app.id")]
+    before = set(made)
+    frame = spark.createDataFrame(near_copies(20, 2), "doc_id BIGINT, text STRING")
+    assert jaccard.jaccard_join(frame).count() == 50
+    left = {os.path.basename(f).rsplit("-", 1)[0] for f in set(made) - before}
+    assert "components" in left
+    assert left.isdisjoint({"sets", "distinct-sets", "prefixes", "candidates", "elements", "tasks"})
+
+
 def test_signature_tree_loses_no_link():
     rng = random.Random(6)
     for _ in range(40):

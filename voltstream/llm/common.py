@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import weakref
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltstream.session import ship_package, use_utc
-from voltstream.streaming.workdir import fresh_dir
+from voltstream.streaming.workdir import fresh_dir, remove_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Fixed value: Spark's own default.
 DEFAULT_ROWS = "10000"
@@ -16,6 +19,8 @@ DEFAULT_ROWS = "10000"
 # Fixed value: the columns of the documents table.
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def prepared(spark: SparkSession) -> SparkSession:
     """The session, with this package on the executors and Arrow batches of 1,000 rows.
@@ -33,11 +38,30 @@ def settled(frame: DataFrame, label: str) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a read, not the computation before it,
-    and a table used twice is computed once.
+    and a table used twice is computed once. The shuffle files of the write go when it is
+    over; otherwise they stay until the driver happens to collect its garbage.
+    """
+    spark = frame.sparkSession
+    path = fresh_dir(spark, label)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(frame.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``settled`` wrote for these tables.
+
+    Only once all that is made of them has itself been settled. Other frames are passed over.
     """
-    path = fresh_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    for table in tables:
+        if path := _folders.pop(table, None):
+            remove_dir(table.sparkSession, path)
 
 
 def text_or_empty(text: str | Column = "text") -> Column:

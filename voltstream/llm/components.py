@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import settled
+from voltstream.llm.common import discard, settled
 
 
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -15,8 +15,8 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     larger neighbours on the smallest one, then smaller ones likewise, until all hang on
     a root. Each step is a minimum per node, aggregated before its shuffle, and a join
     whose large partitions Spark may split, so a node may have any number of links.
-    Every step is written to the shared folder. Links with a null end or to themselves
-    are passed over.
+    Every step is written to the shared folder and replaces the one before. Links with a
+    null end or to themselves are passed over.
     """
     edges = settled(
         links.select(F.greatest(left, right).alias("a"), F.least(left, right).alias("b"))
@@ -43,7 +43,9 @@ def _hang_larger(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), F.least("a", "m").alias("m"))
     least = settled(least, "least")
-    return settled(edges.join(least, "b").select("a", F.col("m").alias("b")).distinct(), "links")
+    hung = settled(edges.join(least, "b").select("a", F.col("m").alias("b")).distinct(), "links")
+    discard(edges, least)
+    return hung
 
 
 def _hang_smaller(edges: DataFrame) -> DataFrame:
@@ -51,4 +53,6 @@ def _hang_smaller(edges: DataFrame) -> DataFrame:
     least = settled(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = least.select("a", F.col("m").alias("b"))
-    return settled(moved.unionByName(own).distinct(), "links")
+    hung = settled(moved.unionByName(own).distinct(), "links")
+    discard(edges, least)
+    return hung

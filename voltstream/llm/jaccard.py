@@ -7,9 +7,11 @@ Documents are sets of hashed word shingles. The join runs in steps:
    first ``n - ceil(t n) + 1`` of each, in any common order. The order here puts a
    quarter of all elements first, the rarest of them foremost, so a passage that many
    documents share brings no two of them together unless they hold little else.
-3. Connected candidates form clusters. In a large one every document is first held
-   against a few pivots; what hangs together then is one class. Clusters are dealt to
-   tasks in blocks, and pairs of blocks within a class are left out.
+3. Connected candidates form clusters. One of more than a few documents, which mostly hang
+   together by a few common elements each, is taken apart by prefixes of all its elements,
+   in the order of their counts within the cluster. In what is still large every document
+   is first held against a few pivots; what hangs together then is one class. Clusters are
+   dealt to tasks in blocks, and pairs of blocks within a class are left out.
 4. A task builds a signature tree over its documents: nodes hold the OR of their
    documents' token bitmaps and the range of their sizes. A dual traversal drops node
    pairs whose largest possible overlap is too small, and pairs already connected, and
@@ -18,7 +20,9 @@ Documents are sets of hashed word shingles. The join runs in steps:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import identified, record_batch, settled
+from voltstream.llm.common import discard, identified, record_batch, settled
 from voltstream.llm.components import components
 from voltstream.llm.learning import Scores
 
@@ -34,6 +38,8 @@ WORDS = 4
 PERCENT = 85
 # One shingle in so many comes first in the order of prefixes.
 SAMPLED = 4
+# Clusters of more documents are taken apart by all elements.
+FEW = 8
 # Documents per block of a cluster, and pivots of a cluster that has several blocks.
 BLOCK = 512
 PIVOTS = 16
@@ -99,18 +105,19 @@ def jaccard_join(
     # This side and others marked so grow with the documents, and are never sent out.
     known = copies.select("id", "digest").hint("merge")
     single = settled(usable.join(known, ["id", "digest"], "left_anti"), "distinct-sets")
-    clusters = settled(components(_candidates(single)), "clusters")
-    links = _verified(identified(frame, key, text), clusters, words, percent)
+    sizes = settled(sets.select("id", "n_shingles"), "sizes")
+    discard(sets, repeated)
+    prefixes = settled(_prefixes(single), "prefixes")
+    discard(single)
+    clusters = settled(components(_prefix_links(prefixes, "h")), "clusters")
+    discard(prefixes)
+    links = _verified(identified(frame, key, text), clusters, sizes, words, percent)
     linked = copies.select(F.col("id").alias("a"), F.col("first").alias("b")).unionByName(links)
     found = settled(components(linked), "components")
-    return (
-        sets.select("id", "n_shingles")
-        .join(found.hint("merge"), F.col("id") == F.col("node"), "left")
-        .select(
-            F.col("id").alias(key),
-            "n_shingles",
-            F.coalesce("component", "id").alias("component_id"),
-        )
+    return sizes.join(found.hint("merge"), F.col("id") == F.col("node"), "left").select(
+        F.col("id").alias(key),
+        "n_shingles",
+        F.coalesce("component", "id").alias("component_id"),
     )
 
 
@@ -149,17 +156,15 @@ def _sets(frame: DataFrame, key: str, text: str, words: int, percent: int) -> Da
     return identified(frame, key, text).mapInArrow(scan, ddl)
 
 
-def _candidates(sets: DataFrame) -> DataFrame:
-    """Links that connect all documents which share an element of their prefixes."""
-    rows = sets.select("id", F.explode("elements").alias("h"))
-    counts = rows.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    shared = rows.join(settled(counts, "shared-elements").hint("shuffle_hash"), "h")
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """The elements of each document's prefix that others share."""
+    shared = _shared(sets.select("id", F.explode("elements").alias("h")), "h")
     by_document = shared.groupBy("id").agg(F.collect_list(F.struct("df", "h")).alias("shared"))
     # At most as long as a document has elements.
     early = F.array_sort(F.filter("shared", lambda e: _early(e["h"])))
     late = F.filter("shared", lambda e: ~_early(e["h"]))
     unique = F.col("sampled") - F.size("early")
-    prefixes = (
+    return (
         sets.select("id", "prefix", "sampled")
         .join(by_document.hint("merge"), "id")
         .withColumn("early", early)
@@ -167,10 +172,19 @@ def _candidates(sets: DataFrame) -> DataFrame:
         .select("id", F.explode(F.concat(F.slice("early", F.lit(1), F.col("needed")), late)).alias("e"))
         .select("id", F.col("e.h").alias("h"))
     )
-    prefixes = settled(prefixes, "prefixes")
-    leaders = prefixes.groupBy("h").agg(F.min("id").alias("b"), F.count("*").alias("n"))
+
+
+def _shared(rows: DataFrame, *element: str) -> DataFrame:
+    """The rows of elements that others share, each with its count."""
+    counts = rows.groupBy(*element).agg(F.count("*").alias("df")).where("df > 1")
+    return rows.join(settled(counts, "shared-elements").hint("shuffle_hash"), list(element))
+
+
+def _prefix_links(prefixes: DataFrame, *element: str) -> DataFrame:
+    """Links that connect all documents which share an element of their prefixes."""
+    leaders = prefixes.groupBy(*element).agg(F.min("id").alias("b"), F.count("*").alias("n"))
     leaders = settled(leaders.where("n > 1").drop("n"), "leaders")
-    return prefixes.join(leaders, "h").where("id > b").select(F.col("id").alias("a"), "b").distinct()
+    return prefixes.join(leaders, list(element)).where("id > b").select(F.col("id").alias("a"), "b").distinct()
 
 
 def _early(element: Column) -> Column:
@@ -178,20 +192,23 @@ def _early(element: Column) -> Column:
     return element.bitwiseAND(F.lit(SAMPLED - 1)) == 0
 
 
-def _verified(texts: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(texts: DataFrame, clusters: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between candidates of one cluster that connect what is similar."""
-    members = settled(
-        texts.join(clusters.hint("merge"), texts["id"] == clusters["node"]).select("component", "id", "text"),
-        "candidates",
-    )
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")
-    large = settled(sizes.where(F.col("n") > BLOCK).select("component", blocks), "large-clusters")
+    members = settled(_members(texts, clusters), "candidates")
+    loose = settled(_large(clusters, FEW).select("component"), "loose-clusters")
+    if not loose.isEmpty():
+        clusters = _taken_apart(members, clusters, loose, sizes, words, percent)
+        rest = settled(_members(members.select("id", "text"), clusters), "candidates")
+        discard(members)
+        members = rest
+    large = settled(_large(clusters, BLOCK), "large-clusters")
     light = clusters.select("component", F.col("node").alias("id")).join(large.drop("parts"), "component")
     found = _pivot_links(members, large, light, words, percent)
     if found is None:
         dealt = members.withColumns({"low": F.lit(0), "high": F.lit(0), "class": F.col("id")})
-        return settled(_tree_links(dealt, words, percent), "links")
+        links = settled(_tree_links(dealt, words, percent), "links")
+        discard(members)
+        return links
     classes = components(found)
     classes = classes.withColumnRenamed("component", "class").hint("merge")
     placed = light.join(classes, F.col("id") == F.col("node"), "left").select(
@@ -219,13 +236,105 @@ def _verified(texts: DataFrame, clusters: DataFrame, words: int, percent: int) -
         .withColumn("block", number)
         .select("component", "id", "class", "block")
     )
-    light_tasks = settled(own_block.join(visits.hint("merge"), ["component", "block"]).drop("block"), "tasks")
-    big = members.join(light_tasks.hint("merge"), ["component", "id"])
+    own_block = settled(own_block, "own-blocks")
     small = members.join(large.drop("parts"), "component", "left_anti").withColumns(
         {"class": F.col("id"), "low": F.lit(0).cast("bigint"), "high": F.lit(0).cast("bigint")}
     )
-    tree = settled(_tree_links(small.unionByName(big), words, percent), "links")
-    return tree.unionByName(found)
+    trees = [found, settled(_tree_links(small, words, percent), "links")]
+    # A text is dealt once for every pair its block is in. What is dealt at once is about as
+    # much as all candidates, whatever the number of pairs.
+    times = visits.groupBy("component", "block").agg(F.count("*").alias("times"))
+    dealt = members.select("component", "id", "chars").join(own_block.join(times, ["component", "block"]), ["component", "id"])
+    moved = dealt.agg(F.sum(F.col("chars") * F.col("times"))).first()[0] or 0
+    turns = math.ceil(moved / (members.agg(F.sum("chars")).first()[0] or 1))
+    for turn in range(turns):
+        now = visits.where(F.pmod(F.xxhash64("low", "high"), F.lit(turns)) == turn)
+        tasks = settled(own_block.join(now.hint("merge"), ["component", "block"]).drop("block"), "tasks")
+        big = members.join(tasks.hint("merge"), ["component", "id"])
+        trees.append(settled(_tree_links(big, words, percent), "links"))
+        discard(tasks)
+    discard(members)
+    return reduce(DataFrame.unionByName, trees)
+
+
+def _members(texts: DataFrame, clusters: DataFrame) -> DataFrame:
+    return texts.join(clusters.hint("merge"), texts["id"] == clusters["node"]).select(
+        "component", "id", "text", F.length("text").alias("chars")
+    )
+
+
+def _large(clusters: DataFrame, least: int) -> DataFrame:
+    """Clusters of more documents than that, and how many blocks they are."""
+    sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
+    return sizes.where(F.col("n") > least).select("component", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+
+
+def _taken_apart(members, clusters, loose, sizes, words: int, percent: int) -> DataFrame:
+    """The clusters, those of many documents taken apart; no link is lost.
+
+    Similar documents are in one cluster, so they meet by prefix in any order of that
+    cluster's elements too. Here that is all elements, those that nobody shares first: a
+    document of which enough is its own drops out.
+    """
+    light = settled(clusters.join(loose, "component", "left_semi"), "light")
+    inside = members.join(loose, "component", "left_semi")
+    # As much at once as the sample of all documents' elements at most.
+    total = sizes.agg(F.sum("n_shingles")).first()[0]
+    own = sizes.join(light.hint("merge"), F.col("id") == F.col("node")).agg(F.sum("n_shingles")).first()[0]
+    slices = max(1, math.ceil(SAMPLED * own / total))
+    parts, documents = [], None
+    for n in range(slices):
+        elements = settled(_slice_of_sets(inside, n, slices, words, percent), "elements")
+        if documents is None:
+            documents = settled(elements.select("id", "n_shingles", "prefix").distinct(), "documents")
+        rows = elements.select("component", "id", F.explode("elements").alias("h"))
+        parts.append(settled(_shared(rows, "component", "h"), "shared"))
+        discard(elements)
+    by_document = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("component", "id")
+        .agg(F.array_sort(F.collect_set(F.struct("df", "h"))).alias("shared"))
+    )
+    needed = F.col("prefix") - F.col("n_shingles") + F.size("shared")
+    prefixes = (
+        documents.join(by_document.hint("merge"), "id")
+        .withColumn("needed", needed.cast("int"))
+        .where("needed > 0")
+        .select("component", "id", F.explode(F.slice("shared", F.lit(1), F.col("needed"))).alias("e"))
+        .select("component", "id", F.col("e.h").alias("h"))
+    )
+    prefixes = settled(prefixes, "prefixes")
+    discard(*parts, documents)
+    found = components(_prefix_links(prefixes, "component", "h"))
+    clusters = settled(clusters.join(loose, "component", "left_anti").unionByName(found.select("component", "node")), "clusters")
+    discard(prefixes)
+    return clusters
+
+
+def _slice_of_sets(members: DataFrame, number: int, slices: int, words: int, percent: int) -> DataFrame:
+    """Per document: size and prefix of its set, and those of its elements that are in a slice."""
+    types = {
+        "component": pa.int64(),
+        "id": pa.int64(),
+        "n_shingles": pa.int64(),
+        "prefix": pa.int64(),
+        "elements": pa.list_(pa.int64()),
+    }
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(words)
+        for batch in batches:
+            rows = []
+            for component, id_, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = shingles(text)
+                prefix = len(found) - -(-percent * len(found) // 100) + 1
+                own = found[found % np.uint64(slices) == number]
+                rows.append((component, id_, len(found), prefix, own.view(np.int64)))
+            columns = zip(*rows) if rows else ((),) * len(types)
+            yield record_batch(dict(zip(types, columns)), types)
+
+    ddl = "component BIGINT, id BIGINT, n_shingles BIGINT, prefix BIGINT, elements ARRAY<BIGINT>"
+    return members.select("component", "id", "text").mapInArrow(scan, ddl)
 
 
 def _pivot_links(members, large, light, words: int, percent: int) -> DataFrame | None:

@@ -31,13 +31,20 @@ def remove_made(spark: SparkSession) -> int:
     For a session that goes on after its results have been read. Frames that still
     read from those folders fail from then on.
     """
-    folders = _made.pop(spark.conf.get("spark.app.id", ""), [])
-    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
-    there = 0
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        there += bool(path.getFileSystem(hadoop).delete(path, True))
-    return there
+    return sum(_removed(spark, folder) for folder in _made.pop(spark.conf.get("spark.app.id", ""), []))
+
+
+def remove_dir(spark: SparkSession, folder: str) -> None:
+    """Delete one of the folders that ``fresh_dir`` gave this application."""
+    made = _made[spark.conf.get("spark.app.id", "")]
+    if folder in made:
+        made.remove(folder)
+        _removed(spark, folder)
+
+
+def _removed(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
 
 
 def job_dir(spark: SparkSession, job: str) -> str:
