@@ -25,10 +25,11 @@ from voltstream.queries import (
     plant_readings,
     type_means,
 )
-from voltstream.session import PROVIDER
+from voltstream.session import COUNT_STATE, PROVIDER
 from voltstream.sinks.base import Sink, fan_out
 from voltstream.sinks.files import csv_sink, parquet_sink
 from voltstream.sources.files import parquet_table
+from voltstream.streaming import run
 from voltstream.streaming.attributes import with_event_time, with_processing_time
 from voltstream.streaming.closing import EndOfInput
 from voltstream.streaming.late import LateRows, TooManyLateRows
@@ -466,3 +467,31 @@ def test_each_quarter_of_the_late_records_is_a_batch_of_several_tasks(spark, tab
     files = {n: sorted(f for f in os.listdir(f"{rejects}/batch_id={n}") if f.startswith("part-")) for n in range(4)}
     assert sorted(os.listdir(rejects)) == [f"batch_id={n}" for n in range(4)]
     assert len(files[2]) > 1 and len(files[3]) > 1
+
+
+@pytest.fixture
+def runs(monkeypatch):
+    """The stream runs that ``run_to_end`` starts."""
+    started = []
+    monkeypatch.setattr(run, "start", lambda *given, **named: started.append(start(*given, **named)) or started[-1])
+    return started
+
+
+def state_progress(queries):
+    return [operator for query in queries for progress in query.recentProgress for operator in progress.stateOperators]
+
+
+@pytest.mark.parametrize("own", [None, "true"])
+def test_a_run_to_its_end_does_not_count_its_state(spark, inbox, event_quarters, tables, runs, own):
+    """One look-up per key and batch is the aggregate's own; counting takes one more per write."""
+    spark.conf.set(COUNT_STATE, own) if own else spark.conf.unset(COUNT_STATE)
+    try:
+        emitted = run_to_end(type_means(watched(inbox.add(*event_quarters).stream())))
+        assert spark.conf.get(COUNT_STATE, None) == own
+    finally:
+        spark.conf.unset(COUNT_STATE)
+    operators = state_progress(runs)
+    updated = sum(operator.numRowsUpdated for operator in operators)
+    looked_up = sum(operator.customMetrics["rocksdbGetCount"] for operator in operators)
+    assert updated > 0 and looked_up == updated if own is None else looked_up > updated
+    assert rows(emitted) == rows(closed(type_means(events(spark, tables)), events(spark, tables)))

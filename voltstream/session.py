@@ -27,6 +27,8 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
+# To keep the number of state rows, RocksDB looks every key up before it writes or removes it.
+COUNT_STATE = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
