@@ -495,3 +495,38 @@ def test_a_run_to_its_end_does_not_count_its_state(spark, inbox, event_quarters,
     looked_up = sum(operator.customMetrics["rocksdbGetCount"] for operator in operators)
     assert updated > 0 and looked_up == updated if own is None else looked_up > updated
     assert rows(emitted) == rows(closed(type_means(events(spark, tables)), events(spark, tables)))
+
+
+ODD_EVENTS = [
+    (1, "2024-01-01 10:00:00", 1, 1.25),
+    (1, "2024-01-01 10:00:00", 1, 1.25),
+    (2, "2024-01-01 10:20:00", 1, None),
+    (3, "2024-01-01 10:51:00", 1, 2.5),
+    (4, "2024-01-01 10:05:00", None, 3.75),
+    (5, "2024-01-01 10:15:00", None, None),
+    (6, None, 2, 4.0),
+    (None, "2024-01-01 12:00:00", 3, None),
+]
+
+
+@pytest.mark.parametrize("given", [ODD_EVENTS, []])
+def test_odd_sessions_are_closed_within_one_run(spark, tmp_path, runs, given):
+    """A second run would load the state again. Null keys, times and values, rows that come twice; no rows."""
+    columns = "event_id BIGINT, ts STRING, user_id BIGINT, value DOUBLE"
+    table = spark.createDataFrame(given, columns).withColumn("ts", F.col("ts").cast("timestamp"))
+    table.coalesce(1).write.parquet(str(tmp_path / "in"))
+    end = EndOfInput(spark)
+    stream = end.mark(spark.readStream.schema(table.schema).parquet(str(tmp_path / "in")), "ts")
+    emitted = run_to_end(queries.user_sessions(with_event_time(stream, F.col("ts"), "ts")), flush=end)
+    found = sorted(map(str, emitted.collect()))
+    assert found == sorted(map(str, queries.user_sessions(table).collect())) and len(found) == (4 if given else 0)
+    assert len(runs) == 1 and not runs[0].isActive
+
+
+def test_a_run_that_fails_before_its_end_is_over(spark, inbox, event_quarters, runs):
+    end = EndOfInput(spark)
+    marked = end.mark(inbox.add(event_quarters[0]).stream(), "ts")
+    broken = marked.withColumn("value", F.raise_error(F.lit("broken")).cast("double"))
+    with pytest.raises(StreamingQueryException, match="broken"):
+        run_to_end(type_means(watched(broken)), flush=end)
+    assert [query.isActive for query in runs] == [False]
