@@ -92,6 +92,15 @@ def test_jaccard_join_of_odd_tables(spark):
     assert jaccard.jaccard_join(frame.where("false")).collect() == []
 
 
+def test_jaccard_join_of_ids_with_blank_and_missing_texts(spark):
+    """Rows of one id are one document with the links of all its texts, whatever else it has."""
+    base = " ".join(f"w{n}" for n in range(40))
+    texts = [(1, base), (2, base + " x"), (2, None), (2, " "), (3, "other words only here"), (3, base + " y"), (4, ""), (None, base), (5, None)]
+    frame = spark.createDataFrame(texts, "doc_id BIGINT, text STRING")
+    got = sorted(map(tuple, jaccard.jaccard_join(frame).collect()), key=repr)
+    assert got == sorted([(1, 37, 1), (2, 38, 1), (2, 0, 1), (2, 0, 1), (3, 1, 1), (3, 38, 1), (4, 0, 4), (None, 37, None), (5, 0, 5)], key=repr)
+
+
 def dealt_rows(monkeypatch):
     """How many texts each call of the tree join is dealt, from now on."""
     rows, real = [], jaccard._tree_links
@@ -148,6 +157,28 @@ def test_large_intermediate_tables_do_not_stay(spark):
     assert left.isdisjoint({"sets", "distinct-sets", "prefixes", "candidates", "elements", "tasks"})
 
 
+def test_a_tree_compares_many_nodes_at_once(monkeypatch):
+    """A block of texts with a passage in common, each its own: calls, not pairs, take the time."""
+    rng, seen, real = random.Random(8), [], jaccard.Level.may_link
+    monkeypatch.setattr(jaccard.Level, "may_link", lambda self, left, *a: (seen.append(len(left)), real(self, left, *a))[1])
+    passage = rng.sample(range(1 << 62), 40)
+    sets = [(n, n, np.array(sorted(passage + rng.sample(range(1 << 62), 60)), np.uint64)) for n in range(300)]
+    assert jaccard.tree_join(sets, 85) == []
+    assert sum(seen) > 10_000 and len(seen) < sum(seen) / 100
+
+
+def test_tree_join_of_odd_documents():
+    """Empty sets, texts of one id, documents already of one class, fewer documents than a node has children."""
+    few, other = np.arange(1, 21, dtype=np.uint64) << np.uint64(40), np.arange(30, 50, dtype=np.uint64) << np.uint64(40)
+    empty = np.zeros(0, np.uint64)
+    assert jaccard.tree_join([(1, 1, few)], 85) == []
+    assert jaccard.tree_join([(1, 1, empty), (2, 2, empty), (3, 3, few)], 85) == []
+    assert jaccard.tree_join([(2, 2, few), (1, 1, few[:18]), (3, 3, few[:16])], 85) in ([(2, 1), (3, 1)], [(3, 1), (2, 1)])
+    assert jaccard.tree_join([(1, 1, few), (2, 1, few), (3, 3, other), (3, 3, empty)], 85) == []
+    assert len(jaccard.tree_join([(n, n // 10, few) for n in range(30)], 85)) == 2
+    assert jaccard.tree_join([(4, 4, few), (4, 5, few)], 85) == []
+
+
 def test_signature_tree_loses_no_link():
     rng = random.Random(6)
     for _ in range(40):

@@ -13,9 +13,9 @@ Documents are sets of hashed word shingles. The join runs in steps:
    is first held against a few pivots; what hangs together then is one class. Clusters are
    dealt to tasks in blocks, and pairs of blocks within a class are left out.
 4. A task builds a signature tree over its documents: nodes hold the OR of their
-   documents' token bitmaps and the range of their sizes. A dual traversal drops node
-   pairs whose largest possible overlap is too small, and pairs already connected, and
-   verifies the others on the exact sets.
+   documents' token bitmaps and the range of their sizes. A dual traversal, which compares
+   the children of several node pairs at a time, drops pairs whose largest possible overlap
+   is too small, and documents already connected, and verifies the others on the exact sets.
 """
 
 from __future__ import annotations
@@ -47,6 +47,8 @@ PIVOT_ROUNDS = 3
 # The signature tree.
 BITS = 4096
 FANOUT = 8
+# Pairs of nodes whose children are compared at once.
+PAIRS = 8
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -440,33 +442,58 @@ def _tree_links(dealt: DataFrame, words: int, percent: int) -> DataFrame:
     return spread.mapInArrow(join, "a BIGINT, b BIGINT")
 
 
-class Node:
-    """Part of a signature tree: bitmap, sizes, and how far bitmaps undercount."""
+class Level:
+    """The nodes of one level of a signature tree: bitmaps, sizes, and how far bitmaps undercount."""
 
-    def __init__(self, children: list[Node] | None, document: int = -1, elements: np.ndarray | None = None):
-        self.children, self.document = children or [], document
-        if children:
-            self.bitmap = np.bitwise_or.reduce([c.bitmap for c in children])
-            self.least = min(c.least for c in children)
-            self.most = max(c.most for c in children)
-            self.excess = max(c.excess for c in children)
-        else:
+    def __init__(self, bitmaps: np.ndarray, least: np.ndarray, most: np.ndarray, excess: np.ndarray):
+        self.bitmaps, self.least, self.most, self.excess = bitmaps, least, most, excess
+
+    def __len__(self) -> int:
+        return len(self.least)
+
+    @classmethod
+    def of_sets(cls, sets: list[np.ndarray]) -> Level:
+        """The lowest level: a node for each set."""
+        bitmaps = np.zeros((len(sets), BITS // 64), np.uint64)
+        for n, elements in enumerate(sets):
             bits = np.zeros(BITS, bool)
             bits[(elements >> np.uint64(20)) % np.uint64(BITS)] = True
-            self.bitmap = np.packbits(bits).view(np.uint64)
-            self.least = self.most = len(elements)
-            self.excess = len(elements) - int(bits.sum())
+            bitmaps[n] = np.packbits(bits).view(np.uint64)
+        sizes = np.array([len(elements) for elements in sets], np.int64)
+        return cls(bitmaps, sizes, sizes, sizes - np.bitwise_count(bitmaps).sum(axis=1, dtype=np.int64))
+
+    def above(self) -> Level:
+        """The next level: a node for every few of this one."""
+        starts = np.arange(0, len(self), FANOUT)
+        return Level(
+            np.bitwise_or.reduceat(self.bitmaps, starts),
+            np.minimum.reduceat(self.least, starts),
+            np.maximum.reduceat(self.most, starts),
+            np.maximum.reduceat(self.excess, starts),
+        )
 
-    def may_link(self, other: Node, percent: int) -> bool:
-        """Whether the largest possible overlap suffices for any two documents.
+    def pairs_below(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of this level's nodes below pairs of the next level's, each once."""
+        step = np.arange(FANOUT)
+        left, right = np.broadcast_arrays((left[:, None] * FANOUT + step)[:, :, None], (right[:, None] * FANOUT + step)[:, None])
+        kept = (left <= right) & (right < len(self))
+        return left[kept], right[kept]
+
+    def may_link(self, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+        """Of which pairs the largest possible overlap suffices for any two documents.
 
         An intersection has at most the common bits, plus what shares a bit.
         """
-        if 100 * self.most < percent * other.least or 100 * other.most < percent * self.least:
-            return False
-        common = int(np.bitwise_count(self.bitmap & other.bitmap).sum())
-        overlap = min(common + min(self.excess, other.excess), self.most, other.most)
-        return overlap >= required(self.least, other.least, percent)
+        fits = 100 * self.most[left] >= percent * self.least[right]
+        fits &= 100 * self.most[right] >= percent * self.least[left]
+        left, right = left[fits], right[fits]
+        common = self.bitmaps[left]
+        common &= self.bitmaps[right]
+        common = np.bitwise_count(common).sum(axis=1, dtype=np.int64)
+        overlap = common + np.minimum(self.excess[left], self.excess[right])
+        overlap = np.minimum(overlap, np.minimum(self.most[left], self.most[right]))
+        fits[fits] = overlap >= required(self.least[left], self.least[right], percent)
+        return fits
 
 
 def tree_join(documents: list[tuple[int, int, np.ndarray]], percent: int) -> list[tuple[int, int]]:
@@ -474,45 +501,40 @@ def tree_join(documents: list[tuple[int, int, np.ndarray]], percent: int) -> lis
 
     Documents of one class are connected already.
     """
-    order = sorted(range(len(documents)), key=lambda n: tuple(documents[n][2][:3].tolist()))
-    level = [Node(None, n, documents[n][2]) for n in order]
-    parent: dict[tuple, tuple] = {}
-
-    def root(item: tuple) -> tuple:
-        while parent.setdefault(item, item) != item:
-            parent[item] = item = parent[parent[item]]
-        return item
-
-    names = [("c", group) for _, group, _ in documents]
+    documents = sorted(documents, key=lambda document: tuple(document[2][:3].tolist()))
+    levels = [Level.of_sets([elements for _, _, elements in documents])]
+    while len(levels[-1]) > FANOUT:
+        levels.append(levels[-1].above())
+    # What is connected so far has one number.
+    numbers: dict[int, int] = {}
+    connected = np.array([numbers.setdefault(group, len(numbers)) for _, group, _ in documents])
     links: list[tuple[int, int]] = []
-    while len(level) > 1:
-        level = [Node(level[n : n + FANOUT]) for n in range(0, len(level), FANOUT)]
-    waiting = [(level[0], level[0])]
+    root = np.zeros(1, np.int64)
+    waiting = [(len(levels) - 1, root, root)]
     while waiting:
-        left, right = waiting.pop()
-        if left is right:
-            own = left.children
-            waiting += [(a, b) for n, a in enumerate(own) for b in own[n + 1 :]]
-            waiting += [(a, a) for a in own]
+        depth, left, right = waiting.pop()
+        if len(left) > PAIRS:
+            waiting.append((depth, left[PAIRS:], right[PAIRS:]))
+        left, right = levels[depth].pairs_below(left[:PAIRS], right[:PAIRS])
+        if depth == 0:
+            loose = connected[left] != connected[right]
+            left, right = left[loose], right[loose]
+        near = levels[depth].may_link(left, right, percent)
+        left, right = left[near], right[near]
+        if depth > 0:
+            waiting.append((depth - 1, left, right))
             continue
-        if left.document >= 0 and right.document >= 0:
-            a, b = root(names[left.document]), root(names[right.document])
-            if a == b or not left.may_link(right, percent):
-                continue
-            if _similar(documents[left.document][2], documents[right.document][2], percent):
-                parent[a] = b
-                one, two = documents[left.document][0], documents[right.document][0]
+        for a, b in zip(left.tolist(), right.tolist(), strict=True):
+            if connected[a] != connected[b] and _similar(documents[a][2], documents[b][2], percent):
+                connected[connected == connected[b]] = connected[a]
+                one, two = documents[a][0], documents[b][0]
                 if one != two:
                     links.append((max(one, two), min(one, two)))
-        elif left.may_link(right, percent):
-            if len(left.children) < len(right.children) or left.document >= 0:
-                left, right = right, left
-            waiting += [(child, right) for child in left.children]
     return links
 
 
 def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
     if 100 * min(len(left), len(right)) < percent * max(len(left), len(right)):
         return False
-    both = len(left) + len(right) - len(np.union1d(left, right))
+    both = len(np.intersect1d(left, right, assume_unique=True))
     return both > 0 and both >= required(len(left), len(right), percent)
